@@ -1,0 +1,49 @@
+"""Bronze events derived from the ``events`` table of the test data."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Offset between the message numbers of an event and of its re-delivered copy.
+COPY_OFFSET = 10_000_000
+
+BASE_COLUMNS = [
+    """CASE WHEN event_id % 29 = 0 THEN concat('bad-', CAST(event_id AS STRING))
+            ELSE lpad(CAST(event_id AS STRING), 32, '0') END AS event_id""",
+    "CASE WHEN event_id % 37 <> 0 THEN concat('DEV-', CAST(user_id * 4 + event_id % 4 AS STRING)) END AS device_id",
+    "concat('CUST-', CAST(CASE WHEN user_id % 10 < 4 THEN user_id % 3 ELSE user_id END AS STRING)) AS customer_id",
+    """CASE WHEN event_id % 41 = 0 THEN TIMESTAMP '1999-12-31 00:00:00'
+            WHEN event_id % 43 = 0 THEN TIMESTAMP '2999-01-01 00:00:00'
+            ELSE CAST(ts + (event_id % 3) * INTERVAL '40' DAY AS TIMESTAMP) END AS event_timestamp""",
+    """element_at(array('Ransomware.A', 'trojan.B', 'Spyware.C', 'ADWARE.D', 'Worm.E', 'Virus.F', 'Worm.Trojan.G',
+                        'Tool.H', NULL), CAST(event_id % 9 + 1 AS INT)) AS threat_name""",
+    "CASE WHEN event_id % 9 <> 8 THEN concat('h', CAST(event_id % 50 AS STRING)) END AS threat_hash",
+    """CASE event_type WHEN 'error' THEN ' critical ' WHEN 'purchase' THEN 'High' WHEN 'click' THEN 'MEDIUM'
+            WHEN 'view' THEN 'low'
+            ELSE CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'UNKNOWN' ELSE 'low ' END END AS severity""",
+    """CASE WHEN copy = 1 THEN 'clean' ELSE element_at(array('quarantine', 'Delete', 'ALLOW', ' block', 'CLEAN'),
+            CAST((event_id * 7 + user_id) % 5 + 1 AS INT)) END AS action_taken""",
+    """element_at(array('signature', 'HEURISTIC', 'behavioral', 'machine_learning', 'Reputation'),
+            CAST((event_id + user_id) % 5 + 1 AS INT)) AS detection_type""",
+    "concat('/data/f', CAST(event_id AS STRING), '.bin') AS file_path",
+    "CAST(floor(value * 1024) AS BIGINT) AS file_size_bytes",
+    """element_at(array('windows', 'MacOS', 'LINUX', 'android', 'ios', 'solaris'),
+            CAST((user_id + event_id % 3) % 6 + 1 AS INT)) AS os_type""",
+    "concat('v', CAST(event_id % 4 AS STRING)) AS os_version",
+    "concat('24.', CAST(event_id % 3 AS STRING)) AS product_version",
+    "element_at(array('US', 'DE', 'IN', NULL), CAST((user_id + event_id % 2) % 4 + 1 AS INT)) AS country_code",
+    """CASE WHEN event_id % 11 = 0 THEN 'fe80::1'
+            ELSE concat_ws('.', '10', CAST(user_id % 250 AS STRING), CAST(event_id % 250 AS STRING),
+                           CAST(event_id % 199 AS STRING)) END AS ip_address""",
+    "CAST(event_id % 6 AS INT) AS kafka_partition",
+    f"event_id + copy * {COPY_OFFSET} AS kafka_offset",
+    "CAST(ts + INTERVAL '5' MINUTE + copy * INTERVAL '60' MINUTE AS TIMESTAMP) AS ingestion_timestamp",
+]
+
+
+def bronze_from_events(spark: SparkSession, folder: str) -> DataFrame:
+    """One bronze row per event, and a second, later delivery of every twentieth event."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    deliveries = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return events.withColumn("copy", F.explode(deliveries)).selectExpr(*BASE_COLUMNS)
