@@ -62,13 +62,13 @@ BRONZE = """
 # --- Warehouse tables --------------------------------------------------------------------------
 @dataclass(frozen=True)
 class WarehouseColumn:
-    """``width`` is the longest text in bytes; ``default`` replaces a missing value."""
+    """``width`` is the longest text in bytes; ``default`` replaces a missing value ("now": the load time)."""
 
     name: str
     type: str
     width: int | None = None
     required: bool = False
-    default: int | None = None
+    default: int | str | None = None
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,10 @@ def _plain(name, kind, required=False):
     return WarehouseColumn(name, kind, required=required)
 
 
+def _load_time():
+    return WarehouseColumn("gold_processed_at", "timestamp", default="now")
+
+
 DAILY_SUMMARY_TABLE = WarehouseTable(
     "daily_threat_summary",
     (
@@ -113,7 +117,7 @@ DAILY_SUMMARY_TABLE = WarehouseTable(
         _plain("avg_severity_score", "decimal(5,2)"),
         _plain("max_severity_score", "int"),
         _text("product_version", 20),
-        _plain("gold_processed_at", "timestamp"),
+        _load_time(),
         _text("environment", 10),
     ),
     cluster_by=("customer_id",),
@@ -138,7 +142,7 @@ LEADERBOARD_TABLE = WarehouseTable(
         _plain("last_seen", "timestamp"),
         _plain("threat_rank", "int"),
         _plain("days_active", "int"),
-        _plain("gold_processed_at", "timestamp"),
+        _load_time(),
         _text("environment", 10),
     ),
     cluster_by=(),
@@ -158,7 +162,7 @@ CUSTOMER_RISK_TABLE = WarehouseTable(
         _plain("rolling_30d_unique_threats", "int"),
         _plain("risk_score", "decimal(12,2)"),
         _text("risk_tier", 10),
-        _plain("gold_processed_at", "timestamp"),
+        _load_time(),
         _text("environment", 10),
     ),
     cluster_by=("customer_id",),
@@ -177,7 +181,7 @@ HOURLY_TREND_TABLE = WarehouseTable(
         _plain("devices_count", "int"),
         _plain("avg_severity_score", "decimal(5,2)"),
         _plain("high_critical_count", "int"),
-        _plain("gold_processed_at", "timestamp"),
+        _load_time(),
         _text("environment", 10),
     ),
     cluster_by=(),
@@ -198,7 +202,7 @@ PRODUCT_KPI_TABLE = WarehouseTable(
         _plain("total_scans", "bigint"),
         _plain("threats_blocked", "bigint"),
         _plain("protection_score", "decimal(5,2)"),
-        _plain("gold_processed_at", "timestamp"),
+        _load_time(),
     ),
     cluster_by=("product_version",),
     sort_by=("kpi_date", "product_version"),

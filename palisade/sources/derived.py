@@ -1,10 +1,12 @@
-"""Bronze events derived from the ``events`` table of the test data."""
+"""Inputs derived from the test data: bronze events, scans, topic messages and CSV files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.sinks.messages import to_messages
+
 # Offset between the message numbers of an event and of its re-delivered copy.
 COPY_OFFSET = 10_000_000
 
@@ -47,3 +49,40 @@ def bronze_from_events(spark: SparkSession, folder: str) -> DataFrame:
     events = spark.read.parquet(f"{folder}/events.parquet")
     deliveries = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return events.withColumn("copy", F.explode(deliveries)).selectExpr(*BASE_COLUMNS)
+
+
+def scans_from_bronze(bronze: DataFrame) -> DataFrame:
+    """A scan count per date, version, OS and country: every bronze row stands for one scan."""
+    keys = [F.to_date("event_timestamp").alias("kpi_date"), "product_version", "os_type", "country_code"]
+    return bronze.groupBy(*keys).agg(F.count("*").alias("total_scans"))
+
+
+def topic_from_bronze(bronze: DataFrame, environment: str) -> DataFrame:
+    """Messages as a topic would deliver them; every thirteenth is cut off before its end."""
+    events = bronze.withColumns(
+        {"partition": F.col("kafka_partition"), "offset": F.col("kafka_offset"), "timestamp": F.col("ingestion_timestamp")}
+    )
+    whole = to_messages(events, environment, carry=["partition", "offset", "timestamp"])
+    cut = F.expr("substring(value, 1, length(value) - 7)")
+    return whole.withColumn("value", F.when(F.col("offset") % 13 == 0, cut).otherwise(F.col("value")))
+
+
+def write_order_files(spark: SparkSession, folder: str, path: str) -> None:
+    """The ``orders`` table as CSV files of five layouts, a fifth of the rows each.
+
+    All columns in order; two columns reversed; one column; a repeated column; values with commas and quotes.
+    """
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    part = F.col("o_orderkey") % 5
+    # The writer trims the trailing space, so this header names the key twice.
+    repeated = (-F.col("o_orderkey")).alias("o_orderkey ")
+    note = F.concat(F.lit("priority, \""), "o_orderpriority", F.lit("\""))
+    layouts = {
+        "whole": orders.where(part == 0).withColumn("o_orderdate", F.col("o_orderdate").cast("date")),
+        "reversed": orders.where(part == 1).select("o_totalprice", "o_orderkey"),
+        "single": orders.where(part == 2).select("o_orderkey"),
+        "repeated": orders.where(part == 3).select("o_orderkey", "o_custkey", repeated),
+        "quoted": orders.where(part == 4).select(note.alias("note"), "o_orderkey"),
+    }
+    for name, rows in layouts.items():
+        rows.write.option("header", True).option("escape", '"').csv(f"{path}/{name}")
