@@ -1,0 +1,374 @@
+"""Every operator and table as a query over the test data folder.
+
+Results show dates, timestamps, decimals and arrays as text, so that they compare equal across engines.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from palisade import schemas as S
+from palisade.functions.classify import severity_score
+from palisade.functions.dates import with_date_parts
+from palisade.operators.conform import PROBLEMS, conform
+from palisade.operators.contract import contract_report
+from palisade.operators.latest import latest_per_key
+from palisade.operators.metrics import stage_counts
+from palisade.operators.screening import accepted, standardise_enums, with_flags
+from palisade.plans import gold, jobs, reports
+from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
+from palisade.session import apply_settings, shared_folder
+from palisade.sinks.messages import dead_letters, to_messages
+from palisade.sinks.tables import register_table, write_quarantine, write_table
+from palisade.sources import aligned_csv
+from palisade.sources.derived import bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
+from palisade.sources.messages import batch_stats, parse_messages, unreadable
+from palisade.sources.tables import new_files, read_table
+from palisade.streaming import events as stream_events
+from palisade.streaming.ingest import ingest
+
+NOW = "2026-12-01 00:00:00"
+MONTHLY_AS_OF = "2024-06-01"
+WEEKLY_AS_OF = "2024-04-20"
+ENVIRONMENT = "dev"
+TOPIC = "detections.raw"
+
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _as_text(df: DataFrame) -> DataFrame:
+    """Types that engines print differently become text."""
+
+    def shown(field: T.StructField):
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        elif isinstance(field.dataType, T.ArrayType):
+            column = F.array_join(column, "|")
+        elif isinstance(field.dataType, (T.DateType, T.DecimalType, T.BinaryType)):
+            column = column.cast("string")
+        return column.alias(field.name)
+
+    return df.select(*[shown(field) for field in df.schema.fields])
+
+
+def query(function: Callable[[SparkSession, str], DataFrame]):
+    """Register under the function's name, less a trailing underscore."""
+
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return _as_text(function(apply_settings(spark), folder))
+
+    QUERIES[function.__name__.rstrip("_")] = run
+    return run
+
+
+def _bronze(spark, folder):
+    return bronze_from_events(spark, folder)
+
+
+def _standard(spark, folder):
+    return standardise_enums(_bronze(spark, folder))
+
+
+def _silver(spark, folder):
+    return silver_events(_bronze(spark, folder), NOW)
+
+
+def _shown_gold(df: DataFrame) -> DataFrame:
+    """Without the load time, which differs from run to run."""
+    return df.drop("gold_processed_at", "environment")
+
+
+# --- Checks and silver -------------------------------------------------------------------------
+@query
+def std_enums(spark, folder):
+    return _standard(spark, folder).select("event_id", "kafka_offset", *S.STANDARDISED_COLUMNS)
+
+
+@query
+def check_flags(spark, folder):
+    flagged = with_flags(_standard(spark, folder), NOW)
+    return flagged.select("event_id", "kafka_offset", *[name for name in flagged.columns if name.startswith("is_")])
+
+
+@query
+def valid_rows(spark, folder):
+    return accepted(_standard(spark, folder), NOW).select(
+        "event_id", "device_id", "customer_id", *S.STANDARDISED_COLUMNS, "kafka_offset", "event_timestamp", "ingestion_timestamp"
+    )
+
+
+@query
+def quarantine_rows(spark, folder):
+    return quarantined_events(_bronze(spark, folder), NOW).drop("quarantine_ts")
+
+
+@query
+def dedup_latest(spark, folder):
+    return latest_per_key(accepted(_standard(spark, folder), NOW)).select(
+        "event_id", "action_taken", "kafka_partition", "kafka_offset", "ingestion_timestamp"
+    )
+
+
+@query
+def ip_mask(spark, folder):
+    return mask_addresses(_bronze(spark, folder)).select("event_id", "kafka_offset", "ip_address_masked")
+
+
+@query
+def date_parts(spark, folder):
+    return with_date_parts(_bronze(spark, folder)).select(
+        "event_id", "kafka_offset", "event_date", "event_hour", "event_year", "event_month"
+    )
+
+
+@query
+def severity_score_(spark, folder):
+    return _standard(spark, folder).select(
+        "event_id", "kafka_offset", "severity", severity_score(F.col("severity")).alias("severity_score")
+    )
+
+
+@query
+def threat_category(spark, folder):
+    return _silver(spark, folder).select("event_id", "threat_name", "threat_category")
+
+
+@query
+def silver(spark, folder):
+    return _silver(spark, folder)
+
+
+# --- Tables written and read back --------------------------------------------------------------
+@query
+def silver_roundtrip(spark, folder):
+    path = shared_folder(spark, "silver")
+    write_table(_silver(spark, folder), path, jobs.SILVER_PARTITIONS)
+    return read_table(spark, path)
+
+
+@query
+def silver_one_month(spark, folder):
+    """One month of the written table; the date filter prunes its folders."""
+    path = shared_folder(spark, "silver")
+    write_table(_silver(spark, folder), path, jobs.SILVER_PARTITIONS)
+    return read_table(spark, path).where("event_date >= DATE '2024-02-01' AND event_date < DATE '2024-03-01'")
+
+
+@query
+def quarantine_roundtrip(spark, folder):
+    path = shared_folder(spark, "quarantine")
+    for _ in range(2):  # the second run replaces the first
+        write_quarantine(quarantined_events(_bronze(spark, folder), NOW), path, "2026-12-01")
+    return read_table(spark, path).drop("quarantine_ts", "batch")
+
+
+@query
+def external_daily_summary(spark, folder):
+    path = shared_folder(spark, "daily-summary")
+    layout = S.DAILY_SUMMARY_TABLE
+    write_table(gold.daily_threat_summary(_silver(spark, folder)), path, ["event_date"], layout.cluster_by, layout.sort_by)
+    name = "palisade_daily_" + path.rsplit("-", 1)[1]
+    register_table(spark, name, path)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+# --- Gold --------------------------------------------------------------------------------------
+@query
+def daily_threat_summary(spark, folder):
+    return gold.daily_threat_summary(_silver(spark, folder))
+
+
+@query
+def threat_leaderboard(spark, folder):
+    return gold.threat_leaderboard(_silver(spark, folder))
+
+
+@query
+def days_active(spark, folder):
+    board = gold.with_days_active(gold.threat_leaderboard(_silver(spark, folder)))
+    return board.select(*gold.THREAT_KEYS, "days_active")
+
+
+@query
+def hourly_trend(spark, folder):
+    return gold.hourly_detection_trend(_silver(spark, folder))
+
+
+@query
+def daily_rollup(spark, folder):
+    return gold.daily_customer_rollup(_silver(spark, folder))
+
+
+@query
+def customer_risk(spark, folder):
+    return gold.customer_risk_scores(_silver(spark, folder))
+
+
+@query
+def product_kpis(spark, folder):
+    scans = scans_from_bronze(_standard(spark, folder))
+    kpis = gold.product_performance_kpis(_silver(spark, folder), scans)
+    return kpis.drop("false_positive_rate", "avg_detection_time_ms", "protection_score")
+
+
+# --- Reports -----------------------------------------------------------------------------------
+@query
+def risk_join(spark, folder):
+    events = _silver(spark, folder)
+    joined = reports.summary_with_risk(gold.daily_threat_summary(events), gold.customer_risk_scores(events))
+    return joined.select(*gold.SUMMARY_KEYS, "total_events", "risk_score", "risk_tier")
+
+
+@query
+def executive_summary(spark, folder):
+    events = _silver(spark, folder)
+    summary = reports.executive_summary(gold.daily_threat_summary(events), gold.customer_risk_scores(events), MONTHLY_AS_OF)
+    return summary.withColumn("avg_threat_severity", F.round("avg_threat_severity", 8))
+
+
+@query
+def top_threats_weekly(spark, folder):
+    return reports.top_threats_weekly(gold.threat_leaderboard(_silver(spark, folder)), WEEKLY_AS_OF)
+
+
+# --- Warehouse ---------------------------------------------------------------------------------
+@query
+def warehouse_daily_summary(spark, folder):
+    return _shown_gold(conform(gold.daily_threat_summary(_silver(spark, folder)), S.DAILY_SUMMARY_TABLE)[0])
+
+
+@query
+def warehouse_leaderboard(spark, folder):
+    board = gold.with_days_active(gold.threat_leaderboard(_silver(spark, folder)))
+    return _shown_gold(conform(board, S.LEADERBOARD_TABLE)[0])
+
+
+@query
+def warehouse_rejects(spark, folder):
+    board = gold.with_days_active(gold.threat_leaderboard(_silver(spark, folder)))
+    return conform(board, S.LEADERBOARD_TABLE)[1].select(*gold.THREAT_KEYS, "threat_rank", PROBLEMS)
+
+
+@query
+def warehouse_customer_risk(spark, folder):
+    return _shown_gold(conform(gold.customer_risk_scores(_silver(spark, folder)), S.CUSTOMER_RISK_TABLE)[0])
+
+
+@query
+def warehouse_hourly_trend(spark, folder):
+    return _shown_gold(conform(gold.hourly_detection_trend(_silver(spark, folder)), S.HOURLY_TREND_TABLE)[0])
+
+
+# --- Messages and streams ----------------------------------------------------------------------
+@query
+def publish_rows(spark, folder):
+    shown_header = lambda header: F.concat(header["key"], F.lit("="), F.decode(header["value"], "UTF-8"))
+    return to_messages(_bronze(spark, folder), ENVIRONMENT).select(
+        F.decode("key", "UTF-8").alias("key"),
+        F.decode("value", "UTF-8").alias("value"),
+        F.transform("headers", shown_header).alias("headers"),
+    )
+
+
+@query
+def dead_letters_(spark, folder):
+    letters = dead_letters(unreadable(parse_messages(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT))), TOPIC, NOW)
+    shape = "original_event STRING, error STRING, failed_at STRING, topic STRING"
+    return letters.select(F.from_json(F.decode("value", "UTF-8"), shape).alias("letter")).select("letter.*").drop("failed_at")
+
+
+@query
+def message_stats(spark, folder):
+    return batch_stats(parse_messages(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT)))
+
+
+def _ingested(spark, folder) -> str:
+    """Run the topic through the ingest stream; the folder with what it wrote."""
+    root = shared_folder(spark, "topic")
+    topic_from_bronze(_bronze(spark, folder), ENVIRONMENT).write.parquet(f"{root}/topic")
+    messages = new_files(spark, f"{root}/topic", S.MESSAGE)
+    ingest(messages, TOPIC, f"{root}/bronze", f"{root}/letters", f"{root}/stats", f"{root}/checkpoint-ingest")
+    return root
+
+
+@query
+def stream_silver(spark, folder):
+    root = _ingested(spark, folder)
+    arrived = stream_events.silver_stream(new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", "")), NOW)
+    stream_events.append_latest(arrived, f"{root}/log", f"{root}/checkpoint-silver")
+    return stream_events.latest_events(spark.read.parquet(f"{root}/log"))
+
+
+@query
+def stream_hourly(spark, folder):
+    root = _ingested(spark, folder)
+    arrived = stream_events.silver_stream(new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", "")), NOW)
+    trend = stream_events.hourly_trend_stream(arrived)
+    (
+        trend.writeStream.format("parquet")
+        .option("path", f"{root}/hourly")
+        .option("checkpointLocation", f"{root}/checkpoint-hourly")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(f"{root}/hourly")
+
+
+# --- Misaligned CSV ----------------------------------------------------------------------------
+def _order_files(spark, folder) -> str:
+    path = shared_folder(spark, "orders-csv")
+    write_order_files(spark, folder, path)
+    return path
+
+
+@query
+def csv_aligned(spark, folder):
+    lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), [*ORDER_COLUMNS, "note"], ORDER_TYPES)
+    return lines.drop("surplus", "file", "modified")
+
+
+@query
+def csv_headers(spark, folder):
+    headers = aligned_csv.file_headers(aligned_csv.read_lines(spark, _order_files(spark, folder)))
+    return aligned_csv.header_report(headers, ORDER_COLUMNS).drop("file").distinct()
+
+
+@query
+def csv_lake(spark, folder):
+    lake = shared_folder(spark, "orders-lake")
+    lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), ORDER_COLUMNS, ORDER_TYPES)
+    dated = lines.withColumn("load_date", F.trunc(F.to_date("o_orderdate"), "MM"))
+    aligned_csv.write_lake(dated, lake, "load_date")
+    return read_table(spark, lake).groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+
+
+# --- Contract and counts -----------------------------------------------------------------------
+@query
+def schema_contract(spark, folder):
+    return contract_report(_bronze(spark, folder), S.BRONZE)
+
+
+@query
+def row_counts(spark, folder):
+    return stage_counts(_bronze(spark, folder), NOW)
+
+
+@query
+def run_metrics(spark, folder):
+    """Both jobs from bronze to the written gold tables; the counts come from the writes."""
+    root = shared_folder(spark, "run")
+    counts = jobs.bronze_to_silver(_bronze(spark, folder), f"{root}/silver", f"{root}/quarantine", ENVIRONMENT, "first", NOW)
+    counts |= jobs.silver_to_gold(read_table(spark, f"{root}/silver"), f"{root}/gold", ENVIRONMENT, NOW)
+    return spark.createDataFrame(list(counts.items()), "stage STRING, rows BIGINT")
+

@@ -59,7 +59,7 @@ def file_headers(lines: DataFrame) -> DataFrame:
     widest = found.agg(F.max(commas)).first()[0]
     if widest is None:
         return found.withColumn("names", F.array().cast("array<string>"))
-    named = _with_fields(found, "header", widest + 1, "names").withColumn("names", F.transform("names", F.trim))
+    named = _with_fields(found, "header", widest + 1, "names").withColumn("names", F.transform("names", lambda name: F.trim(name)))
     last = F.array_max(F.transform("names", lambda name, place: F.when(name.isNotNull(), place + 1)))
     return named.withColumn("names", F.slice("names", 1, F.coalesce(last, F.lit(0))))
 

@@ -1,0 +1,79 @@
+"""Run every registered query next to its SQL: ``python tests/check_oracle.py FOLDER [name ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import duckdb  # noqa: E402
+
+import __spark_entry__ as entry  # noqa: E402
+from palisade.session import local_session  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return connection
+
+
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+}
+
+
+def _type_differences(result, description) -> list[str]:
+    wanted = {column[0]: str(column[1]) for column in description}
+    found = {field.name: SAME_TYPE.get(field.dataType.simpleString()) for field in result.schema.fields}
+    return [f"{name} {found[name]}/{wanted[name]}" for name in found if found[name] != wanted.get(name)]
+
+
+def _sorted_rows(columns: list[str], rows: list) -> tuple[list[str], list]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+def compare(spark, connection, name: str, folder: str) -> tuple[int, str | None]:
+    """Number of rows and the first difference, if there is one. Values must be equal to the last bit."""
+    result = entry.queries()[name](spark, folder)
+    columns, rows = _sorted_rows(result.columns, [tuple(row) for row in result.collect()])
+    cursor = connection.execute(entry.oracle_sql()[name])
+    wanted_columns, wanted = _sorted_rows([column[0] for column in cursor.description], cursor.fetchall())
+    if columns != wanted_columns:
+        return len(rows), f"columns {columns} instead of {wanted_columns}"
+    if types := _type_differences(result, cursor.description):
+        return len(rows), f"types {types}"
+    if len(rows) != len(wanted):
+        return len(rows), f"{len(rows)} rows instead of {len(wanted)}; only here: {list(set(rows) - set(wanted))[:2]}"
+    for found, expected in zip(rows, wanted):
+        if found != expected or [type(v) for v in found] != [type(v) for v in expected]:
+            return len(rows), f"{found} instead of {expected} for {columns}"
+    return len(rows), None
+
+
+def main(folder: str, names: list[str]) -> int:
+    spark = local_session("check", 8)
+    spark.sparkContext.setLogLevel("ERROR")
+    connection = connect(folder)
+    missing = set(entry.queries()) ^ set(entry.oracle_sql())
+    failures = [f"without a partner: {missing}"] if missing else []
+    for name in names or entry.queries():
+        start = time.time()
+        rows, difference = compare(spark, connection, name, folder)
+        print(f"{name:28} {rows:8} rows {time.time() - start:6.2f}s {'ok' if difference is None else 'DIFFERS: ' + difference[:1500]}", flush=True)
+        if difference:
+            failures.append(name)
+    print("all equal" if not failures else f"FAILED: {failures}")
+    return len(failures)
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]))
