@@ -22,7 +22,7 @@ from palisade.operators.metrics import stage_counts
 from palisade.operators.screening import accepted, standardise_enums, with_flags
 from palisade.plans import gold, jobs, reports
 from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
-from palisade.session import apply_settings, shared_folder
+from palisade.session import in_utc, settle, shared_folder
 from palisade.sinks.messages import dead_letters, to_messages
 from palisade.sinks.tables import register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
@@ -65,7 +65,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
 
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return _as_text(function(apply_settings(spark), folder))
+        return _as_text(function(in_utc(spark), folder))
 
     QUERIES[function.__name__.rstrip("_")] = run
     return run
@@ -270,6 +270,10 @@ def warehouse_hourly_trend(spark, folder):
 
 
 # --- Messages and streams ----------------------------------------------------------------------
+def _topic(spark, folder):
+    return settle(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT), "topic")
+
+
 @query
 def publish_rows(spark, folder):
     shown_header = lambda header: F.concat(header["key"], F.lit("="), F.decode(header["value"], "UTF-8"))
@@ -282,14 +286,14 @@ def publish_rows(spark, folder):
 
 @query
 def dead_letters_(spark, folder):
-    letters = dead_letters(unreadable(parse_messages(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT))), TOPIC, NOW)
+    letters = dead_letters(unreadable(parse_messages(_topic(spark, folder))), TOPIC, NOW)
     shape = "original_event STRING, error STRING, failed_at STRING, topic STRING"
     return letters.select(F.from_json(F.decode("value", "UTF-8"), shape).alias("letter")).select("letter.*").drop("failed_at")
 
 
 @query
 def message_stats(spark, folder):
-    return batch_stats(parse_messages(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT)))
+    return batch_stats(parse_messages(_topic(spark, folder)))
 
 
 def _ingested(spark, folder) -> str:

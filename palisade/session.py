@@ -8,22 +8,13 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job should start with. Partition counts are left to the cluster: AQE coalesces and
-# splits shuffle partitions at run time, so only its target size is stated here.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-}
-
-
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the run-time settings on a session that somebody else created."""
-    for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+# Dates and hours of events are those of this zone.
+TIME_ZONE = "UTC"
+
+
+def in_utc(spark: SparkSession) -> SparkSession:
+    """Set the one option that changes results. Sizes, partition counts and AQE are the cluster's choice."""
+    spark.conf.set("spark.sql.session.timeZone", TIME_ZONE)
     return spark
 
 
@@ -37,9 +28,7 @@ def local_session(name: str = "palisade", cores: str | int = "*", shuffle_partit
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return in_utc(builder.getOrCreate())
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

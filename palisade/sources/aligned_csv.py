@@ -1,7 +1,8 @@
 """CSV files whose columns differ in number and order, aligned by header name.
 
-All files are read in one text scan. Each file's header says at which position a column stands; every line
-is split once and its values are picked by position.
+All files are read in one scan. Each file's header says at which position a column stands; every line is
+split once and its values are picked by position. Files are cut into blocks like any text, so one large file
+is read by many tasks; only values that contain line breaks need the whole-file reading of ``read_records``.
 """
 
 from __future__ import annotations
@@ -83,6 +84,38 @@ def header_report(headers: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _with_places(rows: DataFrame, headers: DataFrame, columns: list[str], broadcast_bytes: int) -> DataFrame:
+    """Each row with its file's header and the position of every wanted column, -1 where it is absent."""
+    wanted = F.array(*[F.lit(name) for name in columns])
+    picks = headers.select(
+        "file",
+        "header",
+        "names",
+        F.transform(wanted, lambda name: F.array_position("names", name) - 1).alias("places"),
+    )
+    size = picks.agg(F.sum(2 * (F.length("file") + F.length("header")) + 8 * (len(columns) + 8))).first()[0] or 0
+    if size <= broadcast_bytes:
+        return rows.join(F.broadcast(picks), "file")
+    salted = rows.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    copies = picks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["file", "salt"]).drop("salt")
+
+
+def _picked(rows: DataFrame, columns: list[str], types: dict[str, str] | None) -> DataFrame:
+    chosen = []
+    for number, name in enumerate(columns):
+        place = F.col("places")[number].cast("int")
+        value = F.when(place >= 0, F.get("values", place))
+        kind = (types or {}).get(name)
+        chosen.append((value.try_cast(kind) if kind else value).alias(name))
+    surplus = F.get("values", F.size("names")).isNotNull().alias("surplus")
+    return rows.select(*chosen, surplus, "file", "modified")
+
+
+def widest_header(headers: DataFrame) -> int:
+    return headers.agg(F.max(F.size("names"))).first()[0] or 0
+
+
 def align(
     lines: DataFrame,
     headers: DataFrame,
@@ -96,38 +129,49 @@ def align(
     ``types`` casts columns, with NULL for text that does not fit. ``surplus`` marks lines that go on after
     their last named column; ``file`` and ``modified`` say where a line came from.
     """
-    wanted = F.array(*[F.lit(name) for name in columns])
-    picks = headers.select(
-        F.col("file"),
-        F.col("header"),
-        F.size("names").alias("width"),
-        F.transform(wanted, lambda name: F.array_position("names", name) - 1).alias("places"),
-    )
-    widest, size = picks.agg(
-        F.max("width"), F.sum(F.length("file") + F.length("header") + 8 * (len(columns) + 8))
-    ).first()
     data = lines.where(F.trim("line") != "").select("line", "file", "modified")
-    if (size or 0) <= broadcast_bytes:
-        joined = data.join(F.broadcast(picks), "file")
-    else:
-        salted = data.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
-        copies = picks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(copies, ["file", "salt"])
-    kept = _with_fields(joined.where(F.col("line") != F.col("header")), "line", (widest or 0) + 1, "values")
-    picked = []
-    for number, name in enumerate(columns):
-        place = F.col("places")[number].cast("int")
-        value = F.when(place >= 0, F.get("values", place))
-        kind = (types or {}).get(name)
-        picked.append((value.try_cast(kind) if kind else value).alias(name))
-    return kept.select(*picked, F.get("values", F.col("width")).isNotNull().alias("surplus"), "file", "modified")
+    placed = _with_places(data, headers, columns, broadcast_bytes).where(F.col("line") != F.col("header"))
+    return _picked(_with_fields(placed, "line", widest_header(headers) + 1, "values"), columns, types)
+
 
+def read_records(spark: SparkSession, path: str, width: int, glob: str = "*.csv") -> DataFrame:
+    """CSV records that may span lines, as an array of ``width`` values. Every file is read by one task."""
+    slots = [f"c{number}" for number in range(width)]
+    reader = spark.read.schema(", ".join(f"{slot} STRING" for slot in slots)).options(**CSV_OPTIONS)
+    reader = reader.option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    return reader.csv(path).select(
+        F.array(*slots).alias("values"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
 
-def read_aligned(spark: SparkSession, path: str, columns: list[str] | None = None, types=None, glob="*.csv") -> DataFrame:
-    """Align every CSV file below ``path``; all columns found when ``columns`` is not given."""
+
+def align_records(
+    records: DataFrame,
+    headers: DataFrame,
+    columns: list[str],
+    types: dict[str, str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The same for whole records; those equal to their file's column names are left out."""
+    placed = _with_places(records, headers, columns, broadcast_bytes)
+    named = F.transform(F.slice("values", 1, F.size("names")), lambda value: F.trim(value))
+    return _picked(placed.where(~named.eqNullSafe(F.col("names"))), columns, types)
+
+
+def read_aligned(
+    spark: SparkSession, path: str, columns: list[str] | None = None, types=None, glob="*.csv", multi_line: bool = False
+) -> DataFrame:
+    """Align every CSV file below ``path``; all columns found when ``columns`` is not given.
+
+    ``multi_line`` is for values with line breaks inside quotes; the header itself must be one line.
+    """
     lines = read_lines(spark, path, glob)
     headers = file_headers(lines)
-    return align(lines, headers, columns if columns is not None else column_names(headers), types)
+    columns = column_names(headers) if columns is None else columns
+    if multi_line:
+        return align_records(read_records(spark, path, widest_header(headers) + 1, glob), headers, columns, types)
+    return align(lines, headers, columns, types)
 
 
 def write_lake(aligned: DataFrame, path: str, date_column: str | None = None) -> None:

@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from palisade import schemas as S
+from palisade.operators.conform import conform
+from palisade.operators.contract import contract_report
+from palisade.plans import gold
+from palisade.plans.silver import silver_events
+from conftest import NOW
+
+RISK = (
+    "customer_id STRING, event_date DATE, daily_severity_sum BIGINT, daily_events BIGINT, daily_unique_threats BIGINT, "
+    "rolling_30d_severity BIGINT, rolling_30d_events BIGINT, rolling_30d_unique_threats BIGINT, risk_score DOUBLE, risk_tier STRING"
+)
+DAY = dt.date(2024, 1, 1)
+
+
+def test_types_rounding_and_reasons(spark):
+    rows = spark.createDataFrame(
+        [
+            ("ok", DAY, 1, 1, 1, 1, 1, 1, 2.345, "LOW"),
+            ("é" * 25, DAY, 1, 1, 1, 1, 1, 1, 1.0, "LOW"),
+            ("é" * 26, DAY, 1, 1, 1, 1, 1, 1, 1.0, "LOW"),
+            (None, None, 1, 1, 1, 1, 1, 1, 1.0, "LOW"),
+            ("big", DAY, 1, 2**31, 1, 1, 1, 1, 1e12, "LOW"),
+        ],
+        RISK,
+    )
+    good, bad = conform(rows, S.CUSTOMER_RISK_TABLE, NOW)
+    assert [field.dataType.simpleString() for field in good.schema.fields] == [c.type for c in S.CUSTOMER_RISK_TABLE.columns]
+    kept = {row.customer_id: row for row in good.collect()}
+    assert set(kept) == {"ok", "é" * 25}
+    assert kept["ok"].risk_score == Decimal("2.35") and kept["ok"].daily_severity_sum == Decimal("1.00")
+    assert kept["ok"].gold_processed_at == dt.datetime(2026, 12, 1) and kept["ok"].environment is None
+    reasons = {row.customer_id: row.rejected_for for row in bad.collect()}
+    assert reasons == {
+        "é" * 26: ["width:customer_id"],
+        None: ["missing:customer_id", "missing:event_date"],
+        "big": ["range:daily_events", "range:risk_score"],
+    }
+
+
+def test_defaults_and_undeclared_columns(spark, bronze):
+    daily = gold.daily_threat_summary(silver_events(bronze, NOW))
+    emptied = daily.withColumn("total_events", F.lit(None).cast("bigint"))
+    good, bad = conform(emptied, S.DAILY_SUMMARY_TABLE, NOW)
+    assert good.columns == [column.name for column in S.DAILY_SUMMARY_TABLE.columns]
+    assert good.agg(F.sum("total_events")).first()[0] == 0
+    assert bad.count() == 0 and good.count() == daily.count()
+
+
+@pytest.mark.parametrize("name", sorted(S.WAREHOUSE_TABLES))
+def test_contracts_name_their_own_columns(name):
+    table = S.WAREHOUSE_TABLES[name]
+    names = [column.name for column in table.columns]
+    assert len(set(names)) == len(names)
+    assert set(table.cluster_by) <= set(names) and set(table.sort_by) <= set(names)
+
+
+def test_contract_report(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (2, "b", "y")], "a INT, b STRING, extra STRING")
+    report = {row.column: row for row in contract_report(rows, "a BIGINT, b STRING NOT NULL, c DATE").collect()}
+    assert (report["a"].expected, report["a"].actual, report["a"].agrees) == ("bigint", "int", False)
+    assert (report["b"].forbidden_nulls, report["b"].agrees) == (1, False)
+    assert (report["c"].actual, report["c"].agrees) == (None, False)
+    assert (report["extra"].expected, report["extra"].rows, report["extra"].agrees) == (None, 2, False)

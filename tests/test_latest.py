@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+from conftest import NOW
+from pyspark.sql import functions as F
+
+from palisade.operators.latest import latest_per_key
+from palisade.plans.silver import silver_events
+
+
+def test_order_ties_and_nulls(spark):
+    rows = spark.createDataFrame(
+        [
+            ("a", None, 1, 9, "null time loses"),
+            ("a", 1, 1, 1, "early"),
+            ("b", 5, 1, 3, "low offset"),
+            ("b", 5, 1, 4, "high offset"),
+            ("b", 5, 0, 9, "low partition"),
+            ("c", None, None, None, "only one"),
+        ],
+        "event_id STRING, ingestion_timestamp INT, kafka_partition INT, kafka_offset INT, note STRING",
+    )
+    kept = {row.event_id: row.note for row in latest_per_key(rows).collect()}
+    assert kept == {"a": "early", "b": "high offset", "c": "only one"}
+
+
+def test_silver_has_one_row_per_event(bronze):
+    silver = silver_events(bronze, NOW)
+    assert silver.count() == 815
+    assert silver.select("event_id").distinct().count() == 815
+
+
+def test_copies_are_reduced_before_the_shuffle(bronze, plan):
+    """A key with a third of all rows must not travel whole to one task."""
+    tree = plan(silver_events(bronze, NOW)).split("\n\n")[0]
+    steps = [line.split("- ")[-1].split(" ")[0] for line in tree.splitlines()]
+    limits = [place for place, step in enumerate(steps) if step == "WindowGroupLimit"]
+    assert len(limits) == 2 and limits[0] < steps.index("Exchange") < limits[1]
+
+
+def test_hot_key(spark):
+    rows = spark.range(30_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("event_id"),
+        F.col("id").alias("ingestion_timestamp"),
+        F.lit(0).alias("kafka_partition"),
+        F.col("id").alias("kafka_offset"),
+    )
+    kept = latest_per_key(rows)
+    assert kept.count() == 20_001
+    assert kept.where("event_id = 'hot'").first().kafka_offset == 29_997

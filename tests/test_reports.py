@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from palisade.plans import reports
+
+DAILY = (
+    "customer_id STRING, event_date DATE, country_code STRING, os_type STRING, total_events BIGINT, critical_count BIGINT, "
+    "high_count BIGINT, quarantined_count BIGINT, deleted_count BIGINT, blocked_count BIGINT, avg_severity_score DOUBLE"
+)
+RISK = "customer_id STRING, event_date DATE, risk_score DOUBLE, risk_tier STRING"
+
+
+def day(month, number=5, year=2024):
+    return dt.date(year, month, number)
+
+
+def test_executive_summary(spark):
+    daily = spark.createDataFrame(
+        [
+            ("a", day(1), "US", "LINUX", 10, 1, 2, 1, 1, 1, 3.0),
+            ("a", day(1), "DE", "LINUX", 1, 0, 0, 0, 0, 0, 1.0),
+            ("b", day(1, 6), None, None, 5, 0, 1, 0, 2, 0, 2.0),
+            ("b", day(2), "US", "IOS", 7, 0, 0, 0, 0, 0, 2.0),
+            ("z", day(11, 30, 2023), "US", "IOS", 99, 0, 0, 0, 0, 0, 2.0),
+        ],
+        DAILY,
+    )
+    risk = spark.createDataFrame([("a", day(1), 900.0, "CRITICAL"), ("b", day(2), 1.0, "LOW")], RISK)
+    january_and_february = reports.executive_summary(daily, risk, "2024-06-01").collect()
+    assert [tuple(row) for row in january_and_february] == [
+        (dt.date(2024, 2, 1), 1, 7, 0, 0, 2.0, 0),
+        (dt.date(2024, 1, 1), 2, 16, 4, 5, 2.0, 1),
+    ]
+
+
+def test_summary_without_risk_is_kept(spark):
+    daily = spark.createDataFrame([("a", day(1), "US", "LINUX", 10, 1, 2, 1, 1, 1, 3.0)], DAILY)
+    row = reports.summary_with_risk(daily, spark.createDataFrame([], RISK)).first()
+    assert row.total_events == 10 and row.risk_tier is None
+
+
+def board(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "threat_name STRING, threat_hash STRING, threat_category STRING, max_severity STRING, global_hit_count BIGINT, "
+        "customers_affected BIGINT, last_seen TIMESTAMP, threat_rank INT",
+    )
+
+
+def test_top_threats(spark):
+    seen, old = dt.datetime(2024, 4, 13), dt.datetime(2024, 4, 12, 23, 59, 59)
+    rows = [("many", f"h{n}", "WORM", "LOW", 3, 1, seen, 7) for n in range(4)]
+    rows += [(f"one{n:02}", "h", "WORM", "LOW", 2, 1, seen, 8) for n in range(12)]
+    rows += [("gone", "h", "WORM", "LOW", 99, 1, old, 1), (None, "h", "WORM", "LOW", 2, 1, seen, 8)]
+    top = reports.top_threats_weekly(board(spark, rows), "2024-04-20").collect()
+    assert [row.threat_name for row in top] == ["many", *[f"one{n:02}" for n in range(9)]]
+    assert (top[0].weekly_hits, top[0].total_customers, top[0].threat_rank) == (12, 4, 7)
+
+
+def test_top_is_taken_without_a_full_sort(spark, plan):
+    text = plan(reports.top_threats_weekly(board(spark, []), "2024-04-20"))
+    assert "TakeOrderedAndProject" in text
