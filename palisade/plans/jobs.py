@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade import schemas as S
+from palisade.functions.dates import day
 from palisade.operators.metrics import observed
 from palisade.operators.screening import quarantine, standardise_enums, with_flags
 from palisade.plans import gold
@@ -38,19 +39,30 @@ def bronze_to_silver(
     return {**intake.get, **output.get}
 
 
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
+def gold_tables(silver: DataFrame, since=None) -> dict[str, DataFrame]:
+    """The four tables; with ``since`` the dated ones hold only that date and later ones.
+
+    The filter is on the partition column, so older silver is not read, but for the days a rolling sum looks
+    back. The leaderboard has no date and always covers everything.
+    """
+    recent = silver if since is None else silver.where(F.col("event_date") >= day(since))
+    looked_at = silver if since is None else silver.where(F.col("event_date") >= F.date_sub(day(since), S.RISK_WINDOW_DAYS))
+    risk = gold.customer_risk_scores(looked_at)
     return {
-        S.DAILY_SUMMARY_TABLE.name: gold.daily_threat_summary(silver),
+        S.DAILY_SUMMARY_TABLE.name: gold.daily_threat_summary(recent),
         S.LEADERBOARD_TABLE.name: gold.with_days_active(gold.threat_leaderboard(silver)),
-        S.HOURLY_TREND_TABLE.name: gold.hourly_detection_trend(silver),
-        S.CUSTOMER_RISK_TABLE.name: gold.customer_risk_scores(silver),
+        S.HOURLY_TREND_TABLE.name: gold.hourly_detection_trend(recent),
+        S.CUSTOMER_RISK_TABLE.name: risk if since is None else risk.where(F.col("event_date") >= day(since)),
     }
 
 
-def silver_to_gold(silver: DataFrame, gold_path: str, environment: str, now=None) -> dict[str, int]:
-    """Write the four gold tables, each clustered and sorted as its warehouse table asks."""
+def silver_to_gold(silver: DataFrame, gold_path: str, environment: str, now=None, since=None) -> dict[str, int]:
+    """Write the four gold tables, each clustered and sorted as its warehouse table asks.
+
+    Only the partitions that are built are replaced, so ``since`` refreshes the newest dates and leaves the rest.
+    """
     written = {}
-    for name, table in gold_tables(silver).items():
+    for name, table in gold_tables(silver, since).items():
         layout = S.WAREHOUSE_TABLES[name]
         partitions = ["event_date"] if "event_date" in table.columns else []
         audited = gold.with_gold_audit(table, environment, now)

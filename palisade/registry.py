@@ -224,14 +224,14 @@ def product_kpis(spark, folder):
 # --- Reports -----------------------------------------------------------------------------------
 @query
 def risk_join(spark, folder):
-    events = _silver(spark, folder)
+    events = settle(_silver(spark, folder), "silver")
     joined = reports.summary_with_risk(gold.daily_threat_summary(events), gold.customer_risk_scores(events))
     return joined.select(*gold.SUMMARY_KEYS, "total_events", "risk_score", "risk_tier")
 
 
 @query
 def executive_summary(spark, folder):
-    events = _silver(spark, folder)
+    events = settle(_silver(spark, folder), "silver")
     summary = reports.executive_summary(gold.daily_threat_summary(events), gold.customer_risk_scores(events), MONTHLY_AS_OF)
     return summary.withColumn("avg_threat_severity", F.round("avg_threat_severity", 8))
 
