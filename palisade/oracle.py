@@ -202,20 +202,22 @@ QUARANTINE = f"""SELECT event_id, device_id, customer_id, threat_name, threat_ha
   regexp_replace(ip_address, '\\.\\d+$', '.xxx') AS ip_address_masked, array_to_string({FAILED}, '|') AS failed_checks,
   'VALIDATION_FAILURE' AS quarantine_reason, {EVENT_TIMES} FROM flagged WHERE NOT is_valid_record"""
 
-EXECUTIVE = """SELECT strftime(date_trunc('month', d.event_date), '%Y-%m-%d') AS report_month,
-  count(DISTINCT d.customer_id) AS active_customers, CAST(sum(total_events) AS BIGINT) AS total_threats_detected,
-  CAST(sum(critical_count + high_count) AS BIGINT) AS high_severity_threats,
-  CAST(sum(quarantined_count + deleted_count + blocked_count) AS BIGINT) AS threats_blocked,
-  round(avg(avg_severity_score), 8) AS avg_threat_severity,
-  count(DISTINCT CASE WHEN risk_tier = 'CRITICAL' THEN r.customer_id END) AS customers_at_critical_risk
- FROM daily d LEFT JOIN risk r ON d.customer_id = r.customer_id AND d.event_date = r.event_date
- WHERE d.event_date >= DATE '2023-12-01' GROUP BY 1"""
+EXECUTIVE = """SELECT strftime(month_start, '%Y-%m-%d') AS report_month,
+  count(DISTINCT who) AS active_customers, CAST(sum(events) AS BIGINT) AS total_threats_detected,
+  CAST(sum(severe) AS BIGINT) AS high_severity_threats, CAST(sum(stopped) AS BIGINT) AS threats_blocked,
+  round(sum(mean_score) / count(mean_score), 8) AS avg_threat_severity,
+  count(DISTINCT who) FILTER (tier = 'CRITICAL') AS customers_at_critical_risk
+ FROM (SELECT date_trunc('month', daily.event_date) AS month_start, daily.customer_id AS who, total_events AS events,
+        critical_count + high_count AS severe, quarantined_count + deleted_count + blocked_count AS stopped,
+        avg_severity_score AS mean_score,
+        (SELECT risk_tier FROM risk WHERE risk.customer_id = daily.customer_id AND risk.event_date = daily.event_date) AS tier
+       FROM daily WHERE daily.event_date >= DATE '2023-12-01')
+ GROUP BY month_start"""
 
 WEEKLY = """SELECT threat_name, threat_category, CAST(sum(global_hit_count) AS BIGINT) AS weekly_hits,
-  max(max_severity) AS peak_severity, CAST(sum(customers_affected) AS BIGINT) AS total_customers, threat_rank
- FROM board WHERE last_seen >= TIMESTAMP '2024-04-13 00:00:00'
- GROUP BY threat_name, threat_category, max_severity, threat_rank
- ORDER BY weekly_hits DESC, threat_name NULLS LAST, threat_category, max_severity, threat_rank LIMIT 10"""
+  max_severity AS peak_severity, CAST(sum(customers_affected) AS BIGINT) AS total_customers, threat_rank
+ FROM board WHERE CAST(last_seen AS DATE) BETWEEN DATE '2024-04-13' AND DATE '9999-12-31'
+ GROUP BY ALL ORDER BY weekly_hits DESC, threat_name NULLS LAST, threat_category, peak_severity, threat_rank LIMIT 10"""
 
 KPIS = """SELECT CAST(k.kpi_date AS VARCHAR) AS kpi_date, k.product_version, k.os_type, k.country_code,
   CAST(CAST(floor((detected * 20000 + total_scans) / (2 * total_scans)) / 10000 AS DECIMAL(7,4)) AS VARCHAR) AS detection_rate,
@@ -271,6 +273,10 @@ CSV_ROWS = """SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS
  UNION ALL SELECT o_orderkey, o_custkey, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 3
  UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'priority, "' || o_orderpriority || '"' FROM orders WHERE o_orderkey % 5 = 4"""
 
+CSV_LAKE = f"""SELECT CAST(extract(year FROM load_date) AS INT) AS "year", CAST(extract(month FROM load_date) AS INT) AS "month",
+  CAST(extract(day FROM load_date) AS INT) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+ FROM (SELECT *, date_trunc('month', CAST(o_orderdate AS DATE)) AS load_date FROM ({CSV_ROWS})) GROUP BY load_date"""
+
 CSV_HEADERS = """SELECT n AS column_count, missing, repeated, unknown FROM (VALUES
   (0, 6, '', '', ''),
   (1, 2, 'o_custkey|o_orderdate|o_orderpriority|o_orderstatus', '', ''),
@@ -341,11 +347,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_silver": _sql(silver, READABLE),
         "stream_hourly": _sql(HOURLY_STREAM, READABLE),
+        "stream_quarantine": _sql(QUARANTINE, READABLE),
+        "stream_csv_lake": CSV_LAKE,
         "csv_aligned": CSV_ROWS,
         "csv_headers": CSV_HEADERS,
-        "csv_lake": f"""SELECT CAST(extract(year FROM load_date) AS INT) AS "year", CAST(extract(month FROM load_date) AS INT) AS "month",
-          CAST(extract(day FROM load_date) AS INT) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum
-          FROM (SELECT *, date_trunc('month', CAST(o_orderdate AS DATE)) AS load_date FROM ({CSV_ROWS})) GROUP BY load_date""",
+        "csv_lake": CSV_LAKE,
         "schema_contract": _contract(),
         "row_counts": _sql(counts),
         "run_metrics": _sql(counts + written),

@@ -30,6 +30,7 @@ from palisade.sources.derived import bronze_from_events, scans_from_bronze, topi
 from palisade.sources.messages import batch_stats, parse_messages, unreadable
 from palisade.sources.tables import new_files, read_table
 from palisade.streaming import events as stream_events
+from palisade.streaming.files import lake_new_files
 from palisade.streaming.ingest import ingest
 
 NOW = "2026-12-01 00:00:00"
@@ -313,6 +314,14 @@ def stream_silver(spark, folder):
     return stream_events.latest_events(spark.read.parquet(f"{root}/log"))
 
 
+@query
+def stream_quarantine(spark, folder):
+    root = _ingested(spark, folder)
+    arrived = new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", ""))
+    stream_events.screen(arrived, f"{root}/log", f"{root}/quarantine", f"{root}/checkpoint-screen", NOW)
+    return spark.read.parquet(f"{root}/quarantine").drop("quarantine_ts", "batch_id")
+
+
 @query
 def stream_hourly(spark, folder):
     root = _ingested(spark, folder)
@@ -348,13 +357,28 @@ def csv_headers(spark, folder):
     return aligned_csv.header_report(headers, ORDER_COLUMNS).drop("file").distinct()
 
 
+def _with_load_date(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("load_date", F.trunc(F.to_date("o_orderdate"), "MM"))
+
+
+def _per_day(lake: DataFrame) -> DataFrame:
+    return lake.groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+
+
 @query
 def csv_lake(spark, folder):
     lake = shared_folder(spark, "orders-lake")
     lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), ORDER_COLUMNS, ORDER_TYPES)
-    dated = lines.withColumn("load_date", F.trunc(F.to_date("o_orderdate"), "MM"))
-    aligned_csv.write_lake(dated, lake, "load_date")
-    return read_table(spark, lake).groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+    aligned_csv.write_lake(_with_load_date(lines), lake, "load_date")
+    return _per_day(read_table(spark, lake))
+
+
+@query
+def stream_csv_lake(spark, folder):
+    lake = shared_folder(spark, "orders-lake")
+    lines = aligned_csv.new_lines(spark, _order_files(spark, folder))
+    lake_new_files(lines, lake, f"{lake}-checkpoint", ORDER_COLUMNS, ORDER_TYPES, "load_date", _with_load_date)
+    return _per_day(read_table(spark, lake))
 
 
 # --- Contract and counts -----------------------------------------------------------------------

@@ -23,8 +23,17 @@ CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
     """Every line below ``path`` with its file and where its block starts. No header line is special yet."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-    return reader.text(path).select(
+    return _lines(spark.read, path, glob)
+
+
+def new_lines(spark: SparkSession, path: str, glob: str = "*.csv", files_per_batch: int | None = None) -> DataFrame:
+    """The same as a stream: the lines of files that the stream's checkpoint has not seen yet."""
+    reader = spark.readStream if files_per_batch is None else spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _lines(reader, path, glob)
+
+
+def _lines(reader, path: str, glob: str) -> DataFrame:
+    return reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -174,8 +183,12 @@ def read_aligned(
     return align(lines, headers, columns, types)
 
 
-def write_lake(aligned: DataFrame, path: str, date_column: str | None = None) -> None:
-    """Parquet by year, month and day of ``date_column``, or of the file's modification time without one."""
+def by_day(aligned: DataFrame, date_column: str | None = None) -> DataFrame:
+    """Adds year, month and day of ``date_column``, or of the file's modification time without one."""
     when = F.to_date(F.col(date_column or "modified"))
-    dated = aligned.withColumns({"year": F.year(when), "month": F.month(when), "day": F.dayofmonth(when)})
-    write_table(dated, path, partition_by=["year", "month", "day"])
+    return aligned.withColumns({"year": F.year(when), "month": F.month(when), "day": F.dayofmonth(when)})
+
+
+def write_lake(aligned: DataFrame, path: str, date_column: str | None = None) -> None:
+    """Parquet by year, month and day."""
+    write_table(by_day(aligned, date_column), path, partition_by=["year", "month", "day"])

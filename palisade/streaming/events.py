@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from palisade import schemas as S
 from palisade.operators.latest import latest_per_key
 from palisade.operators.screening import accepted, standardise_enums
-from palisade.plans.silver import enrich
+from palisade.plans.silver import enrich, quarantined_events
 from palisade.streaming.ingest import run_available, write_batch
 
 LATENESS = "2 hours"
@@ -25,6 +25,16 @@ def first_deliveries(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return silver.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def screen(bronze: DataFrame, log: str, quarantine: str, checkpoint: str, now=None) -> StreamingQuery:
+    """Every micro-batch split into the silver log and the quarantine, so that no row of it is lost."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        write_batch(latest_per_key(silver_stream(batch, now)), log, number)
+        write_batch(quarantined_events(batch, now, now), quarantine, number)
+
+    return run_available(bronze, handle, checkpoint)
+
+
 def append_latest(silver: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
     """Append each micro-batch to a log, with one row per event inside the batch."""
     return run_available(silver, lambda batch, number: write_batch(latest_per_key(batch), log, number), checkpoint)

@@ -7,11 +7,14 @@ from conftest import NOW
 from pyspark.sql import functions as F
 
 from palisade import schemas as S
+from palisade.operators.screening import split, standardise_enums
 from palisade.plans.gold import hourly_detection_trend
 from palisade.plans.silver import silver_events
 from palisade.sources.derived import topic_from_bronze
+from palisade.sources.aligned_csv import new_lines
 from palisade.sources.tables import new_files
-from palisade.streaming.events import append_latest, hourly_trend_stream, latest_events, silver_stream
+from palisade.streaming.events import append_latest, hourly_trend_stream, latest_events, screen, silver_stream
+from palisade.streaming.files import lake_new_files
 from palisade.streaming.ingest import ingest, run_available, total_stats, write_batch
 
 NULLABLE_BRONZE = S.BRONZE.replace(" NOT NULL", "")
@@ -68,6 +71,32 @@ def test_latest_wins_across_batches(spark, bronze, ingested, tmp_path):
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
 
 
+def test_screening_keeps_every_row(spark, bronze, ingested, tmp_path):
+    arrived = new_files(spark, ingested[0]["bronze"], NULLABLE_BRONZE, files_per_batch=1)
+    paths = [str(tmp_path / name) for name in ("log", "quarantine", "checkpoint")]
+    screen(arrived, *paths, NOW)
+    log, kept = spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
+    readable = bronze.where("kafka_offset % 13 <> 0")
+    good, bad = split(standardise_enums(readable), NOW)
+    assert kept.count() == bad.count() and "ip_address" not in kept.columns
+    assert log.count() == good.count()  # copies of an event are in different batches here
+    assert latest_events(log).count() == silver_events(readable, NOW).count()
+
+
+def test_csv_files_as_they_arrive(spark, tmp_path):
+    inbox, lake, checkpoint = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "checkpoint")
+    inbox.mkdir()
+    counts = []
+    for name, text in (("a.csv", "day,v\n2024-01-02,1\n"), ("b.csv", "v,day,v\n2,2024-01-02,9\n3,2024-01-03,9\n"), (None, None)):
+        if name:
+            (inbox / name).write_text(text)
+        lake_new_files(new_lines(spark, str(inbox)), lake, checkpoint, ["day", "v"], {"v": "int", "day": "date"}, "day")
+        counts.append(spark.read.parquet(lake).count())
+    assert counts == [1, 3, 3]
+    found = spark.read.parquet(lake).select("year", "month", F.dayofmonth("modified").isNotNull(), "v").orderBy("v").collect()
+    assert [tuple(row) for row in found] == [(2024, 1, True, 1), (2024, 1, True, 2), (2024, 1, True, 3)]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     for _ in range(2):
         write_batch(spark.range(5), str(tmp_path / "log"), 7)
