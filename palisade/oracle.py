@@ -339,6 +339,10 @@ def oracle_sql() -> dict[str, str]:
         "warehouse_rejects": _sql(WAREHOUSE_REJECTS),
         "warehouse_customer_risk": _sql(WAREHOUSE_RISK),
         "warehouse_hourly_trend": _sql(WAREHOUSE_HOURLY),
+        "warehouse_product_kpis": _sql(
+            f"SELECT * REPLACE ({_as('INT', 'active_devices')}), CAST(NULL AS VARCHAR) AS false_positive_rate, "
+            f"CAST(NULL AS INT) AS avg_detection_time_ms, CAST(NULL AS VARCHAR) AS protection_score FROM ({KPIS})"
+        ),
         "publish_rows": _sql(MESSAGES),
         "dead_letters": _sql(LETTERS),
         "message_stats": _sql(
@@ -350,6 +354,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_quarantine": _sql(QUARANTINE, READABLE),
         "stream_csv_lake": CSV_LAKE,
         "csv_aligned": CSV_ROWS,
+        "csv_multi_line": CSV_ROWS.replace("'priority, \"'", "'priority,' || chr(10) || '\"'"),
         "csv_headers": CSV_HEADERS,
         "csv_lake": CSV_LAKE,
         "schema_contract": _contract(),

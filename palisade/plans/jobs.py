@@ -22,7 +22,8 @@ def bronze_to_silver(
     """Write silver and quarantine; the row counts come from the two writes themselves.
 
     Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also
-    counts what was read, accepted and rejected.
+    counts what was read, accepted and rejected. Silver dates that occur in ``bronze`` are replaced, so it
+    must hold those dates whole; for arriving increments see ``palisade.streaming.events``.
     """
     seen, intake = observed(
         with_flags(standardise_enums(bronze), now),

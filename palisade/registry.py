@@ -270,6 +270,13 @@ def warehouse_hourly_trend(spark, folder):
     return _shown_gold(conform(gold.hourly_detection_trend(_silver(spark, folder)), S.HOURLY_TREND_TABLE)[0])
 
 
+@query
+def warehouse_product_kpis(spark, folder):
+    scans = scans_from_bronze(_standard(spark, folder))
+    kpis = gold.product_performance_kpis(_silver(spark, folder), scans)
+    return _shown_gold(conform(kpis, S.PRODUCT_KPI_TABLE)[0])
+
+
 # --- Messages and streams ----------------------------------------------------------------------
 def _topic(spark, folder):
     return settle(topic_from_bronze(_bronze(spark, folder), ENVIRONMENT), "topic")
@@ -339,9 +346,9 @@ def stream_hourly(spark, folder):
 
 
 # --- Misaligned CSV ----------------------------------------------------------------------------
-def _order_files(spark, folder) -> str:
+def _order_files(spark, folder, gap: str = " ") -> str:
     path = shared_folder(spark, "orders-csv")
-    write_order_files(spark, folder, path)
+    write_order_files(spark, folder, path, gap)
     return path
 
 
@@ -351,6 +358,13 @@ def csv_aligned(spark, folder):
     return lines.drop("surplus", "file", "modified")
 
 
+@query
+def csv_multi_line(spark, folder):
+    path = _order_files(spark, folder, "\n")
+    records = aligned_csv.read_aligned(spark, path, [*ORDER_COLUMNS, "note"], ORDER_TYPES, multi_line=True)
+    return records.drop("surplus", "file", "modified")
+
+
 @query
 def csv_headers(spark, folder):
     headers = aligned_csv.file_headers(aligned_csv.read_lines(spark, _order_files(spark, folder)))

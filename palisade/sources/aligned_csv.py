@@ -53,13 +53,13 @@ def _with_fields(df: DataFrame, line: str, count: int, name: str) -> DataFrame:
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file: ``file``, ``header`` (its first line), ``names`` (its column names in order).
+    """One row per file: ``file``, ``header`` (its first line with text), ``names`` (its column names in order).
 
     Lines of a block are numbered in reading order, so the first line of a file is the lowest of the block
     that starts at byte 0. Written once, as the numbering must not be evaluated again.
     """
     first_lines = (
-        lines.where(F.col("block_start") == 0)
+        lines.where((F.col("block_start") == 0) & (F.trim("line") != ""))
         .withColumn("reading_order", F.monotonically_increasing_id())
         .groupBy("file")
         .agg(F.min_by("line", "reading_order").alias("header"))

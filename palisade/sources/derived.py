@@ -67,16 +67,17 @@ def topic_from_bronze(bronze: DataFrame, environment: str) -> DataFrame:
     return whole.withColumn("value", F.when(F.col("offset") % 13 == 0, cut).otherwise(F.col("value")))
 
 
-def write_order_files(spark: SparkSession, folder: str, path: str) -> None:
+def write_order_files(spark: SparkSession, folder: str, path: str, gap: str = " ") -> None:
     """The ``orders`` table as CSV files of five layouts, a fifth of the rows each.
 
-    All columns in order; two columns reversed; one column; a repeated column; values with commas and quotes.
+    All columns in order; two columns reversed; one column; a repeated column; values with commas, quotes and
+    ``gap`` between their words.
     """
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     part = F.col("o_orderkey") % 5
     # The writer trims the trailing space, so this header names the key twice.
     repeated = (-F.col("o_orderkey")).alias("o_orderkey ")
-    note = F.concat(F.lit("priority, \""), "o_orderpriority", F.lit("\""))
+    note = F.concat(F.lit(f'priority,{gap}"'), "o_orderpriority", F.lit('"'))
     layouts = {
         "whole": orders.where(part == 0).withColumn("o_orderdate", F.col("o_orderdate").cast("date")),
         "reversed": orders.where(part == 1).select("o_totalprice", "o_orderkey"),

@@ -95,6 +95,14 @@ def test_values_over_several_lines(spark, tmp_path):
     assert sorted(rows_of(aligned)) == [(1, "two\nlines", False), (2, "plain", False), (3, "x", False)]
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_blank_first_line_byte_order_mark_and_windows_line_ends(spark, tmp_path, multi_line):
+    write(tmp_path, {"blank.csv": "\n\nid,note\n1,x\n"})
+    (tmp_path / "mark.csv").write_bytes(b"\xef\xbb\xbfid,note\r\n2,y\r\n")
+    aligned = aligned_csv.read_aligned(spark, str(tmp_path), ["id", "note"], {"id": "int"}, multi_line=multi_line)
+    assert sorted(rows_of(aligned)) == [(1, "x", False), (2, "y", False)]
+
+
 def test_hundred_columns(spark, tmp_path):
     names = [f"col{number}" for number in range(100)]
     write(tmp_path, {

@@ -174,6 +174,15 @@ def test_kpis_without_and_with_scans(spark, silver):
     assert none.where("detection_rate IS NOT NULL").count() == 0
 
 
+def test_scans_are_joined_by_key(silver, plan):
+    """Null-safe equality still joins by key: no nested loop, also when neither side can be broadcast."""
+    keys = ["kpi_date", "product_version", "os_type", "country_code"]
+    counted = silver.withColumnRenamed("event_date", "kpi_date").groupBy(*keys).agg(F.count("*").alias("total_scans"))
+    text = plan(gold.product_performance_kpis(silver, counted))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert "SortMergeJoin" in text or "HashJoin" in text
+
+
 def test_fixture_counts(spark, silver):
     assert gold.daily_threat_summary(silver).count() == 701
     assert gold.hourly_detection_trend(silver).count() == 815

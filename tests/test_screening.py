@@ -7,7 +7,7 @@ from conftest import NOW
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from palisade.operators.screening import accepted, quarantine, rejected, split, standardise_enums, with_flags
+from palisade.operators.screening import accepted, drop_flags, quarantine, rejected, split, standardise_enums, with_flags
 from palisade.plans.silver import mask_addresses, quarantined_events
 
 GOOD = dict(
@@ -89,6 +89,11 @@ def test_checks_on_bare_columns_reach_the_scan(spark, bronze, tmp_path, plan):
     assert "GreaterThanOrEqual(event_timestamp" in text and "IsNotNull(device_id)" in text
 
 
+def test_flags_can_be_dropped(bronze):
+    standard = standardise_enums(bronze)
+    assert drop_flags(with_flags(standard, NOW)).columns == standard.columns
+
+
 def test_masking(spark):
     given = ["10.1.2.3", "fe80::1", "1.2.3.4:80", "::ffff:1.2.3.44", None]
     rows = spark.createDataFrame([(value,) for value in given], "ip_address STRING")
