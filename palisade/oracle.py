@@ -1,6 +1,6 @@
 """The registered queries once more as DuckDB SQL, written on their own to check the Spark results.
 
-Dates, timestamps, decimals and arrays are compared as text, on both sides.
+Dates, timestamps, decimals, arrays, flags and integers that may be NULL are compared as text, on both sides.
 """
 
 from __future__ import annotations
@@ -129,10 +129,11 @@ TEXT = "CAST({0} AS VARCHAR) AS {0}"
 LIST = "array_to_string({0}, '|') AS {0}"
 
 EVENT_TIMES = STAMP.format("event_timestamp") + ", " + STAMP.format("ingestion_timestamp")
-FLAGS = (
-    "is_valid_event_id, is_valid_severity, is_valid_action, is_valid_detection, is_valid_os, is_not_null, "
-    "is_valid_timestamp, is_valid_record"
-)
+FLAG_NAMES = (
+    "is_valid_event_id is_valid_severity is_valid_action is_valid_detection is_valid_os is_not_null "
+    "is_valid_timestamp is_valid_record"
+).split()
+FLAGS = ", ".join(TEXT.format(name) for name in FLAG_NAMES)
 SILVER_COLUMNS = (
     "event_id, device_id, customer_id, threat_name, threat_hash, severity, action_taken, detection_type, file_path, "
     "file_size_bytes, os_type, os_version, product_version, country_code, kafka_partition, kafka_offset, "
@@ -185,7 +186,7 @@ def _contract() -> str:
         nulls = f"count(*) FILTER ({name} IS NULL)" if name in REQUIRED else "0"
         lines.append(
             f"SELECT '{name}' AS \"column\", '{kind}' AS expected, '{kind}' AS actual, count(*) AS \"rows\", "
-            f"CAST({nulls} AS BIGINT) AS forbidden_nulls, {nulls} = 0 AS agrees FROM bronze"
+            f"CAST({nulls} AS BIGINT) AS forbidden_nulls, CAST({nulls} = 0 AS VARCHAR) AS agrees FROM bronze"
         )
     return _sql(" UNION ALL ".join(lines))
 
@@ -264,17 +265,17 @@ HOURLY_STREAM = f"""SELECT {DATED} FROM hourly
  WHERE CAST(event_date AS TIMESTAMP) + (event_hour + 1) * INTERVAL '1' HOUR
        <= (SELECT max(event_timestamp) FROM flagged WHERE is_valid_record) - INTERVAL '2' HOUR"""
 
-CSV_ROWS = """SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus,
+CSV_ROWS = """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus,
   CAST(NULL AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority,
   CAST(NULL AS VARCHAR) AS note FROM orders WHERE o_orderkey % 5 = 2
- UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR), o_orderpriority, NULL
+ UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), o_orderstatus, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR), o_orderpriority, NULL
   FROM orders WHERE o_orderkey % 5 = 0
  UNION ALL SELECT o_orderkey, NULL, NULL, o_totalprice, NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 1
- UNION ALL SELECT o_orderkey, o_custkey, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 3
+ UNION ALL SELECT o_orderkey, CAST(o_custkey AS VARCHAR), NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 5 = 3
  UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'priority, "' || o_orderpriority || '"' FROM orders WHERE o_orderkey % 5 = 4"""
 
-CSV_LAKE = f"""SELECT CAST(extract(year FROM load_date) AS INT) AS "year", CAST(extract(month FROM load_date) AS INT) AS "month",
-  CAST(extract(day FROM load_date) AS INT) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum
+CSV_LAKE = f"""SELECT CAST(extract(year FROM load_date) AS VARCHAR) AS "year",
+  CAST(extract(month FROM load_date) AS VARCHAR) AS "month", CAST(extract(day FROM load_date) AS VARCHAR) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum
  FROM (SELECT *, date_trunc('month', CAST(o_orderdate AS DATE)) AS load_date FROM ({CSV_ROWS})) GROUP BY load_date"""
 
 CSV_HEADERS = """SELECT n AS column_count, missing, repeated, unknown FROM (VALUES
@@ -341,7 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "warehouse_hourly_trend": _sql(WAREHOUSE_HOURLY),
         "warehouse_product_kpis": _sql(
             f"SELECT * REPLACE ({_as('INT', 'active_devices')}), CAST(NULL AS VARCHAR) AS false_positive_rate, "
-            f"CAST(NULL AS INT) AS avg_detection_time_ms, CAST(NULL AS VARCHAR) AS protection_score FROM ({KPIS})"
+            f"CAST(NULL AS VARCHAR) AS avg_detection_time_ms, CAST(NULL AS VARCHAR) AS protection_score FROM ({KPIS})"
         ),
         "publish_rows": _sql(MESSAGES),
         "dead_letters": _sql(LETTERS),

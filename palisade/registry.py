@@ -1,6 +1,7 @@
 """Every operator and table as a query over the test data folder.
 
-Results show dates, timestamps, decimals and arrays as text, so that they compare equal across engines.
+Results show dates, timestamps, decimals, arrays, flags and integers that may be NULL as text, so that they
+compare equal across engines and clients.
 """
 
 from __future__ import annotations
@@ -54,13 +55,17 @@ def _as_text(df: DataFrame) -> DataFrame:
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(field.dataType, T.ArrayType):
             column = F.array_join(column, "|")
-        elif isinstance(field.dataType, (T.DateType, T.DecimalType, T.BinaryType)):
+        elif isinstance(field.dataType, (T.DateType, T.DecimalType, T.BinaryType, T.BooleanType)):
             column = column.cast("string")
         return column.alias(field.name)
 
     return df.select(*[shown(field) for field in df.schema.fields])
 
 
+def _text(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.col(name).cast("string") for name in names})
+
+
 def query(function: Callable[[SparkSession, str], DataFrame]):
     """Register under the function's name, less a trailing underscore."""
 
@@ -274,7 +279,7 @@ def warehouse_hourly_trend(spark, folder):
 def warehouse_product_kpis(spark, folder):
     scans = scans_from_bronze(_standard(spark, folder))
     kpis = gold.product_performance_kpis(_silver(spark, folder), scans)
-    return _shown_gold(conform(kpis, S.PRODUCT_KPI_TABLE)[0])
+    return _text(_shown_gold(conform(kpis, S.PRODUCT_KPI_TABLE)[0]), "avg_detection_time_ms")
 
 
 # --- Messages and streams ----------------------------------------------------------------------
@@ -355,14 +360,14 @@ def _order_files(spark, folder, gap: str = " ") -> str:
 @query
 def csv_aligned(spark, folder):
     lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), [*ORDER_COLUMNS, "note"], ORDER_TYPES)
-    return lines.drop("surplus", "file", "modified")
+    return _text(lines.drop("surplus", "file", "modified"), "o_custkey")
 
 
 @query
 def csv_multi_line(spark, folder):
     path = _order_files(spark, folder, "\n")
     records = aligned_csv.read_aligned(spark, path, [*ORDER_COLUMNS, "note"], ORDER_TYPES, multi_line=True)
-    return records.drop("surplus", "file", "modified")
+    return _text(records.drop("surplus", "file", "modified"), "o_custkey")
 
 
 @query
@@ -376,7 +381,8 @@ def _with_load_date(orders: DataFrame) -> DataFrame:
 
 
 def _per_day(lake: DataFrame) -> DataFrame:
-    return lake.groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+    counted = lake.groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
+    return _text(counted, "year", "month", "day")
 
 
 @query
