@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.llm import near_duplicates as near
 from palisade.llm import substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,8 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = substrings.remove_repeats(docs, window=35)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), shingle=4, percent=80)

@@ -24,3 +24,28 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
        sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op9_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, w FROM (
+        SELECT doc_id, array_to_string(words[i : i + 3], ' ') AS w
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 2)) AS i FROM d WHERE len(words) >= 4)
+        UNION ALL
+        SELECT doc_id, array_to_string(words, ' ') FROM d WHERE len(words) BETWEEN 1 AND 3
+    )
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+same AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m FROM s x JOIN s y ON x.w = y.w AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM same JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * m >= 80 * (p.n + q.n - m)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.other
+), root AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM root LEFT JOIN n USING (doc_id)
+"""
