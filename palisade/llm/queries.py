@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.llm import bpe, sharding, substrings
 from palisade.llm import near_duplicates as near
-from palisade.llm import substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -22,6 +23,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text).cast("bigint") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    placed = sharding.shard_rows(rows, shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "global_row"
+    )
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -29,6 +42,17 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    done = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return done.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), shingle=4, percent=80)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from palisade.llm.sharding import PRIME, ROUNDS
+
 SQL: dict[str, str] = {}
 
 SQL["op5_substring_dedup"] = r"""
@@ -49,3 +51,49 @@ same AS (
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM root LEFT JOIN n USING (doc_id)
 """
+
+
+def _network(x: str, seed: int = 1) -> str:
+    """The Feistel network of ``sharding.permuted`` on the expression ``x``; expects the moduli l_m and r_m as columns."""
+    steps = f"SELECT ({x}) // r_m AS l, ({x}) % r_m AS r"
+    state = seed % PRIME
+    for i in range(ROUNDS):
+        state = (state * 48271 + 11 * i + 7) % PRIME
+        modulus = "l_m" if i % 2 == 0 else "r_m"
+        steps = (
+            f"SELECT r AS l, (l + ((v * v) % {PRIME} * 39373 + v) % {PRIME}) % {modulus} AS r "
+            f"FROM (SELECT l, r, (r % {PRIME} * 16807 + {state}) % {PRIME} AS v FROM ({steps}))"
+        )
+    return f"(SELECT l * r_m + r FROM ({steps}))"
+
+
+# CRC-32 isn't built into DuckDB: the usual table of 256 entries by its rule, then byte by byte.
+SQL["op3_feistel_sharding"] = f"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS steps
+    FROM (SELECT unnest(range(256)) AS i)
+), doc AS (
+    SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size,
+           list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS octets
+    FROM documents
+), rows AS (
+    SELECT doc_id, size,
+           xor(list_reduce(list_prepend(4294967295, octets), lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS text_crc32
+    FROM doc, crc
+), numbered AS (
+    SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', coalesce(doc_id::VARCHAR, '-'), size::VARCHAR, text_crc32::VARCHAR)),
+                                 doc_id NULLS FIRST, size, text_crc32) - 1 AS global_row
+    FROM rows
+), moduli AS (
+    SELECT n, l_m, (n + l_m - 1) // l_m AS r_m
+    FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS l_m FROM rows)
+), walk AS (
+    SELECT global_row, n, l_m, r_m, {_network("global_row")} AS p FROM numbered, moduli
+    UNION ALL
+    SELECT global_row, n, l_m, r_m, {_network("p")} FROM walk WHERE p >= n
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+       CAST(p % 16 AS INTEGER) AS shard, CAST(p // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(global_row AS BIGINT) AS global_row
+FROM numbered JOIN walk USING (global_row) WHERE p < n
+"""
