@@ -34,11 +34,13 @@ def layout(docs: DataFrame, text: str, key_bytes_per_text_byte: float) -> Layout
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(least, int(total / (64 << 20)))
+    # Chunks times buckets is the number of requests; larger ones for a larger corpus keep requests from becoming tiny.
+    scale = min(8.0, max(1.0, (total / (64 << 30)) ** 0.5))
+    chunks = max(least, int(total / (CHUNK_BYTES * scale)))
     return Layout(
-        chunks=max(4 * partitions, int(total / CHUNK_BYTES)),
-        buckets=max(2 * least, int(total * key_bytes_per_text_byte / BUCKET_BYTES)),
-        partitions=partitions,
+        chunks=chunks,
+        buckets=max(least, int(total * key_bytes_per_text_byte / (BUCKET_BYTES * scale))),
+        partitions=max(least, chunks // 8),
     )
 
 
