@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import bpe, sharding, substrings
+from palisade.llm import bpe, sharding, substrings, toxicity, vectors
 from palisade.llm import near_duplicates as near
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,16 @@ def op3_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(~held_out)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -56,3 +66,9 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"), shingle=4, percent=80)
+
+
+@query
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors.quantised(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return vectors.top_k(rows, rows.filter("vec_id % 100 = 0"), k=10)

@@ -97,3 +97,16 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
        CAST(p % 16 AS INTEGER) AS shard, CAST(p // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(global_row AS BIGINT) AS global_row
 FROM numbered JOIN walk USING (global_row) WHERE p < n
 """
+
+SQL["op10_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
