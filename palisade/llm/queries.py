@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import bpe, sharding, substrings, toxicity, vectors
+from palisade.llm import bpe, decontamination, licenses, sharding, substrings, toxicity, vectors
 from palisade.llm import near_duplicates as near
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentence_ids", " ").alias("sentence_ids"), F.array_join("licenses", "|").alias("licenses"), "verdict")
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
 @query
 def op3_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))

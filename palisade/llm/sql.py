@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from palisade.llm import licenses
 from palisade.llm.sharding import PRIME, ROUNDS
 
 SQL: dict[str, str] = {}
@@ -110,3 +111,79 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
 """
+
+SQL["op2_decontamination"] = r"""
+WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+    UNION ALL
+    SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') FROM benchmark
+), s AS (
+    SELECT DISTINCT kind, id, shingle FROM (
+        SELECT kind, id, array_to_string(w[i : i + 4], ' ') AS shingle
+        FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5)
+        UNION ALL
+        SELECT kind, id, '<' || array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4
+    )
+), n AS (SELECT id AS item_id, count(*) AS n FROM s WHERE kind = 'i' GROUP BY id),
+pairs AS (
+    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+    FROM s d JOIN s i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle GROUP BY ALL
+)
+SELECT doc_id, item_id, n AS n_item_shingles, shared AS n_shared, CAST(shared AS DOUBLE) / n AS containment
+FROM pairs JOIN n USING (item_id) WHERE CAST(shared AS DOUBLE) / n >= CAST(0.8 AS DOUBLE)
+"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _normalised(sentence: str) -> str:
+    sentence = f"lower({sentence})"
+    for pattern, replacement in licenses.STEPS:
+        sentence = f"regexp_replace({sentence}, {_text(pattern)}, {_text(replacement)}, 'g')"
+    return sentence
+
+
+def _listed(rows: list[tuple[str, str]], names: str) -> str:
+    return "(VALUES " + ", ".join(f"({i}, {_text(a)}, {_text(b)})" for i, (a, b) in enumerate(rows)) + f") AS t({names})"
+
+
+SQL["op1_license_scan"] = rf"""
+WITH RECURSIVE known AS (
+    SELECT DISTINCT id, {_normalised("text")} AS s FROM {_listed(licenses.known_sentences(), "n, id, text")}
+), doc AS (
+    SELECT doc_id, regexp_replace(text, {_text(licenses.LINE_START)}, chr(10), 'g') AS bare FROM documents
+    WHERE {" OR ".join(f"contains(lower(text), {_text(hint)})" for hint in licenses.HINTS)}
+), body AS (
+    SELECT doc_id, 'lines' AS reading, regexp_split_to_array(bare, {_text(licenses.SENTENCE_END)}) AS parts FROM doc
+    UNION ALL
+    SELECT doc_id, 'paragraphs',
+           regexp_split_to_array(regexp_replace(bare, '([^\r\n])\r?\n([^\r\n])', '\1 \2', 'g'), {_text(licenses.PARAGRAPH_END)}) FROM doc
+), sentence AS (
+    SELECT doc_id, reading, place, {_normalised("part")} AS s
+    FROM (SELECT doc_id, reading, unnest(range(len(parts))) AS place, unnest(parts) AS part FROM body)
+), reading AS (
+    SELECT doc_id, reading, count(id) AS n, coalesce(list(id ORDER BY place) FILTER (id IS NOT NULL), []) AS ids,
+           count(*) FILTER (id IS NULL AND regexp_matches(s, '(^| )licensed? ')) AS open
+    FROM sentence LEFT JOIN known USING (s) WHERE s <> '' GROUP BY ALL
+), best AS (
+    SELECT * FROM reading QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, reading) = 1
+), rule AS (SELECT n, name, ' ' || part || ' ' AS part FROM {_listed(licenses.RULES, "n, name, part")}),
+applied AS (
+    SELECT doc_id, 0 AS step, ' ' || list_aggregate(list_transform(ids, lambda i: i || ' '), 'string_agg', '') AS rest, []::VARCHAR[] AS names
+    FROM best WHERE len(ids) > 0
+    UNION ALL
+    SELECT doc_id, step + 1, replace(rest, part, ' | '), CASE WHEN contains(rest, part) THEN list_append(names, name) ELSE names END
+    FROM applied JOIN rule ON rule.n = applied.step
+), final AS (SELECT * FROM applied WHERE step = (SELECT count(*) FROM rule)),
+firsts AS (
+    SELECT doc_id, string_agg(name, '|' ORDER BY place) AS licenses
+    FROM (SELECT doc_id, name, min(place) AS place FROM (SELECT doc_id, unnest(names) AS name, unnest(range(len(names))) AS place FROM final) GROUP BY ALL)
+    GROUP BY doc_id
+)
+SELECT doc_id, coalesce(array_to_string(ids, ' '), '') AS sentence_ids, coalesce(licenses, '') AS licenses,
+       CASE WHEN regexp_replace(coalesce(rest, ''), '[| ]+', '', 'g') <> '' THEN 'partial' WHEN licenses IS NOT NULL THEN 'known'
+            WHEN open > 0 THEN 'unknown' ELSE 'none' END AS verdict
+FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN final USING (doc_id) LEFT JOIN firsts USING (doc_id)
+"""
