@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import bpe, decontamination, licenses, sharding, substrings, toxicity, vectors
+from palisade.llm import bpe, decontamination, licenses, sharding, substrings, suffixes, toxicity, vectors, warc
 from palisade.llm import near_duplicates as near
 
+# The test pages bring no date of their own.
+CAPTURED, DERIVED = "2024-01-01T00:00:00Z", "2024-02-01T00:00:00Z"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -64,6 +67,17 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    sources = warc.responses_of_pages(table(spark, folder, "pages"), date=CAPTURED)
+    return warc.derive(sources, date=DERIVED).drop("record")
+
+
+@query
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_passages(table(spark, folder, "documents").select("doc_id", "text"), length=50)
+
+
 @query
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     done = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)

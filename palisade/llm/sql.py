@@ -53,6 +53,22 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM root LEFT JOIN n USING (doc_id)
 """
 
+SQL["op7_suffix_array_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), win AS (
+    SELECT doc_id, i, array_to_string(words[i + 1 : i + 50], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(range(len(words) - 49)) AS i FROM d WHERE len(words) >= 50)
+), hits AS (
+    SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+    FROM win WHERE w IN (SELECT w FROM win GROUP BY w HAVING count(*) > 1)
+), islands AS (
+    SELECT doc_id, i, sum(CASE WHEN before >= i - 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM hits
+)
+SELECT doc_id, CAST(any_value(len(words)) AS BIGINT) AS n_words, CAST(min(i) AS BIGINT) AS start, CAST(max(i) + 50 AS BIGINT) AS "end"
+FROM islands JOIN d USING (doc_id) GROUP BY doc_id, island
+"""
+
 
 def _network(x: str, seed: int = 1) -> str:
     """The Feistel network of ``sharding.permuted`` on the expression ``x``; expects the moduli l_m and r_m as columns."""
