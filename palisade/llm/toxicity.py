@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palisade.session import settle
+
 # Bounds of the training sample, in rows of each label, and of the model.
 TOXIC_ROWS = 4_000
 CLEAN_ROWS = 8_000
@@ -79,9 +81,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("toxic"))
     order = F.md5(F.col("id").cast("string"))
     chosen = [marked.filter(F.col("toxic") == value).orderBy(order).limit(rows) for value, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
-    chosen = chosen[0].unionAll(chosen[1])
+    chosen = F.broadcast(chosen[0].unionAll(chosen[1]))  # bounded by the two limits
     texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    sample = texts.join(chosen, "id").select("id", "text", "toxic")
+    sample = settle(texts.join(chosen, "id").select("id", "text", "toxic"), "sample")
 
     toxic, clean, counts = _pattern_counts(sample)
     if not toxic or not clean:
