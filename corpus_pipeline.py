@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from palisade.llm import bpe, decontamination, substrings, toxicity
 from palisade.llm.near_duplicates import drop_near_duplicates
+from palisade.llm.workers import on_path
 from palisade.session import settle
 
 # A document goes if it is more likely toxic than not.
@@ -64,7 +65,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; what one returns is written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = on_path(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), "stage")
     return STAGES[-1][1](spark, docs, sf_dir)

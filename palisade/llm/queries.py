@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from palisade.llm import bpe, decontamination, licenses, sharding, substrings, suffixes, toxicity, vectors, warc
 from palisade.llm import near_duplicates as near
+from palisade.llm.workers import on_path
 
 # The test pages bring no date of their own.
 CAPTURED, DERIVED = "2024-01-01T00:00:00Z", "2024-02-01T00:00:00Z"
@@ -18,8 +20,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return function(on_path(spark), folder)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
