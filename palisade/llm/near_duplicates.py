@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.llm.arrays import mix, read_words, shingle_sets
@@ -36,8 +36,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     1. Documents with equal sets form a class; only its smallest key goes on.
     2. Classes meet in bands of min-max signatures: at 0.8 a link escapes all 32 bands with a probability of 5e-8.
        In each bucket every class is compared with the smallest key only, and components are formed.
-    3. Where a bucket still holds several components, every pair across them is compared, so that no link between
-       components is lost. The largest component of a bucket is never paired with itself.
+    3. Classes of buckets that still hold several components are compared across components wherever they share one of
+       their rarest shingles, as all linked sets do, so that no link between components is lost. Of the classes that share
+       such a shingle, the largest component is never paired with itself.
 
     Every link is confirmed on the texts' whole sets. NULL keys take part in no link: component_id is NULL, kept is true.
     Rows with equal key and text share a class, so both are kept or both are not. An empty table gives an empty result.
@@ -63,20 +64,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     links = settle(_confirmed(first, texts, shingle, percent), "links")
     parts = settle(components(links), "components")
 
-    placed = members.join(parts, "node", "left").select(
-        "bucket", "node", "n", "low", "high", F.coalesce("component", "node").alias("part")
-    )
-    split = (
-        placed.groupBy("bucket", "part").agg(F.count("*").alias("size"))
-        .groupBy("bucket").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-    )
-    mixed = settle(placed.join(split, "bucket"), "buckets")
-    others = mixed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "low", "high", "part")])
-    across = mixed.filter("part <> largest").join(others, "bucket").filter(
+    placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    nodes = _split(placed).dropDuplicates(["node"]).select("node", "n", "low", "high", "part")
+    nodes = settle(nodes, "nodes")
+    rare = settle(_split(_rare_shingles(texts, nodes, shingle, percent)), "rare")
+    others = rare.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "low", "high", "part", "place")])
+    across = rare.filter("part <> largest").join(others, "bucket").filter(
         (F.col("part") != F.col("part_b"))
         & ((F.col("part_b") == F.col("largest")) | (F.col("node") < F.col("node_b")))
         & _may_link(percent)
+        & _enough_left(percent)
     )
     second = across.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
     second = settle(second.join(first, ["a", "b"], "left_anti"), "pairs")
@@ -117,6 +114,47 @@ def _may_link(percent: int):
     return sizes & (bits <= SKETCH_DIFFERENCES)
 
 
+def _split(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with the component of most of a bucket's nodes."""
+    split = (
+        placed.groupBy("bucket", "part").agg(F.count("*").alias("size"))
+        .groupBy("bucket").agg(F.max_by("part", F.struct("size", "part")).alias("largest"), F.count("*").alias("parts"))
+        .filter("parts > 1")
+    )
+    return placed.join(split.select("bucket", "largest"), "bucket")
+
+
+def _enough_left(percent: int):
+    """Whether the sets can share enough if this is the first shingle that they share: both are in one order."""
+    least = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_b")) / (100 + percent))
+    return F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) >= least
+
+
+def _rare_shingles(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rarest shingles of each node as ``bucket``, with their place in the order from rare to frequent.
+
+    Two sets that are linked share at least ``percent`` of either one. So if all shingles are put in one order, linked sets
+    share one of the first shingles of both, as many as may be missing and one more. From rare to frequent these are mostly
+    what edits have brought in, which few copies have in common.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                values, places = shingle_sets(read_words(part.column(1), lower=True), shingle)
+                owners = np.repeat(part.column(0).to_numpy(zero_copy_only=False), np.diff(places))
+                yield pa.record_batch([pa.array(owners, pa.int64()), pa.array(values.view(np.int64))], names=["node", "bucket"])
+
+    wanted = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
+    rows = wanted.mapInArrow(listed, "node bigint, bucket bigint").repartition("bucket")
+    frequent = rows.join(rows.groupBy("bucket").agg(F.count("*").alias("held")), "bucket")
+    order = Window.partitionBy("node").orderBy("held", "bucket")
+    ranked = frequent.withColumn("place", F.row_number().over(order) - 1).join(nodes, "node")
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return ranked.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held")
+
+
 def _signed(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     rng = np.random.Generator(np.random.PCG64(20240229))
     factors = rng.integers(0, 1 << 64, FUNCTIONS, np.uint64, endpoint=False) | np.uint64(1)
