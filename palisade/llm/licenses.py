@@ -21,9 +21,9 @@ SENTENCES = [
     ("bsd-endorse", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("bsd-warranty", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
     ("isc-grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
-    ("apache2-license", "Licensed under the Apache License, Version 2.0 (the \"License\");"),
-    ("apache2-except", "you may not use this file except in compliance with the License."),
+    ("apache2-grant", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
     ("apache2-copy", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache2-copy", "You may obtain a copy of the License at"),
     ("apache2-basis", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("apache2-see", "See the License for the specific language governing permissions and limitations under the License."),
     ("gpl-free", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
@@ -71,9 +71,9 @@ RULES = [
     ("BSD-2-Clause", "bsd-grant bsd-source bsd-binary bsd-warranty"),
     ("BSD-2-Clause", "bsd-grant bsd-source bsd-binary"),
     ("ISC", "isc-grant"),
-    ("Apache-2.0", "apache2-license apache2-except apache2-copy apache2-basis apache2-see"),
-    ("Apache-2.0", "apache2-license apache2-except apache2-copy"),
-    ("Apache-2.0", "apache2-license"),
+    ("Apache-2.0", "apache2-grant apache2-copy apache2-basis apache2-see"),
+    ("Apache-2.0", "apache2-grant apache2-copy"),
+    ("Apache-2.0", "apache2-grant"),
     ("GPL-3.0-or-later", "gpl-free gpl-hope gpl-see gpl-received"),
     ("GPL-3.0-or-later", "gpl-free"),
     ("GPL-2.0-or-later", "gpl-free-2 gpl-hope gpl-see gpl-received"),
@@ -89,10 +89,13 @@ LEAD = (
     r"( and distributed)? under (the )?(terms of (the )?)?"
 )
 # The parts of a sentence's end: a mark and blanks, or line ends.
-SENTENCE_END = r"[.!?;:][\"')]*[ \t]+|[ \t]*[\r\n]+[ \t]*"
-PARAGRAPH_END = r"[.!?;:][\"')]*[ \t\r\n]+|[\r\n]+[ \t]*[\r\n]+"
+SENTENCE_END = r"[.!?][\"')]*[ \t]+|[ \t]*[\r\n]+[ \t]*"
+PARAGRAPH_END = r"[.!?][\"')]*[ \t\r\n]+|[\r\n]+[ \t]*[\r\n]+"
 LINE_START = r"(^|\n)[ \t]*(//+|#+|\*+|/\*+|;+|--|%+|[0-9]+\.)[ \t]*"
 
+# What a sentence that speaks of a license holds.
+OPEN = "(^| )licensed?( |$)"
+
 # Steps of the normalisation after lower case, as pattern and replacement.
 STEPS = [
     (r"licence", "license"),
@@ -173,7 +176,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     state = F.when(F.size(ids) > 0, F.aggregate(rules, start, apply)).otherwise(start)
     matched = scanned.select(*kept, "found sentences", ids.alias("sentence_ids"), state.alias("matched rules"))
-    open_statement = F.exists("found sentences", lambda s: s["id"].isNull() & s["text"].rlike(r"(^| )licensed? "))
+    open_statement = F.exists("found sentences", lambda s: s["id"].isNull() & s["text"].rlike(OPEN))
     verdict = (
         F.when(F.regexp_replace("matched rules.rest", "[| ]+", "") != "", "partial")
         .when(F.size("matched rules.names") > 0, "known")

@@ -181,7 +181,7 @@ WITH RECURSIVE known AS (
     FROM (SELECT doc_id, reading, unnest(range(len(parts))) AS place, unnest(parts) AS part FROM body)
 ), reading AS (
     SELECT doc_id, reading, count(id) AS n, coalesce(list(id ORDER BY place) FILTER (id IS NOT NULL), []) AS ids,
-           count(*) FILTER (id IS NULL AND regexp_matches(s, '(^| )licensed? ')) AS open
+           count(*) FILTER (id IS NULL AND regexp_matches(s, {_text(licenses.OPEN)})) AS open
     FROM sentence LEFT JOIN known USING (s) WHERE s <> '' GROUP BY ALL
 ), best AS (
     SELECT * FROM reading QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, reading) = 1

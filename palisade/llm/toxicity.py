@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from palisade.session import settle
 
@@ -113,8 +114,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
                 scores[i] = 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
             yield pa.record_batch([*batch.columns[:-1], pa.array(scores)], names=[*(f.name for f in kept), name])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.select(*[f.name for f in kept], F.col(text).alias("text to score")).mapInArrow(run, f"{schema}, `{name}` double")
+    schema = T.StructType([*kept, T.StructField(name, T.DoubleType())])
+    return docs.select(*[f.name for f in kept], F.col(text).alias("text to score")).mapInArrow(run, schema)
 
 
 def _pattern_counts(sample: DataFrame) -> tuple[int, int, list]:
@@ -180,17 +181,15 @@ def _votes(sample: DataFrame, patterns: list[str]) -> tuple[np.ndarray, np.ndarr
 def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 8) -> tuple[LabelModel, np.ndarray]:
     """Fit the generative model by expectation maximisation; the given label is one more, imperfect voter.
 
-    The first rounds take voters as independent given the class. Then each voter may depend on one other: the edges are
-    those of the heaviest tree by conditional mutual information that pass a test, so that voters who repeat each other
-    aren't counted twice. Returns the model and each row's probability of being toxic.
+    Each voter may depend on one other: the edges are those of the heaviest tree by mutual information given the class, as
+    the labels have it, that pass a test, so that voters who repeat each other aren't counted twice. Returns the model and
+    each row's probability of being toxic.
     """
     rows, voters = fires.shape
     votes = fires.astype(np.float64)
-    parents = np.full(voters, -1)
     posterior = np.where(given, 0.95, 0.05)
-    for step in range(2 * rounds):
-        if step == rounds and voters > 1:
-            parents = _dependencies(votes, posterior)
+    parents = _dependencies(votes, posterior)
+    for _ in range(rounds):
         above = np.where(parents >= 0, votes[:, parents], 0.0)
         rates = np.empty((2, 2, voters))
         label_rates = np.empty(2)

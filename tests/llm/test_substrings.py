@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import pytest
+from helpers import odd_docs, odd_rows, prose, repeated_places, words
+
+from palisade.llm.substrings import remove_repeats
+from palisade.llm.suffixes import repeated_passages
+
+
+def test_every_oddity_equals_brute_force(spark):
+    rows = odd_rows()
+    places = repeated_places([t for _, t in rows], 35)
+    want = sorted((str(i), len(words(t)), len(p), " ".join(w for n, w in enumerate(words(t)) if n not in p)) for (i, t), p in zip(rows, places, strict=True))
+    found = remove_repeats(odd_docs(spark), 35)
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.text) for r in found.collect()) == want
+    assert {"chunk", "row", "bucket", "kept"} <= set(found.columns)
+    assert sum(len(p) > 0 for p in places) > 5
+
+
+def test_original_layout_keeps_untouched_texts_and_blanks(spark):
+    passage = prose(2, 40)
+    rows = [(1, f"Kept  here.\n{passage}\n\nand  there"), (2, f"{passage}  end"), (3, "untouched\t text \n"), (4, None), (5, f"begin {passage}")]
+    found = {r.doc_id: r for r in remove_repeats(odd_docs(spark, rows), 35, layout="original").collect()}
+    assert [found[i].text for i in range(1, 6)] == ["Kept  here.\nand  there", "end", "untouched\t text \n", None, "begin "]
+    assert [(s.start, s.end) for s in found[1].removed_spans] == [(2, 42)]
+
+
+@pytest.mark.parametrize("function", [remove_repeats, repeated_passages])
+def test_empty_table(spark, function):
+    assert function(odd_docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("function", [remove_repeats, repeated_passages])
+def test_texts_without_any_window(spark, function):
+    found = function(odd_docs(spark, [(1, None), (2, ""), (3, "a b c")])).collect()
+    assert [r.n_removed for r in found] == [0, 0, 0] if function is remove_repeats else found == []
+
+
+def test_passages_equal_brute_force(spark):
+    rows = odd_rows()
+    want = []
+    for (i, t), p in zip(rows, repeated_places([t for _, t in rows], 50), strict=True):
+        edges = sorted(p)
+        starts = [n for n in edges if n - 1 not in p]
+        ends = [n + 1 for n in edges if n + 1 not in p]
+        want += [(str(i), len(words(t)), a, b) for a, b in zip(starts, ends, strict=True)]
+    found = repeated_passages(odd_docs(spark), 50).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.start, r.end) for r in found) == sorted(want)
+    assert len(want) > 5
+
+
+def test_a_longer_neighbour_hides_no_passage(spark):
+    """The longest match right of a position may be with another text than the one that shares the words left of it."""
+    left, middle, right = prose(11, 40), prose(12, 40), prose(13, 60)
+    rows = [(1, f"{left} {middle} {right}"), (2, f"{prose(14, 50)} {middle} {right}"), (3, f"{left} {middle} {prose(15, 50)}")]
+    found = {(r.doc_id, r.start, r.end) for r in repeated_passages(odd_docs(spark, rows), 50).collect()}
+    assert found == {(1, 0, 140), (2, 50, 150), (3, 0, 80)}
+
+
+def test_many_suffixes_behind_one_passage(spark):
+    passage = prose(20, 52)
+    rows = [(n, f"{prose(100 + n, 20)} {passage} {prose(1000 + n, 70)}") for n in range(300)]
+    want = [(n, min(p), max(p) + 1) for n, p in enumerate(repeated_places([t for _, t in rows], 50))]
+    found = repeated_passages(odd_docs(spark, rows), 50).collect()
+    assert sorted((r.doc_id, r.start, r.end) for r in found) == want
+    assert all(a <= 20 and b >= 72 for _, a, b in want)
