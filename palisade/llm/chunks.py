@@ -45,11 +45,11 @@ def layout(docs: DataFrame, text: str, key_bytes_per_text_byte: float) -> Layout
 
 
 def dealt(docs: DataFrame, key: str, text: str, plan: Layout) -> DataFrame:
-    """Columns ``chunk``, ``text`` and the struct ``row`` of all columns."""
+    """Columns ``chunk``, ``text`` and the struct ``row`` of all other columns."""
     return docs.select(
         F.pmod(F.xxhash64(F.col(key).cast("string"), F.col(text)), F.lit(plan.chunks)).alias("chunk"),
         F.col(text).alias("text"),
-        F.struct("*").alias("row"),
+        F.struct(F.lit(0).alias("no column"), *[F.col(c) for c in docs.columns if c != text]).alias("row"),
     ).repartition(plan.partitions, "chunk")
 
 

@@ -68,7 +68,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, key: str = "doc_id", text:
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
         [
-            T.StructField("row", docs.schema),
+            T.StructField("row", chunked.schema["row"].dataType),
             T.StructField("kept", T.StringType()),
             T.StructField("n_words", T.LongType()),
             T.StructField("n_removed", T.LongType()),
