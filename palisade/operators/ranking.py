@@ -11,8 +11,8 @@ def dense_rank_by_count(groups: DataFrame, count_column: str, rank_column: str)
 
     Only the distinct counts are ranked. They are positive integers that add up to at most the
     number N of counted rows, so there are fewer than sqrt(2 N) of them: 1.5 million for a million
-    million rows. That bound is what makes the single-task window and the broadcast safe.
+    million rows. That bound is what makes the single-task window safe; AQE broadcasts the ranks if they measure small.
     """
     order = Window.orderBy(F.col(count_column).desc())
     ranks = groups.select(count_column).distinct().withColumn(rank_column, F.row_number().over(order))
-    return groups.join(F.broadcast(ranks), count_column)
+    return groups.join(ranks, count_column)

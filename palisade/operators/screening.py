@@ -46,8 +46,10 @@ def is_accepted(now=None) -> Column:
 
 
 def with_flags(events: DataFrame, now=None) -> DataFrame:
-    """All flags plus the composite ``is_valid_record``."""
-    return events.withColumns({**checks(now), "is_valid_record": is_accepted(now)})
+    """All flags plus the composite ``is_valid_record``, which is made of the flags, so each check runs once."""
+    flagged = events.withColumns(checks(now))
+    composite = reduce(and_, (F.col(name) for name in rejecting_checks(now)))
+    return flagged.withColumn("is_valid_record", F.coalesce(composite, F.lit(False)))
 
 
 def accepted(events: DataFrame, now=None) -> DataFrame:
@@ -85,4 +87,5 @@ def quarantine(rejected_events: DataFrame, quarantined_at=None) -> DataFrame:
 
 
 def drop_flags(events: DataFrame) -> DataFrame:
-    return events.drop(*[name for name in events.columns if name.startswith("is_valid_") or name == "is_not_null"])
+    """Without the columns that ``with_flags`` adds."""
+    return events.drop(*checks(), "is_valid_record")

@@ -260,10 +260,16 @@ MESSAGES = f"""SELECT device_id AS "key", {PAYLOAD} AS "value",
 LETTERS = f"""SELECT substr(payload, 1, length(payload) - 7) AS original_event, 'UNREADABLE_JSON' AS error,
   'detections.raw' AS topic FROM (SELECT {PAYLOAD} AS payload FROM bronze WHERE kafka_offset % 13 = 0)"""
 
-# An hour is complete when it ends no later than two hours before the latest accepted event.
-HOURLY_STREAM = f"""SELECT {DATED} FROM hourly
- WHERE CAST(event_date AS TIMESTAMP) + (event_hour + 1) * INTERVAL '1' HOUR
-       <= (SELECT max(event_timestamp) FROM flagged WHERE is_valid_record) - INTERVAL '2' HOUR"""
+AUDIT = "'2026-12-01 00:00:00.000000' AS gold_processed_at, 'dev' AS environment"
+OTHER_DATES = "event_date <> DATE '2024-02-15'"
+
+LETTER_KINDS = f"""SELECT
+  CASE kafka_offset % 6 WHEN 0 THEN NULL WHEN 1 THEN payload || ' ' || payload WHEN 2 THEN ' ' WHEN 3 THEN 'null'
+    WHEN 4 THEN '[' || payload || ']' ELSE substr(payload, 1, length(payload) - 7) END AS original_event,
+  CASE kafka_offset % 6 WHEN 0 THEN 'INVALID_UTF8' WHEN 1 THEN 'SEVERAL_VALUES' WHEN 2 THEN 'EMPTY_MESSAGE' WHEN 3 THEN 'NOT_AN_OBJECT'
+    WHEN 4 THEN 'NOT_AN_OBJECT' ELSE 'UNREADABLE_JSON' END AS error,
+  CASE kafka_offset % 6 WHEN 0 THEN base64(unhex('FF') || encode(payload)) END AS original_base64
+ FROM (SELECT kafka_offset, {PAYLOAD} AS payload FROM bronze)"""
 
 CSV_ROWS = """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_custkey, CAST(NULL AS VARCHAR) AS o_orderstatus,
   CAST(NULL AS DOUBLE) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority,
@@ -275,8 +281,9 @@ CSV_ROWS = """SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_custkey, CAST(NULL A
  UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'priority, "' || o_orderpriority || '"' FROM orders WHERE o_orderkey % 5 = 4"""
 
 CSV_LAKE = f"""SELECT CAST(extract(year FROM load_date) AS VARCHAR) AS "year",
-  CAST(extract(month FROM load_date) AS VARCHAR) AS "month", CAST(extract(day FROM load_date) AS VARCHAR) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum
- FROM (SELECT *, date_trunc('month', CAST(o_orderdate AS DATE)) AS load_date FROM ({CSV_ROWS})) GROUP BY load_date"""
+  CAST(extract(month FROM load_date) AS VARCHAR) AS "month", CAST(extract(day FROM load_date) AS VARCHAR) AS "day", count(*) AS "rows", CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
+  count(note) AS notes
+ FROM (SELECT *, CAST(o_orderdate AS DATE) AS load_date FROM ({CSV_ROWS})) GROUP BY load_date"""
 
 CSV_HEADERS = """SELECT n AS column_count, missing, repeated, unknown FROM (VALUES
   (0, 6, '', '', ''),
@@ -297,6 +304,21 @@ def oracle_sql() -> dict[str, str]:
       UNION ALL SELECT 'global_threat_leaderboard', count(*) FROM board
       UNION ALL SELECT 'hourly_detection_trend', count(*) FROM hourly
       UNION ALL SELECT 'customer_risk_scores', count(*) FROM risk"""
+    tables = {
+        "daily_threat_summary": "daily", "global_threat_leaderboard": "board", "hourly_detection_trend": "hourly", "customer_risk_scores": "risk",
+        "product_performance_kpis": f"({KPIS})",
+    }
+    report_counts = f""" UNION ALL SELECT 'product_performance_kpis', count(*) FROM ({KPIS})
+      UNION ALL SELECT 'executive_summary', count(*) FROM ({EXECUTIVE})
+      UNION ALL SELECT 'top_threats_weekly', count(*) FROM ({WEEKLY})"""
+    taken = " UNION ALL ".join(
+        f"SELECT '{name}' AS part, count(*) AS \"rows\" FROM {source} WHERE {'threat_name IS NOT NULL' if source == 'board' else 'TRUE'} "
+        f"UNION ALL SELECT 'rejected {name}', count(*) FROM {source} WHERE {'threat_name IS NULL' if source == 'board' else 'FALSE'}"
+        for name, source in tables.items()
+    )
+
+    def audited(body: str) -> str:
+        return f"SELECT *, {AUDIT} FROM ({_sql(body)})"
     return {
         "std_enums": _sql("SELECT event_id, kafka_offset, severity, action_taken, detection_type, os_type FROM std"),
         "check_flags": _sql(f"SELECT event_id, kafka_offset, {FLAGS} FROM flagged"),
@@ -351,14 +373,32 @@ def oracle_sql() -> dict[str, str]:
             "count(*) FILTER (kafka_offset % 13 = 0) AS failures FROM bronze"
         ),
         "stream_silver": _sql(silver, READABLE),
-        "stream_hourly": _sql(HOURLY_STREAM, READABLE),
+        "stream_silver_in_batches": _sql(silver, READABLE),
+        "stream_hourly": _sql(f"SELECT {DATED} FROM hourly", READABLE),
+        "stream_hourly_in_batches": _sql(f"SELECT {DATED} FROM hourly", READABLE),
+        "dead_letter_kinds": _sql(LETTER_KINDS),
+        "silver_two_deliveries": _sql(silver),
+        "silver_audited": f"SELECT *, '2026-12-01 00:00:00.000000' AS silver_processed_at, '2.0.0' AS pipeline_version, 'dev' AS environment FROM ({_sql(silver)})",
+        "layout_report": _sql("SELECT count(*) AS \"rows\", CAST(1 AS BIGINT) AS files_per_key, 'true' AS in_order FROM daily"),
+        "registered_after_write": _sql(f"SELECT {DATED} FROM hourly WHERE {OTHER_DATES}"),
+        "gold_rebuild_after_removal": _sql(f"SELECT {DATED} FROM hourly WHERE {OTHER_DATES}"),
+        "written_daily_threat_summary": audited(f"SELECT {DAILY_COLUMNS} FROM daily"),
+        "written_threat_leaderboard": audited(f"SELECT {BOARD_COLUMNS} FROM board"),
+        "written_hourly_trend": audited(f"SELECT {DATED} FROM hourly"),
+        "written_customer_risk": audited(f"SELECT {DATED} FROM risk"),
+        "written_product_kpis": audited(KPIS),
+        "written_executive_summary": _sql(EXECUTIVE),
+        "written_top_threats": _sql(WEEKLY),
+        "written_warehouse": _sql(taken),
         "stream_quarantine": _sql(QUARANTINE, READABLE),
         "stream_csv_lake": CSV_LAKE,
         "csv_aligned": CSV_ROWS,
         "csv_multi_line": CSV_ROWS.replace("'priority, \"'", "'priority,' || chr(10) || '\"'"),
+        "csv_torn_records": CSV_ROWS.replace("'priority, \"'", "'priority,' || chr(10) || '\"'"),
         "csv_headers": CSV_HEADERS,
         "csv_lake": CSV_LAKE,
+        "csv_lake_two_loads": CSV_LAKE,
         "schema_contract": _contract(),
         "row_counts": _sql(counts),
-        "run_metrics": _sql(counts + written),
+        "run_metrics": _sql(counts + written + report_counts),
     }

@@ -2,29 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade import schemas as S
 from palisade.functions.dates import day
+from palisade.operators.conform import conform
 from palisade.operators.metrics import observed
 from palisade.operators.screening import quarantine, standardise_enums, with_flags
-from palisade.plans import gold
+from palisade.plans import gold, reports
 from palisade.plans.silver import silver_events, with_silver_audit
-from palisade.sinks.tables import write_quarantine, write_table
+from palisade.session import scratch
+from palisade.sinks.tables import merge_table, write_quarantine, write_table
+from palisade.sources.tables import read_table
 
 SILVER_PARTITIONS = ["event_year", "event_month", "event_date"]
+REPLACE, MERGE = "replace", "merge"
 
 
 def bronze_to_silver(
-    bronze: DataFrame, silver_path: str, quarantine_path: str, environment: str, batch: str, now=None
+    bronze: DataFrame,
+    silver_path: str,
+    quarantine_path: str,
+    environment: str,
+    batch: str,
+    now=None,
+    *,
+    mode: str,
+    table: str | None = None,
 ) -> dict[str, int]:
     """Write silver and quarantine; the row counts come from the two writes themselves.
 
-    Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also
-    counts what was read, accepted and rejected. Silver dates that occur in ``bronze`` are replaced, so it
-    must hold those dates whole; for arriving increments see ``palisade.streaming.events``.
+    With the mode ``replace``, ``bronze`` is everything there is, and silver is built anew. With ``merge`` it is one more
+    delivery: its events are added, later deliveries of known events win, and only the dates concerned are rewritten.
+    Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also counts what was
+    read, accepted and rejected. ``silver`` counts the rows of the dates written. ``table`` is silver's catalog name.
     """
+    if mode not in (REPLACE, MERGE):
+        raise ValueError(f"mode {mode}")
     seen, intake = observed(
         with_flags(standardise_enums(bronze), now),
         "intake",
@@ -33,41 +50,87 @@ def bronze_to_silver(
         rejected=F.count_if(~F.col("is_valid_record")),
     )
     write_quarantine(quarantine(seen.where(~F.col("is_valid_record")), now), quarantine_path, batch)
-    silver, output = observed(
-        with_silver_audit(silver_events(bronze, now), environment, now), "output", silver=F.count(F.lit(1))
-    )
-    write_table(silver, silver_path, SILVER_PARTITIONS)
-    return {**intake.get, **output.get}
+    silver = with_silver_audit(silver_events(bronze, now), environment, now)
+    if mode == MERGE:
+        dates = merge_table(silver, silver_path, SILVER_PARTITIONS, table=table)
+        written = read_table(bronze.sparkSession, silver_path) if dates else None
+        rows = written.where(F.col("event_date").isin([date["event_date"] for date in dates])).count() if dates else 0
+    else:
+        rows = write_table(silver, silver_path, SILVER_PARTITIONS, whole=True, table=table)
+    return {**intake.get, "silver": rows}
 
 
-def gold_tables(silver: DataFrame, since=None) -> dict[str, DataFrame]:
-    """The four tables; with ``since`` the dated ones hold only that date and later ones.
+def gold_tables(silver: DataFrame, since=None, scans: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """How to build each table; nothing runs before a table is asked for.
 
-    The filter is on the partition column, so older silver is not read, but for the days a rolling sum looks
-    back. The leaderboard has no date and always covers everything.
+    With ``since`` the dated ones hold only that date and later ones. The filter is on the partition column, so older
+    silver is not read, but for the days a rolling sum looks back. The leaderboard has no date and always covers
+    everything. ``scans`` fills the scan counts of the KPI table.
     """
     recent = silver if since is None else silver.where(F.col("event_date") >= day(since))
-    looked_at = silver if since is None else silver.where(F.col("event_date") >= F.date_sub(day(since), S.RISK_WINDOW_DAYS))
-    risk = gold.customer_risk_scores(looked_at)
+
+    def risk() -> DataFrame:
+        if since is None:
+            return gold.customer_risk_scores(silver)
+        looked_at = silver.where(F.col("event_date") >= F.date_sub(day(since), S.RISK_WINDOW_DAYS))
+        return gold.customer_risk_scores(looked_at).where(F.col("event_date") >= day(since))
+
     return {
-        S.DAILY_SUMMARY_TABLE.name: gold.daily_threat_summary(recent),
-        S.LEADERBOARD_TABLE.name: gold.with_days_active(gold.threat_leaderboard(silver)),
-        S.HOURLY_TREND_TABLE.name: gold.hourly_detection_trend(recent),
-        S.CUSTOMER_RISK_TABLE.name: risk if since is None else risk.where(F.col("event_date") >= day(since)),
+        S.DAILY_SUMMARY_TABLE.name: lambda: gold.daily_threat_summary(recent),
+        S.LEADERBOARD_TABLE.name: lambda: gold.with_days_active(gold.threat_leaderboard(silver)),
+        S.HOURLY_TREND_TABLE.name: lambda: gold.hourly_detection_trend(recent),
+        S.CUSTOMER_RISK_TABLE.name: risk,
+        S.PRODUCT_KPI_TABLE.name: lambda: gold.product_performance_kpis(recent, scans),
     }
 
 
-def silver_to_gold(silver: DataFrame, gold_path: str, environment: str, now=None, since=None) -> dict[str, int]:
-    """Write the four gold tables, each clustered and sorted as its warehouse table asks.
+def silver_to_gold(
+    silver: DataFrame, gold_path: str, environment: str, now=None, since=None, scans: DataFrame | None = None, catalog: str | None = None, only=None
+) -> dict[str, int]:
+    """Write the gold tables, each clustered and sorted as its warehouse table asks.
 
-    Only the partitions that are built are replaced, so ``since`` refreshes the newest dates and leaves the rest.
+    Without ``since`` every table is built anew. With it, that date and all later ones are: dates that have left silver
+    leave gold too, and older ones stay. ``catalog`` is a prefix of catalog names to keep up to date. ``only`` names the
+    tables wanted.
     """
     written = {}
-    for name, table in gold_tables(silver, since).items():
-        layout = S.WAREHOUSE_TABLES[name]
-        partitions = ["event_date"] if "event_date" in table.columns else []
-        audited = gold.with_gold_audit(table, environment, now)
-        counted, metrics = observed(audited, name, rows=F.count(F.lit(1)))
-        write_table(counted, f"{gold_path}/{name}", partitions, layout.cluster_by, layout.sort_by)
-        written[name] = metrics.get["rows"]
+    with scratch(silver.sparkSession):
+        for name, build in gold_tables(silver, since, scans).items():
+            if only is not None and name not in only:
+                continue
+            table = build()
+            layout = S.WAREHOUSE_TABLES[name]
+            dates = [column for column in ("event_date", "kpi_date") if column in table.columns]
+            written[name] = write_table(
+                gold.with_gold_audit(table, environment, now),
+                f"{gold_path}/{name}",
+                dates,
+                layout.cluster_by,
+                layout.sort_by,
+                whole=since is None,
+                stale=lambda values: next(iter(values.values())) >= str(since),
+                table=catalog and f"{catalog}{name}",
+            )
+    return written
+
+
+def gold_to_reports(gold_path: str, reports_path: str, spark, monthly_as_of=None, weekly_as_of=None) -> dict[str, int]:
+    """Write the two reports, a few rows each, from the written gold tables."""
+    daily, risk, board = (
+        read_table(spark, f"{gold_path}/{table.name}") for table in (S.DAILY_SUMMARY_TABLE, S.CUSTOMER_RISK_TABLE, S.LEADERBOARD_TABLE)
+    )
+    built = {
+        "executive_summary": reports.executive_summary(daily, risk, monthly_as_of),
+        "top_threats_weekly": reports.top_threats_weekly(board, weekly_as_of),
+    }
+    return {name: write_table(report, f"{reports_path}/{name}") for name, report in built.items()}
+
+
+def gold_to_warehouse(gold_path: str, warehouse_path: str, spark, loaded_at=None) -> dict[str, int]:
+    """Write what the warehouse can load of every gold table, and below ``rejected`` the rest with the reasons."""
+    written = {}
+    for name, layout in S.WAREHOUSE_TABLES.items():
+        loadable, rejected = conform(read_table(spark, f"{gold_path}/{name}"), layout, loaded_at)
+        written[name] = write_table(loadable, f"{warehouse_path}/{name}", (), layout.cluster_by, layout.sort_by)
+        written[f"rejected {name}"] = write_table(rejected, f"{warehouse_path}/rejected/{name}")
     return written

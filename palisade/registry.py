@@ -25,9 +25,9 @@ from palisade.plans import gold, jobs, reports
 from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
 from palisade.session import in_utc, settle, shared_folder
 from palisade.sinks.messages import dead_letters, to_messages
-from palisade.sinks.tables import register_table, write_quarantine, write_table
+from palisade.sinks.tables import layout_report, register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
-from palisade.sources.derived import bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
+from palisade.sources.derived import broken_from_bronze, bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
 from palisade.sources.messages import batch_stats, parse_messages, unreadable
 from palisade.sources.tables import new_files, read_table
 from palisade.streaming import events as stream_events
@@ -37,6 +37,7 @@ from palisade.streaming.ingest import ingest
 NOW = "2026-12-01 00:00:00"
 MONTHLY_AS_OF = "2024-06-01"
 WEEKLY_AS_OF = "2024-04-20"
+OTHER_DATES = "event_date <> DATE '2024-02-15'"
 ENVIRONMENT = "dev"
 TOPIC = "detections.raw"
 
@@ -178,6 +179,13 @@ def quarantine_roundtrip(spark, folder):
     return read_table(spark, path).drop("quarantine_ts", "batch")
 
 
+def _read_and_dropped(spark, name: str) -> DataFrame:
+    """A copy of the table; its name doesn't stay in the catalog."""
+    found = settle(spark.table(name), "read")
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query
 def external_daily_summary(spark, folder):
     path = shared_folder(spark, "daily-summary")
@@ -185,7 +193,123 @@ def external_daily_summary(spark, folder):
     write_table(gold.daily_threat_summary(_silver(spark, folder)), path, ["event_date"], layout.cluster_by, layout.sort_by)
     name = "palisade_daily_" + path.rsplit("-", 1)[1]
     register_table(spark, name, path)
-    return spark.sql(f"SELECT * FROM {name}")
+    return _read_and_dropped(spark, name)
+
+
+@query
+def registered_after_write(spark, folder):
+    """The table by its catalog name after a second write that leaves a date out."""
+    path = shared_folder(spark, "hourly")
+    name = "palisade_hourly_" + path.rsplit("-", 1)[1]
+    hourly = settle(gold.hourly_detection_trend(_silver(spark, folder)), "hourly")
+    write_table(hourly, path, ["event_date"], table=name)
+    write_table(hourly.where(OTHER_DATES), path, ["event_date"], whole=True, table=name)
+    return _read_and_dropped(spark, name)
+
+
+@query
+def silver_two_deliveries(spark, folder):
+    """Two increments, the second of them twice: late dates come in, copies replace originals."""
+    path = shared_folder(spark, "silver")
+    bronze = _bronze(spark, folder)
+    first = F.col("kafka_offset") % 7 < 5
+    for part in (bronze.where(first), bronze.where(~first), bronze.where(~first)):
+        jobs.bronze_to_silver(part, path, f"{path}-quarantine", ENVIRONMENT, "one", NOW, mode=jobs.MERGE)
+    return read_table(spark, path).drop("silver_processed_at", "pipeline_version", "environment")
+
+
+@query
+def silver_audited(spark, folder):
+    path = shared_folder(spark, "silver")
+    jobs.bronze_to_silver(_bronze(spark, folder), path, f"{path}-quarantine", ENVIRONMENT, "one", NOW, mode=jobs.REPLACE)
+    return read_table(spark, path)
+
+
+@query
+def layout_report_(spark, folder):
+    """The daily summary as it lies: each customer of a date in one file, rows in order."""
+    path = shared_folder(spark, "daily-summary")
+    layout = S.DAILY_SUMMARY_TABLE
+    write_table(gold.daily_threat_summary(_silver(spark, folder)), path, ["event_date"], layout.cluster_by, layout.sort_by)
+    report = layout_report(read_table(spark, path), ["event_date"], layout.cluster_by, layout.sort_by)
+    return report.agg(F.sum("rows").alias("rows"), F.max("most_files_per_key").alias("files_per_key"), F.every("in_order").alias("in_order"))
+
+
+# --- Gold as the jobs write it -----------------------------------------------------------------
+def _written(spark, folder, *tables: str, since: str | None = None) -> str:
+    """Run the jobs up to the gold tables named; the folder of gold."""
+    root = shared_folder(spark, "gold")
+    write_table(_silver(spark, folder), f"{root}/silver", jobs.SILVER_PARTITIONS)
+    scans = scans_from_bronze(_standard(spark, folder))
+    silver = read_table(spark, f"{root}/silver")
+    jobs.silver_to_gold(silver, root, ENVIRONMENT, NOW, scans=scans, only=tables)
+    if since:
+        jobs.silver_to_gold(silver.where(OTHER_DATES), root, ENVIRONMENT, NOW, since=since, scans=scans, only=tables)
+    return root
+
+
+@query
+def written_daily_threat_summary(spark, folder):
+    name = S.DAILY_SUMMARY_TABLE.name
+    return read_table(spark, f"{_written(spark, folder, name)}/{name}")
+
+
+@query
+def written_threat_leaderboard(spark, folder):
+    name = S.LEADERBOARD_TABLE.name
+    return read_table(spark, f"{_written(spark, folder, name)}/{name}")
+
+
+@query
+def written_hourly_trend(spark, folder):
+    name = S.HOURLY_TREND_TABLE.name
+    return read_table(spark, f"{_written(spark, folder, name)}/{name}")
+
+
+@query
+def written_customer_risk(spark, folder):
+    name = S.CUSTOMER_RISK_TABLE.name
+    return read_table(spark, f"{_written(spark, folder, name)}/{name}")
+
+
+@query
+def written_product_kpis(spark, folder):
+    name = S.PRODUCT_KPI_TABLE.name
+    kpis = read_table(spark, f"{_written(spark, folder, name)}/{name}")
+    return kpis.drop("false_positive_rate", "avg_detection_time_ms", "protection_score")
+
+
+@query
+def gold_rebuild_after_removal(spark, folder):
+    """A date that has left silver leaves gold with a rebuild that starts before it."""
+    name = S.HOURLY_TREND_TABLE.name
+    return read_table(spark, f"{_written(spark, folder, name, since='2024-02-01')}/{name}").drop("gold_processed_at", "environment")
+
+
+def _reports(spark, folder) -> str:
+    tables = [S.DAILY_SUMMARY_TABLE.name, S.CUSTOMER_RISK_TABLE.name, S.LEADERBOARD_TABLE.name]
+    root = _written(spark, folder, *tables)
+    jobs.gold_to_reports(root, f"{root}/reports", spark, MONTHLY_AS_OF, WEEKLY_AS_OF)
+    return f"{root}/reports"
+
+
+@query
+def written_executive_summary(spark, folder):
+    summary = read_table(spark, f"{_reports(spark, folder)}/executive_summary")
+    return summary.withColumn("avg_threat_severity", F.round("avg_threat_severity", 8))
+
+
+@query
+def written_top_threats(spark, folder):
+    return read_table(spark, f"{_reports(spark, folder)}/top_threats_weekly")
+
+
+@query
+def written_warehouse(spark, folder):
+    """How many rows of each gold table the warehouse takes, and how many it doesn't."""
+    root = _written(spark, folder, *S.WAREHOUSE_TABLES)
+    counts = jobs.gold_to_warehouse(root, f"{root}/warehouse", spark, NOW)
+    return spark.createDataFrame(list(counts.items()), "part STRING, rows BIGINT")
 
 
 # --- Gold --------------------------------------------------------------------------------------
@@ -318,36 +442,51 @@ def _ingested(spark, folder) -> str:
     return root
 
 
+NULLABLE_BRONZE = S.BRONZE.replace(" NOT NULL", "")
+
+
+def _kept(spark, folder, batches: int = 1) -> str:
+    """The ingested bronze rows merged by the silver stream in so many micro-batches; the folder with what it wrote."""
+    root = _ingested(spark, folder)
+    rows = spark.read.parquet(f"{root}/bronze").drop("batch_id")
+    rows.repartition(batches, F.xxhash64("kafka_offset")).write.parquet(f"{root}/arriving")
+    arrived = new_files(spark, f"{root}/arriving", NULLABLE_BRONZE, files_per_batch=1)
+    stream_events.keep_silver(arrived, f"{root}/silver", f"{root}/checkpoint-silver", f"{root}/quarantine", f"{root}/hourly", NOW)
+    return root
+
+
 @query
 def stream_silver(spark, folder):
-    root = _ingested(spark, folder)
-    arrived = stream_events.silver_stream(new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", "")), NOW)
-    stream_events.append_latest(arrived, f"{root}/log", f"{root}/checkpoint-silver")
-    return stream_events.latest_events(spark.read.parquet(f"{root}/log"))
+    return spark.read.parquet(f"{_kept(spark, folder)}/silver")
+
+
+@query
+def stream_silver_in_batches(spark, folder):
+    return spark.read.parquet(f"{_kept(spark, folder, 4)}/silver")
 
 
 @query
 def stream_quarantine(spark, folder):
-    root = _ingested(spark, folder)
-    arrived = new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", ""))
-    stream_events.screen(arrived, f"{root}/log", f"{root}/quarantine", f"{root}/checkpoint-screen", NOW)
-    return spark.read.parquet(f"{root}/quarantine").drop("quarantine_ts", "batch_id")
+    return spark.read.parquet(f"{_kept(spark, folder)}/quarantine").drop("quarantine_ts", "batch_id")
 
 
 @query
 def stream_hourly(spark, folder):
-    root = _ingested(spark, folder)
-    arrived = stream_events.silver_stream(new_files(spark, f"{root}/bronze", S.BRONZE.replace(" NOT NULL", "")), NOW)
-    trend = stream_events.hourly_trend_stream(arrived)
-    (
-        trend.writeStream.format("parquet")
-        .option("path", f"{root}/hourly")
-        .option("checkpointLocation", f"{root}/checkpoint-hourly")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{root}/hourly")
+    return spark.read.parquet(f"{_kept(spark, folder)}/hourly")
+
+
+@query
+def stream_hourly_in_batches(spark, folder):
+    """Batches in an order that has nothing to do with time."""
+    return spark.read.parquet(f"{_kept(spark, folder, 4)}/hourly")
+
+
+@query
+def dead_letter_kinds(spark, folder):
+    """Messages broken in six ways, one after the other."""
+    letters = dead_letters(unreadable(parse_messages(broken_from_bronze(_bronze(spark, folder), ENVIRONMENT))), TOPIC, NOW)
+    shape = "original_event STRING, error STRING, original_base64 STRING"
+    return letters.select(F.from_json(F.decode("value", "UTF-8"), shape).alias("letter")).select("letter.*")
 
 
 # --- Misaligned CSV ----------------------------------------------------------------------------
@@ -370,26 +509,42 @@ def csv_multi_line(spark, folder):
     return _text(records.drop("surplus", "file", "modified"), "o_custkey")
 
 
+@query
+def csv_torn_records(spark, folder):
+    """Files with line breaks inside values, found among the others and read whole."""
+    records = aligned_csv.read_aligned(spark, _order_files(spark, folder, "\n"), [*ORDER_COLUMNS, "note"], ORDER_TYPES)
+    return _text(records.drop("surplus", "file", "modified"), "o_custkey")
+
+
 @query
 def csv_headers(spark, folder):
     headers = aligned_csv.file_headers(aligned_csv.read_lines(spark, _order_files(spark, folder)))
     return aligned_csv.header_report(headers, ORDER_COLUMNS).drop("file").distinct()
 
 
-def _with_load_date(orders: DataFrame) -> DataFrame:
-    return orders.withColumn("load_date", F.trunc(F.to_date("o_orderdate"), "MM"))
+def _per_day(lake: DataFrame) -> DataFrame:
+    sums = [F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"), F.count("note").alias("notes")]
+    return _text(lake.groupBy("year", "month", "day").agg(*sums), "year", "month", "day")
 
 
-def _per_day(lake: DataFrame) -> DataFrame:
-    counted = lake.groupBy("year", "month", "day").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("key_sum"))
-    return _text(counted, "year", "month", "day")
+LAKE_COLUMNS = [*ORDER_COLUMNS, "note"]
 
 
 @query
 def csv_lake(spark, folder):
     lake = shared_folder(spark, "orders-lake")
-    lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), ORDER_COLUMNS, ORDER_TYPES)
-    aligned_csv.write_lake(_with_load_date(lines), lake, "load_date")
+    lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), LAKE_COLUMNS, ORDER_TYPES)
+    aligned_csv.write_lake(lines, lake, "one", "o_orderdate")
+    return _per_day(read_table(spark, lake))
+
+
+@query
+def csv_lake_two_loads(spark, folder):
+    """Two loads with rows of the same days, the second of them twice."""
+    lake = shared_folder(spark, "orders-lake")
+    lines = aligned_csv.read_aligned(spark, _order_files(spark, folder), LAKE_COLUMNS, ORDER_TYPES)
+    for load, rest in (("one", 0), ("two", 1), ("two", 1)):
+        aligned_csv.write_lake(lines.where(F.col("o_orderkey") % 2 == rest), lake, load, "o_orderdate")
     return _per_day(read_table(spark, lake))
 
 
@@ -397,7 +552,7 @@ def csv_lake(spark, folder):
 def stream_csv_lake(spark, folder):
     lake = shared_folder(spark, "orders-lake")
     lines = aligned_csv.new_lines(spark, _order_files(spark, folder))
-    lake_new_files(lines, lake, f"{lake}-checkpoint", ORDER_COLUMNS, ORDER_TYPES, "load_date", _with_load_date)
+    lake_new_files(lines, lake, f"{lake}-checkpoint", LAKE_COLUMNS, ORDER_TYPES, "o_orderdate")
     return _per_day(read_table(spark, lake))
 
 
@@ -416,7 +571,9 @@ def row_counts(spark, folder):
 def run_metrics(spark, folder):
     """Both jobs from bronze to the written gold tables; the counts come from the writes."""
     root = shared_folder(spark, "run")
-    counts = jobs.bronze_to_silver(_bronze(spark, folder), f"{root}/silver", f"{root}/quarantine", ENVIRONMENT, "first", NOW)
-    counts |= jobs.silver_to_gold(read_table(spark, f"{root}/silver"), f"{root}/gold", ENVIRONMENT, NOW)
+    counts = jobs.bronze_to_silver(_bronze(spark, folder), f"{root}/silver", f"{root}/quarantine", ENVIRONMENT, "first", NOW, mode=jobs.REPLACE)
+    scans = scans_from_bronze(_standard(spark, folder))
+    counts |= jobs.silver_to_gold(read_table(spark, f"{root}/silver"), f"{root}/gold", ENVIRONMENT, NOW, scans=scans)
+    counts |= jobs.gold_to_reports(f"{root}/gold", f"{root}/reports", spark, MONTHLY_AS_OF, WEEKLY_AS_OF)
     return spark.createDataFrame(list(counts.items()), "stage STRING, rows BIGINT")
 

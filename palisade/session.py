@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +52,32 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="palisade-")
 
 
+_open: ContextVar[list[str] | None] = ContextVar("settled", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is settled inside is deleted at the end, also after a failure. Results must have been written by then."""
+    paths: list[str] = []
+    token = _open.set(paths)
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in paths:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result feeds several later steps: nothing upstream runs twice, later steps prune
-    columns, and a lost executor costs no more than a re-read.
+    columns, and a lost executor costs no more than a re-read. Inside ``scratch`` the folder goes at the end; elsewhere
+    the result still needs it, and the cluster clears the shared folder.
     """
     path = shared_folder(df.sparkSession, purpose)
+    if (paths := _open.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

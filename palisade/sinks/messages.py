@@ -54,14 +54,17 @@ def to_messages(
 
 
 def dead_letters(failed: DataFrame, topic: str, failed_at=None) -> DataFrame:
-    """One message per failed one: its text, the error, the time and the topic it came from."""
-    letter = F.struct(
+    """One message per failed one: its text, the error, the time and the topic it came from. What isn't text is kept as
+    ``original_base64``."""
+    parts = [
         F.col("text").alias("original_event"),
         F.col("parse_error").alias("error"),
         iso_instant(moment(failed_at)).alias("failed_at"),
         F.lit(topic).alias("topic"),
-    )
-    return failed.select(F.encode(F.to_json(letter, JSON_WITH_NULLS), "UTF-8").alias("value"))
+    ]
+    letter = F.to_json(F.struct(*parts), JSON_WITH_NULLS)
+    with_bytes = F.to_json(F.struct(*parts, F.regexp_replace(F.base64("raw"), r"\s", "").alias("original_base64")), JSON_WITH_NULLS)
+    return failed.select(F.encode(F.when(F.col("raw").isNull(), letter).otherwise(with_bytes), "UTF-8").alias("value"))
 
 
 def send_to_topic(messages: DataFrame, topic: str, options: dict[str, str]) -> None:

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.operators.latest import ARRIVAL_ORDER, latest_per_key
+from palisade.operators.metrics import observed
+from palisade.session import scratch, settle
+from palisade.sinks import folders
+
 
 def laid_out(df: DataFrame, cluster_by=(), sort_by=()) -> DataFrame:
     """Rows with equal ``cluster_by`` together, sorted inside each partition.
@@ -15,18 +22,78 @@ def laid_out(df: DataFrame, cluster_by=(), sort_by=()) -> DataFrame:
     return spread.sortWithinPartitions(*sort_by) if sort_by else spread
 
 
-def write_table(df: DataFrame, path: str, partition_by=(), cluster_by=(), sort_by=()) -> None:
-    """Replace the partitions that ``df`` touches (the whole table when it has none), so a re-run is harmless.
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by=(),
+    cluster_by=(),
+    sort_by=(),
+    whole: bool = False,
+    stale: Callable[[dict[str, str]], bool] = lambda values: False,
+    table: str | None = None,
+) -> int:
+    """Replace the partitions that ``df`` touches, and return the number of rows written. A re-run is harmless.
 
-    Rows are clustered by the partition columns first, which keeps the number of files near the number of
-    partitions instead of partitions times tasks.
+    With ``whole``, or without partitions, the table is replaced altogether. ``stale`` sees the values (as text) of every
+    partition that is there already and not touched; those it names are removed. Rows are clustered by partition and
+    ``cluster_by`` together. ``table`` is a catalog name to keep up to date. The count is taken above the exchange, in
+    the stage that writes, so that map tasks which run again after a lost executor don't count twice.
     """
+    spark = df.sparkSession
     order = [*partition_by, *[name for name in sort_by if name not in partition_by]]
-    placed = laid_out(df, partition_by or cluster_by, order)
-    writer = placed.write.mode("overwrite").option("compression", "snappy")
+    spread = [*partition_by, *[name for name in cluster_by if name not in partition_by]]
+    counted, metrics = observed(laid_out(df, spread, order), "written", rows=F.count(F.lit(1)))
+    before = folders.partitions(spark, path, partition_by) if partition_by and not whole else []
+    before = [part for part in before if stale(part.values)]
+    writer = counted.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
+    if before:
+        now = {part.path: part.files for part in folders.partitions(spark, path, partition_by)}
+        for part in before:
+            # A replaced partition has none of its files left.
+            if part.files & now.get(part.path, frozenset()):
+                folders.delete(spark, part.path)
+    if table:
+        register_table(spark, table, path)
+    return metrics.get["rows"]
+
+
+def merge_table(
+    new: DataFrame, path: str, partition_by, keys=("event_id",), order=ARRIVAL_ORDER, cluster_by=(), sort_by=(), table: str | None = None
+) -> list[dict[str, str]]:
+    """Bring rows into a partitioned table that has one row per key, the greatest by ``order``.
+
+    Reads the partitions that hold a key of ``new`` or get one, unites, keeps the latest and replaces these partitions. A
+    delivery that moves its key to another partition takes it out of the old one, which goes if it was the last. The
+    search for keys reads key and partition columns of the table only. Doing it again changes nothing. Returns the
+    partitions concerned.
+    """
+    spark = new.sparkSession
+    with scratch(spark):
+        arrived = settle(latest_per_key(new, keys, order), "arrived")
+        if not folders.exists(spark, path):
+            touched = _values(arrived, partition_by)
+            merged = arrived
+        else:
+            held = spark.read.parquet(path)
+            known = held.join(arrived.select(*keys), list(keys), "left_semi").select(*partition_by)
+            touched = _values(arrived.select(*partition_by).unionAll(known.select(*partition_by)), partition_by)
+            chosen = spark.createDataFrame(touched, held.select(*partition_by).schema) if touched else None
+            # Some dates: the list reaches the scan as a filter on its folders.
+            kept = held.join(F.broadcast(chosen), list(partition_by), "left_semi") if touched else held.limit(0)
+            merged = settle(latest_per_key(kept.unionByName(arrived, allowMissingColumns=True), keys, order), "merged")
+        names = {tuple(str(row[name]) for name in partition_by) for row in touched}
+        write_table(
+            merged, path, partition_by, cluster_by, sort_by, stale=lambda values: tuple(values[n] for n in partition_by) in names, table=table
+        )
+    return [{name: str(row[name]) for name in partition_by} for row in touched]
+
+
+def _values(rows: DataFrame, partition_by) -> list:
+    """The distinct partition values: as many as the table has dates."""
+    return rows.select(*partition_by).distinct().collect()
 
 
 def write_quarantine(rejected: DataFrame, path: str, batch: str) -> None:
@@ -42,9 +109,35 @@ def write_quarantine(rejected: DataFrame, path: str, batch: str) -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Make Parquet files queryable under a catalog name without copying them."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    """Make Parquet files queryable under a catalog name without copying them, with the partitions they have now.
+
+    A name that already stands for another folder is refused.
+    """
+    if spark.catalog.tableExists(name):
+        described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        if folders.qualified(spark, described["Location"]) != folders.qualified(spark, path):
+            raise ValueError(f"{name} stands for {described['Location']}, not for {path}")
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet")
     if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = '# Partition Information'").count():
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    spark.sql(f"REFRESH TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
+
+
+def layout_report(table: DataFrame, partition_by, cluster_by, sort_by) -> DataFrame:
+    """For each file of a table: rows, its partition, how many files hold each of its cluster keys at most, and whether its
+    rows are in order."""
+    spot = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    named = table.select("*", spot["file_path"].alias("file"), spot["row_index"].alias("place"))
+    group = [*partition_by, *[name for name in cluster_by if name not in partition_by]]
+    spread = named.groupBy(*group).agg(F.count_distinct("file").alias("files_per_key"))
+    keyed = named.select(*partition_by, "file", *[name for name in group if name not in partition_by]).distinct()
+    same = [F.col(f"k.{name}").eqNullSafe(F.col(f"s.{name}")) for name in group]
+    most = keyed.alias("k").join(spread.alias("s"), same).groupBy("k.file").agg(F.max("files_per_key").alias("most_files_per_key"))
+    in_order = F.array_sort(F.collect_list(F.struct(*sort_by, "place")))
+    ordered = named.groupBy(*partition_by, "file").agg(
+        F.count("*").alias("rows"), F.transform(in_order, lambda row: row["place"]).alias("places")
+    )
+    sorted_places = ordered.withColumn("in_order", F.col("places") == F.array_sort("places")).drop("places")
+    return sorted_places.join(most, "file")

@@ -2,7 +2,8 @@
 
 All files are read in one scan. Each file's header says at which position a column stands; every line is
 split once and its values are picked by position. Files are cut into blocks like any text, so one large file
-is read by many tasks; only values that contain line breaks need the whole-file reading of ``read_records``.
+is read by many tasks; files whose values contain line breaks are found by their open quotes and go through the
+whole-file reading of ``read_records``. Files share few distinct headers, so a row carries its file's header by number.
 """
 
 from __future__ import annotations
@@ -13,12 +14,11 @@ from pyspark.sql import functions as F
 from palisade.session import settle
 from palisade.sinks.tables import write_table
 
-# Header tables up to this many bytes are broadcast; greater ones are joined through a salted shuffle.
-BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 64
-
 # Quotes inside a quoted value are doubled.
 CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
+MAX_COLUMNS = 10_000
+# Up to so many torn files are opened by name; beyond, all files are scanned for them. The rows are the same.
+LISTED_FILES = 10_000
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
@@ -52,32 +52,47 @@ def _with_fields(df: DataFrame, line: str, count: int, name: str) -> DataFrame:
     )
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """One row per file: ``file``, ``header`` (its first line with text), ``names`` (its column names in order).
+def file_heads(lines: DataFrame) -> DataFrame:
+    """One row per file that holds text: ``file``, ``header`` (its first line with text), ``torn`` (some line leaves a quote
+    open, so a value goes on in the next line) and ``lines`` (how many with text).
 
-    Lines of a block are numbered in reading order, so the first line of a file is the lowest of the block
-    that starts at byte 0. Written once, as the numbering must not be evaluated again.
+    Blocks are numbered by where they start and lines of a block in reading order, so blank lines may fill whole blocks
+    before the header. Written once, as the numbering must not be evaluated again.
     """
-    first_lines = (
-        lines.where((F.col("block_start") == 0) & (F.trim("line") != ""))
-        .withColumn("reading_order", F.monotonically_increasing_id())
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    place = F.struct("block_start", F.monotonically_increasing_id())
+    found = (
+        lines.where(F.trim("line") != "")
+        .select("file", "line", place.alias("place"), (quotes % 2 == 1).alias("open"))
         .groupBy("file")
-        .agg(F.min_by("line", "reading_order").alias("header"))
+        .agg(F.min_by("line", "place").alias("header"), F.max("open").alias("torn"), F.count("*").alias("lines"))
     )
-    found = settle(first_lines, "csv-headers")
+    return settle(found, "csv-heads")
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """``file_heads`` with ``names``, the column names in order. Each distinct header is parsed once."""
+    heads = file_heads(lines)
+    distinct = heads.select("header").distinct()
     commas = F.length("header") - F.length(F.replace(F.col("header"), F.lit(","), F.lit("")))
-    widest = found.agg(F.max(commas)).first()[0]
+    widest = distinct.agg(F.max(commas)).first()[0]
     if widest is None:
-        return found.withColumn("names", F.array().cast("array<string>"))
-    named = _with_fields(found, "header", widest + 1, "names").withColumn("names", F.transform("names", lambda name: F.trim(name)))
+        return heads.withColumn("names", F.array().cast("array<string>"))
+    named = _with_fields(distinct, "header", widest + 1, "names").withColumn("names", F.transform("names", lambda name: F.trim(name)))
     last = F.array_max(F.transform("names", lambda name, place: F.when(name.isNotNull(), place + 1)))
-    return named.withColumn("names", F.slice("names", 1, F.coalesce(last, F.lit(0))))
+    return heads.join(named.withColumn("names", F.slice("names", 1, F.coalesce(last, F.lit(0)))), "header")
 
 
 def column_names(headers: DataFrame) -> list[str]:
-    """All names that occur in any header, sorted: the schema of the aligned table."""
-    names = headers.select(F.explode("names").alias("name")).where("name IS NOT NULL").distinct()
-    return sorted(row.name for row in names.collect())
+    """All names that occur in any header, sorted: the schema of the aligned table.
+
+    More than ``MAX_COLUMNS`` names can't be columns of one table and are refused; the report lists them by file.
+    """
+    names = headers.select("names").distinct().select(F.explode("names").alias("name")).where("name IS NOT NULL").distinct()
+    found = sorted(row.name for row in names.limit(MAX_COLUMNS + 1).collect())
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} column names; give the columns wanted")
+    return found
 
 
 def header_report(headers: DataFrame, columns: list[str]) -> DataFrame:
@@ -93,21 +108,18 @@ def header_report(headers: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _with_places(rows: DataFrame, headers: DataFrame, columns: list[str], broadcast_bytes: int) -> DataFrame:
-    """Each row with its file's header and the position of every wanted column, -1 where it is absent."""
+def _with_places(rows: DataFrame, headers: DataFrame, columns: list[str], kept: list[str]) -> DataFrame:
+    """Each row with ``kept`` of its file's header and the position of every wanted column, -1 where it is absent.
+
+    Rows first get the number of their file's header, from two narrow columns, then what belongs to the number. Both joins
+    are left to AQE: it broadcasts what measures small and splits the rows of a large file. Files without a header are
+    those without text, so no row is lost.
+    """
+    numbered = headers.select("file", F.xxhash64("header").alias("variant"))
     wanted = F.array(*[F.lit(name) for name in columns])
-    picks = headers.select(
-        "file",
-        "header",
-        "names",
-        F.transform(wanted, lambda name: F.array_position("names", name) - 1).alias("places"),
-    )
-    size = picks.agg(F.sum(2 * (F.length("file") + F.length("header")) + 8 * (len(columns) + 8))).first()[0] or 0
-    if size <= broadcast_bytes:
-        return rows.join(F.broadcast(picks), "file")
-    salted = rows.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
-    copies = picks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, ["file", "salt"]).drop("salt")
+    places = F.transform(wanted, lambda name: F.array_position("names", name) - 1).alias("places")
+    variants = headers.select(F.xxhash64("header").alias("variant"), *kept, places).dropDuplicates(["variant"])
+    return rows.join(numbered, "file").join(variants, "variant")
 
 
 def _picked(rows: DataFrame, columns: list[str], types: dict[str, str] | None) -> DataFrame:
@@ -118,7 +130,7 @@ def _picked(rows: DataFrame, columns: list[str], types: dict[str, str] | None) -
         kind = (types or {}).get(name)
         chosen.append((value.try_cast(kind) if kind else value).alias(name))
     surplus = F.get("values", F.size("names")).isNotNull().alias("surplus")
-    return rows.select(*chosen, surplus, "file", "modified")
+    return rows.select(*chosen, surplus, *[c for c in ("extra", "file", "modified") if c in rows.columns])
 
 
 def widest_header(headers: DataFrame) -> int:
@@ -126,24 +138,32 @@ def widest_header(headers: DataFrame) -> int:
 
 
 def align(
-    lines: DataFrame,
-    headers: DataFrame,
-    columns: list[str],
-    types: dict[str, str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    lines: DataFrame, headers: DataFrame, columns: list[str], types: dict[str, str] | None = None, keep_extra: bool = False
 ) -> DataFrame:
-    """All data lines as a table of ``columns``; NULL where a file lacks one.
+    """The data lines of all files that aren't torn, as a table of ``columns``; NULL where a file lacks one.
 
     The first of repeated names counts. Blank lines and lines equal to their file's header are left out.
     ``types`` casts columns, with NULL for text that does not fit. ``surplus`` marks lines that go on after
-    their last named column; ``file`` and ``modified`` say where a line came from.
+    their last named column; ``file`` and ``modified`` say where a line came from. With ``keep_extra`` the column
+    ``extra`` keeps the whole line where it holds values of other columns or past the last name. Torn files never come out in
+    halves: see ``torn_files`` and ``read_aligned``.
     """
+    whole = headers.where(~F.col("torn"))
     data = lines.where(F.trim("line") != "").select("line", "file", "modified")
-    placed = _with_places(data, headers, columns, broadcast_bytes).where(F.col("line") != F.col("header"))
-    return _picked(_with_fields(placed, "line", widest_header(headers) + 1, "values"), columns, types)
+    placed = _with_places(data, whole, columns, ["header", "names"]).where(F.col("line") != F.col("header"))
+    values = _with_fields(placed, "line", widest_header(headers) + 1, "values")
+    if keep_extra:
+        more = F.size(F.array_except("names", F.array(*[F.lit(name) for name in columns]))) > 0
+        values = values.withColumn("extra", F.when(more | F.get("values", F.size("names")).isNotNull(), F.col("line")))
+    return _picked(values, columns, types)
 
 
-def read_records(spark: SparkSession, path: str, width: int, glob: str = "*.csv") -> DataFrame:
+def torn_files(headers: DataFrame) -> DataFrame:
+    """The files that have to be read as whole records."""
+    return headers.where("torn").select("file", "lines")
+
+
+def read_records(spark: SparkSession, path: str | list[str], width: int, glob: str = "*.csv") -> DataFrame:
     """CSV records that may span lines, as an array of ``width`` values. Every file is read by one task."""
     slots = [f"c{number}" for number in range(width)]
     reader = spark.read.schema(", ".join(f"{slot} STRING" for slot in slots)).options(**CSV_OPTIONS)
@@ -155,15 +175,9 @@ def read_records(spark: SparkSession, path: str, width: int, glob: str = "*.csv"
     )
 
 
-def align_records(
-    records: DataFrame,
-    headers: DataFrame,
-    columns: list[str],
-    types: dict[str, str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def align_records(records: DataFrame, headers: DataFrame, columns: list[str], types: dict[str, str] | None = None) -> DataFrame:
     """The same for whole records; those equal to their file's column names are left out."""
-    placed = _with_places(records, headers, columns, broadcast_bytes)
+    placed = _with_places(records, headers, columns, ["names"])
     named = F.transform(F.slice("values", 1, F.size("names")), lambda value: F.trim(value))
     return _picked(placed.where(~named.eqNullSafe(F.col("names"))), columns, types)
 
@@ -173,14 +187,23 @@ def read_aligned(
 ) -> DataFrame:
     """Align every CSV file below ``path``; all columns found when ``columns`` is not given.
 
-    ``multi_line`` is for values with line breaks inside quotes; the header itself must be one line.
+    Files that hold values with line breaks are read as whole records, each by one task; the others line by line.
+    ``multi_line`` reads all files that way, for the odd file whose quotes come out even by chance. The header itself must
+    be one line.
     """
     lines = read_lines(spark, path, glob)
     headers = file_headers(lines)
     columns = column_names(headers) if columns is None else columns
+    records = read_records(spark, path, widest_header(headers) + 1, glob)
     if multi_line:
-        return align_records(read_records(spark, path, widest_header(headers) + 1, glob), headers, columns, types)
-    return align(lines, headers, columns, types)
+        return align_records(records, headers, columns, types)
+    torn = headers.where("torn")
+    if torn.isEmpty():
+        return align(lines, headers, columns, types)
+    paths = [row.file for row in torn.select("file").collect()] if torn.count() <= LISTED_FILES else None
+    if paths is not None:  # only these files are opened
+        records = read_records(spark, paths, widest_header(headers) + 1, glob)
+    return align(lines, headers, columns, types).unionByName(align_records(records, torn, columns, types))
 
 
 def by_day(aligned: DataFrame, date_column: str | None = None) -> DataFrame:
@@ -189,6 +212,7 @@ def by_day(aligned: DataFrame, date_column: str | None = None) -> DataFrame:
     return aligned.withColumns({"year": F.year(when), "month": F.month(when), "day": F.dayofmonth(when)})
 
 
-def write_lake(aligned: DataFrame, path: str, date_column: str | None = None) -> None:
-    """Parquet by year, month and day."""
-    write_table(by_day(aligned, date_column), path, partition_by=["year", "month", "day"])
+def write_lake(aligned: DataFrame, path: str, load: str, date_column: str | None = None) -> int:
+    """Parquet by year, month, day and load. A load that is repeated replaces itself; others of the same day stay."""
+    dated = by_day(aligned, date_column).withColumn("load", F.lit(load))
+    return write_table(dated, path, partition_by=["year", "month", "day", "load"], stale=lambda values: values["load"] == load)

@@ -67,6 +67,25 @@ def topic_from_bronze(bronze: DataFrame, environment: str) -> DataFrame:
     return whole.withColumn("value", F.when(F.col("offset") % 13 == 0, cut).otherwise(F.col("value")))
 
 
+def broken_from_bronze(bronze: DataFrame, environment: str) -> DataFrame:
+    """Messages broken in six ways by their offset: not UTF-8, two objects, empty, ``null``, an array, cut off."""
+    events = bronze.withColumns(
+        {"partition": F.col("kafka_partition"), "offset": F.col("kafka_offset"), "timestamp": F.col("ingestion_timestamp")}
+    )
+    whole = to_messages(events, environment, carry=["partition", "offset", "timestamp"])
+    value, kind = F.col("value"), F.col("offset") % 6
+    text = lambda t: F.encode(F.lit(t), "UTF-8")
+    broken = (
+        F.when(kind == 0, F.concat(F.unhex(F.lit("FF")), value))
+        .when(kind == 1, F.concat(value, text(" "), value))
+        .when(kind == 2, text(" "))
+        .when(kind == 3, text("null"))
+        .when(kind == 4, F.concat(text("["), value, text("]")))
+        .otherwise(F.expr("substring(value, 1, length(value) - 7)"))
+    )
+    return whole.withColumn("value", broken)
+
+
 def write_order_files(spark: SparkSession, folder: str, path: str, gap: str = " ") -> None:
     """The ``orders`` table as CSV files of five layouts, a fifth of the rows each.
 

@@ -1,4 +1,9 @@
-"""Silver and the hourly trend as streams."""
+"""Silver and the hourly trend as streams.
+
+Each micro-batch is merged into date-partitioned silver, and what depends on the dates it touches is built anew from
+silver. So results don't depend on how the input is cut into batches, no event is too late, and a batch that is tried
+again changes nothing.
+"""
 
 from __future__ import annotations
 
@@ -7,63 +12,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palisade import schemas as S
-from palisade.operators.latest import latest_per_key
 from palisade.operators.screening import accepted, standardise_enums
-from palisade.plans.silver import enrich, quarantined_events
+from palisade.plans.gold import hourly_detection_trend
+from palisade.plans.jobs import SILVER_PARTITIONS
+from palisade.plans.silver import enrich, quarantined_events, silver_events
+from palisade.sinks.tables import merge_table, write_table
 from palisade.streaming.ingest import run_available, write_batch
 
-LATENESS = "2 hours"
-
 
 def silver_stream(bronze: DataFrame, now=None) -> DataFrame:
     """Accepted and enriched events as they arrive, re-deliveries included. Works on batches as well."""
     return enrich(accepted(standardise_enums(bronze), now))
 
 
-def first_deliveries(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Each event once: the delivery that arrives first. State is dropped behind the watermark."""
-    return silver.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(["event_id"])
-
+def keep_silver(bronze: DataFrame, silver: str, checkpoint: str, quarantine: str | None = None, hourly: str | None = None, now=None) -> StreamingQuery:
+    """Merge every micro-batch into silver: one row per event, the latest delivery over all batches.
 
-def screen(bronze: DataFrame, log: str, quarantine: str, checkpoint: str, now=None) -> StreamingQuery:
-    """Every micro-batch split into the silver log and the quarantine, so that no row of it is lost."""
+    ``quarantine`` keeps the rejected rows by batch, so that no row is lost. ``hourly`` is the hourly trend by date.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
-        write_batch(latest_per_key(silver_stream(batch, now)), log, number)
-        write_batch(quarantined_events(batch, now, now), quarantine, number)
+        dates = merge_table(silver_events(batch, now), silver, SILVER_PARTITIONS)
+        if quarantine:
+            write_batch(quarantined_events(batch, now, now), quarantine, number)
+        if hourly and dates:
+            rebuild_hours(batch.sparkSession.read.parquet(silver), hourly, dates)
 
     return run_available(bronze, handle, checkpoint)
 
 
-def append_latest(silver: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Append each micro-batch to a log, with one row per event inside the batch."""
-    return run_available(silver, lambda batch, number: write_batch(latest_per_key(batch), log, number), checkpoint)
-
-
-def latest_events(log: DataFrame) -> DataFrame:
-    """The log read as silver: the latest delivery over all batches wins."""
-    return latest_per_key(log.drop("batch_id"))
-
-
-def hourly_trend_stream(silver: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """The hourly trend, each hour emitted once the watermark has passed it.
-
-    Distinct devices are exact: events are first counted per device, and the second aggregation counts the
-    devices. Re-deliveries are removed before that.
-    """
-    hours = first_deliveries(silver, lateness).groupBy(
-        F.window("event_timestamp", "1 hour"), "threat_category", "os_type", "country_code", "device_id"
-    )
-    per_device = hours.agg(
-        F.count("*").alias("events"),
-        F.sum("severity_score").alias("score"),
-        F.count_if(F.col("severity_score") >= S.SEVERITY_SCORES["HIGH"]).alias("severe"),
-    )
-    trend = per_device.groupBy("window", "threat_category", "os_type", "country_code").agg(
-        F.sum("events").alias("detection_count"),
-        F.count("device_id").alias("devices_count"),
-        (F.sum("score") / F.sum("events")).alias("avg_severity_score"),
-        F.sum("severe").alias("high_critical_count"),
-    )
-    start = F.col("window.start")
-    return trend.select(F.to_date(start).alias("event_date"), F.hour(start).alias("event_hour"), *trend.columns[1:])
+def rebuild_hours(silver: DataFrame, hourly: str, dates: list[dict[str, str]]) -> None:
+    """Replace the dates' rows of the hourly trend by what silver has for them now."""
+    wanted = [date["event_date"] for date in dates]
+    trend = hourly_detection_trend(silver.where(F.col("event_date").isin(wanted)))
+    layout = S.HOURLY_TREND_TABLE
+    write_table(trend, hourly, ["event_date"], layout.cluster_by, layout.sort_by, stale=lambda values: values["event_date"] in wanted)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palisade.sinks.tables import write_table
-from palisade.sources.aligned_csv import align, by_day, file_headers
-from palisade.streaming.ingest import run_available
+from palisade.session import scratch
+from palisade.sources.aligned_csv import align, align_records, by_day, file_headers, header_report, read_records, widest_header
+from palisade.streaming.ingest import run_available, write_batch
 
 
 def lake_new_files(
@@ -21,17 +22,26 @@ def lake_new_files(
     types: dict[str, str] | None = None,
     date_column: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] = lambda aligned: aligned,
+    report: str | None = None,
 ) -> StreamingQuery:
     """Align the files of each micro-batch and add them to the lake by year, month, day and batch.
 
     A file belongs to one micro-batch as a whole, header included. The batch number is the last partition
     column: a batch that is tried again replaces its own folders and leaves earlier ones alone. ``prepare``
-    may add columns, such as the date.
+    may add columns, such as the date. Torn files of the batch are read as whole records. ``report`` is a folder for the
+    header report of each batch, with the columns that ``columns`` leaves out.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        aligned = prepare(align(batch, file_headers(batch), columns, types))
-        dated = by_day(aligned, date_column).withColumn("batch", F.lit(number))
-        write_table(dated, lake, partition_by=["year", "month", "day", "batch"])
+        with scratch(batch.sparkSession):
+            headers = file_headers(batch)
+            aligned = align(batch, headers, columns, types)
+            if torn := [row.file for row in headers.where("torn").select("file").collect()]:
+                records = read_records(batch.sparkSession, torn, widest_header(headers) + 1)
+                aligned = aligned.unionByName(align_records(records, headers.where("torn"), columns, types))
+            dated = by_day(prepare(aligned), date_column).withColumn("batch", F.lit(number))
+            write_table(dated, lake, partition_by=["year", "month", "day", "batch"])
+            if report:
+                write_batch(header_report(headers, columns), report, number)
 
     return run_available(lines, handle, checkpoint)

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from palisade.session import scratch, settle
+from palisade.sinks import folders
 from palisade.sinks.messages import dead_letters
 from palisade.sources.messages import batch_stats, parse_messages, readable, unreadable
 
 
 def write_batch(batch: DataFrame, path: str, batch_id: int) -> None:
-    """One folder per micro-batch. A batch that is tried again replaces its own folder."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """One folder per micro-batch, written once.
+
+    A batch that is tried again has the same rows. If its folder is complete it stays as it is, with the files that a
+    later stream may have read already; otherwise it is written anew.
+    """
+    folder = f"{path}/batch_id={batch_id}"
+    if not folders.exists(batch.sparkSession, f"{folder}/_SUCCESS"):
+        batch.write.mode("overwrite").parquet(folder)
 
 
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -33,18 +40,16 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 def ingest(messages: DataFrame, topic: str, bronze: str, letters: str, stats: str, checkpoint: str) -> StreamingQuery:
     """Split each batch of messages into bronze rows and dead letters, and keep its counts.
 
-    A batch feeds three writes, so it is held while they run; its size is bounded by the source's
-    per-trigger limits, and lost blocks are read again from the topic.
+    A batch feeds three writes, so it is parsed once and written to the shared folder while they run. The source's
+    per-trigger limit bounds it, but nothing is held in memory if it has none.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with scratch(batch.sparkSession):
+            parsed = settle(parse_messages(batch), "parsed")
             write_batch(readable(parsed), bronze, batch_id)
             write_batch(dead_letters(unreadable(parsed), topic), letters, batch_id)
             write_batch(batch_stats(parsed), stats, batch_id)
-        finally:
-            parsed.unpersist()
 
     return run_available(messages, handle, checkpoint)
 

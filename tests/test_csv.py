@@ -53,13 +53,14 @@ def rows_of(df):
     return [tuple(row) for row in df.drop("file", "modified").collect()]
 
 
-@pytest.mark.parametrize("broadcast_bytes", [aligned_csv.BROADCAST_BYTES, 0])
-def test_aligned_by_name(spark, folder, headers, broadcast_bytes, plan):
-    lines = aligned_csv.read_lines(spark, folder)
-    aligned = aligned_csv.align(lines, headers, COLUMNS, TYPES, broadcast_bytes)
-    found = rows_of(aligned)
+def test_aligned_by_name(spark, folder, headers):
+    found = rows_of(aligned_csv.align(aligned_csv.read_lines(spark, folder), headers, COLUMNS, TYPES))
     assert set(found) == ROWS and len(found) == len(ROWS)
-    assert ("salt" in plan(aligned)) == (broadcast_bytes == 0)
+
+
+def test_extra_keeps_what_the_columns_leave_out(spark, folder, headers):
+    rows = aligned_csv.align(aligned_csv.read_lines(spark, folder), headers, ["id", "name", "amt"], TYPES, keep_extra=True)
+    assert {row.extra for row in rows.collect()} == {None, "5,5.5,55,zz", "6,6.5,66,yy,surplus", "7"}
 
 
 def test_all_columns_when_none_are_named(spark, folder):
@@ -113,18 +114,44 @@ def test_hundred_columns(spark, tmp_path):
     assert sorted(rows_of(found)) == [(*range(100), False), (*reversed(range(100)), False)]
 
 
-def test_line_is_parsed_once(spark, folder, headers, plan):
+def test_data_lines_are_scanned_and_parsed_once(spark, folder, headers, plan):
     text = plan(aligned_csv.align(aligned_csv.read_lines(spark, folder), headers, COLUMNS))
-    assert text.count(", line#") + text.count("from_csv") > 0
-    data_side = [line for line in text.splitlines() if "from_csv" in line and "line#" in line]
-    assert all(line.count("from_csv(") == 1 for line in data_side)
+    scans = [line for line in text.splitlines() if line.startswith("Location:") and "csv" in line and "csv-heads" not in line]
+    assert len(scans) == 1
+    parsed = [line for line in text.splitlines() if "from_csv(" in line]
+    assert len(parsed) == 2 and all(line.count("from_csv(") == 1 for line in parsed)  # the header's names, and the line
+
+
+def test_torn_records_never_come_out_in_halves(spark, tmp_path):
+    folder = write(tmp_path, {"a.csv": 'id,note\n1,"two\nlines"\n2,plain\n', "b.csv": "note,id\nx,3\n"})
+    headers = aligned_csv.file_headers(aligned_csv.read_lines(spark, folder))
+    assert [row.file.rsplit("/", 1)[1] for row in aligned_csv.torn_files(headers).collect()] == ["a.csv"]
+    assert rows_of(aligned_csv.align(aligned_csv.read_lines(spark, folder), headers, ["id", "note"], {"id": "int"})) == [(3, "x", False)]
+    aligned = aligned_csv.read_aligned(spark, folder, ["id", "note"], {"id": "int"})
+    assert sorted(rows_of(aligned)) == [(1, "two\nlines", False), (2, "plain", False), (3, "x", False)]
+
+
+def test_blank_blocks_before_the_header(spark, tmp_path):
+    write(tmp_path, {"late.csv": "\n" * 5000 + "id,note\n1,x\n2,y\n"})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert sorted(rows_of(aligned_csv.read_aligned(spark, str(tmp_path), ["id", "note"], {"id": "int"}))) == [(1, "x", False), (2, "y", False)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_too_many_names_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(aligned_csv, "MAX_COLUMNS", 3)
+    write(tmp_path, {"a.csv": "a,b\n1,2\n", "b.csv": "c,d\n1,2\n"})
+    with pytest.raises(ValueError):
+        aligned_csv.read_aligned(spark, str(tmp_path))
 
 
 def test_lake_partitions(spark, folder, tmp_path):
     aligned = aligned_csv.read_aligned(spark, folder, ["id"], TYPES).withColumn("on", F.lit("2024-02-03"))
-    aligned_csv.write_lake(aligned, str(tmp_path / "named"), "on")
-    assert (tmp_path / "named/year=2024/month=2/day=3").is_dir()
-    aligned_csv.write_lake(aligned, str(tmp_path / "modified"))
+    aligned_csv.write_lake(aligned, str(tmp_path / "named"), "one", "on")
+    assert (tmp_path / "named/year=2024/month=2/day=3/load=one").is_dir()
+    aligned_csv.write_lake(aligned, str(tmp_path / "modified"), "one")
     lake = spark.read.parquet(str(tmp_path / "modified"))
     assert lake.where("make_date(year, month, day) = to_date(modified)").count() == len(ROWS)
 
@@ -132,3 +159,13 @@ def test_lake_partitions(spark, folder, tmp_path):
 def test_no_files(spark, tmp_path):
     write(tmp_path, {"e.csv": ""})
     assert aligned_csv.read_aligned(spark, str(tmp_path), ["id"]).count() == 0
+
+
+def test_loads_of_one_day_stay_and_a_repeated_one_replaces_itself(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    load = lambda rows: spark.createDataFrame(rows, "id int, on string")
+    aligned_csv.write_lake(load([(1, "2024-01-02"), (2, "2024-01-02")]), lake, "one", "on")
+    aligned_csv.write_lake(load([(3, "2024-01-02"), (4, "2024-01-03")]), lake, "two", "on")
+    assert spark.read.parquet(lake).count() == 4
+    aligned_csv.write_lake(load([(3, "2024-01-02")]), lake, "two", "on")
+    assert sorted(row.id for row in spark.read.parquet(lake).collect()) == [1, 2, 3]

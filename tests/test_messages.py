@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import json
 
 import pytest
@@ -57,7 +58,7 @@ def test_round_trip(bronze):
 def test_errors(broken):
     errors = {row.kafka_offset: row.parse_error for row in parse_messages(broken).collect()}
     assert errors[0] is None and errors[2] == errors[3] == "EMPTY_MESSAGE"
-    assert {errors[number] for number in (1, 4, 6)} == {"UNREADABLE_JSON"}
+    assert {errors[number] for number in (1, 4)} == {"UNREADABLE_JSON"} and {errors[number] for number in (5, 6, 7)} == {"NOT_AN_OBJECT"}
     stats = batch_stats(parse_messages(broken)).first()
     assert stats.total == 8 and stats.success + stats.failures == 8
 
@@ -69,3 +70,20 @@ def test_dead_letters(broken):
     assert first == {
         "original_event": "{broken", "error": "UNREADABLE_JSON", "failed_at": "2024-05-05T00:00:00.000000+00:00", "topic": "raw",
     }
+
+
+@pytest.mark.parametrize(
+    "value, error",
+    [
+        (b'{"event_id": "a"} \n', None), (b'\xff{"event_id": "a"}', "INVALID_UTF8"), (b'{"event_id": "\xc3"}', "INVALID_UTF8"), (b"\n\t", "EMPTY_MESSAGE"),
+        (b'{"event_id": "a"} {"event_id": "b"}', "SEVERAL_VALUES"), (b'{"event_id": "a"}]', "SEVERAL_VALUES"), (b'{"event_id": "a"}}', "SEVERAL_VALUES"),
+        (b'{"event_id": "a"},{}', "SEVERAL_VALUES"), (b'[{"event_id": "a"}]', "NOT_AN_OBJECT"), (b'"text"', "NOT_AN_OBJECT"), (b'{"event_id": ', "UNREADABLE_JSON"),
+    ],
+)
+def test_any_bytes_are_a_message_or_a_letter(spark, value, error):
+    parsed = parse_messages(spark.createDataFrame([(None, value, None, 1, 1, None)], S.MESSAGE))
+    assert parsed.first().parse_error == error
+    letters = [json.loads(bytes(row.value)) for row in dead_letters(unreadable(parsed), "raw").collect()]
+    assert [letter["error"] for letter in letters] == [error] * (error is not None)
+    if error == "INVALID_UTF8":
+        assert base64.b64decode(letters[0]["original_base64"]) == value

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
-
 import pytest
 from conftest import NOW
 from pyspark.sql import functions as F
@@ -13,7 +11,7 @@ from palisade.plans.silver import silver_events
 from palisade.sources.derived import topic_from_bronze
 from palisade.sources.aligned_csv import new_lines
 from palisade.sources.tables import new_files
-from palisade.streaming.events import append_latest, hourly_trend_stream, latest_events, screen, silver_stream
+from palisade.streaming.events import keep_silver
 from palisade.streaming.files import lake_new_files
 from palisade.streaming.ingest import ingest, run_available, total_stats, write_batch
 
@@ -60,27 +58,64 @@ def test_bronze_and_letters_add_up(spark, ingested):
     assert spark.read.parquet(ingested[0]["letters"]).count() == 81
 
 
-def test_latest_wins_across_batches(spark, bronze, ingested, tmp_path):
-    arrived = silver_stream(new_files(spark, ingested[0]["bronze"], NULLABLE_BRONZE, files_per_batch=1), NOW)
-    append_latest(arrived, str(tmp_path / "log"), str(tmp_path / "checkpoint"))
-    log = spark.read.parquet(str(tmp_path / "log"))
-    assert log.select("batch_id").distinct().count() >= 2
-    streamed = latest_events(log)
+@pytest.fixture(scope="module")
+def kept(spark, ingested, tmp_path_factory):
+    """The bronze rows merged in two micro-batches."""
+    root = tmp_path_factory.mktemp("kept")
+    paths = {name: str(root / name) for name in ("silver", "checkpoint", "quarantine", "hourly")}
+    arrived = new_files(spark, ingested[0]["bronze"], NULLABLE_BRONZE, files_per_batch=1)
+    keep_silver(arrived, paths["silver"], paths["checkpoint"], paths["quarantine"], paths["hourly"], NOW)
+    return paths
+
+
+def test_latest_wins_across_batches(spark, bronze, kept):
+    streamed = spark.read.parquet(kept["silver"])
     batch = silver_events(bronze.where("kafka_offset % 13 <> 0"), NOW)
     assert streamed.count() == batch.count()
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
 
 
-def test_screening_keeps_every_row(spark, bronze, ingested, tmp_path):
-    arrived = new_files(spark, ingested[0]["bronze"], NULLABLE_BRONZE, files_per_batch=1)
-    paths = [str(tmp_path / name) for name in ("log", "quarantine", "checkpoint")]
-    screen(arrived, *paths, NOW)
-    log, kept = spark.read.parquet(paths[0]), spark.read.parquet(paths[1])
+def test_screening_keeps_every_row(spark, bronze, kept):
+    rejected = spark.read.parquet(kept["quarantine"])
+    _, bad = split(standardise_enums(bronze.where("kafka_offset % 13 <> 0")), NOW)
+    assert rejected.count() == bad.count() and "ip_address" not in rejected.columns
+
+
+def test_hours_equal_the_batch_table_whatever_the_batches(spark, bronze, kept, tmp_path):
     readable = bronze.where("kafka_offset % 13 <> 0")
-    good, bad = split(standardise_enums(readable), NOW)
-    assert kept.count() == bad.count() and "ip_address" not in kept.columns
-    assert log.count() == good.count()  # copies of an event are in different batches here
-    assert latest_events(log).count() == silver_events(readable, NOW).count()
+    wanted = hourly_detection_trend(silver_events(readable, NOW))
+    readable.repartition(5, F.xxhash64("event_id", "kafka_offset")).write.parquet(str(tmp_path / "in"))
+    arrived = new_files(spark, str(tmp_path / "in"), NULLABLE_BRONZE, files_per_batch=1)
+    keep_silver(arrived, str(tmp_path / "silver"), str(tmp_path / "c"), hourly=str(tmp_path / "hourly"), now=NOW)
+    for path in (kept["hourly"], str(tmp_path / "hourly")):
+        found = spark.read.parquet(path)
+        assert found.count() == wanted.count() == 750
+        assert found.select(*wanted.columns).exceptAll(wanted).count() == 0
+
+
+def test_a_retried_batch_does_not_double_the_quarantine(spark, topic, tmp_path):
+    """The ingest stream dies after its writes and before its commit, and the next stream has read its files already."""
+    deliver(topic, "one", tmp_path / "in")
+    paths = {name: str(tmp_path / name) for name in ("bronze", "letters", "stats", "checkpoint", "silver", "c", "quarantine")}
+    run = lambda: ingest(new_files(spark, str(tmp_path / "in"), S.MESSAGE), "raw", *[paths[n] for n in ("bronze", "letters", "stats", "checkpoint")])
+    screen = lambda: keep_silver(new_files(spark, paths["bronze"], NULLABLE_BRONZE), paths["silver"], paths["c"], paths["quarantine"], now=NOW)
+    run()
+    screen()
+    counts = spark.read.parquet(paths["quarantine"]).count()
+    for file in (tmp_path / "checkpoint/commits").iterdir():
+        file.unlink()
+    run()
+    screen()
+    assert spark.read.parquet(paths["quarantine"]).count() == counts > 0
+    assert spark.read.parquet(paths["bronze"]).count() == 923
+
+
+def test_a_poison_message_does_not_stop_the_stream(spark, tmp_path):
+    rows = [(None, value, None, 1, n, None) for n, value in enumerate([b"\xff\xfe", b'{"event_id": "a"}', b"{} {}"])]
+    spark.createDataFrame(rows, S.MESSAGE).write.parquet(str(tmp_path / "in"))
+    paths = [str(tmp_path / name) for name in ("bronze", "letters", "stats", "checkpoint")]
+    ingest(new_files(spark, str(tmp_path / "in"), S.MESSAGE), "raw", *paths)
+    assert tuple(total_stats(spark.read.parquet(paths[2])).first()) == (3, 1, 2)
 
 
 def test_csv_files_as_they_arrive(spark, tmp_path):
@@ -97,53 +132,21 @@ def test_csv_files_as_they_arrive(spark, tmp_path):
     assert [tuple(row) for row in found] == [(2024, 1, True, 1), (2024, 1, True, 2), (2024, 1, True, 3)]
 
 
-def test_repeated_batch_replaces_itself(spark, tmp_path):
+def test_csv_report_and_torn_files_of_a_stream(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text('day,v,w\n2024-01-02,1,"x\ny"\n')
+    lake_new_files(new_lines(spark, str(inbox)), str(tmp_path / "lake"), str(tmp_path / "c"), ["day", "v"], {"v": "int"}, "day", report=str(tmp_path / "r"))
+    assert [row.v for row in spark.read.parquet(str(tmp_path / "lake")).collect()] == [1]
+    assert [row.unknown for row in spark.read.parquet(str(tmp_path / "r")).collect()] == [["w"]]
+
+
+def test_repeated_batch_stays_as_it_is(spark, tmp_path):
     for _ in range(2):
         write_batch(spark.range(5), str(tmp_path / "log"), 7)
     assert spark.read.parquet(str(tmp_path / "log")).count() == 5
 
 
-EVENT = "event_id STRING, event_timestamp TIMESTAMP, threat_category STRING, os_type STRING, country_code STRING, device_id STRING, severity_score INT"
-
-
-def run_trend(spark, folder, batches):
-    source = folder / "in"
-    for number, rows in enumerate(batches):
-        spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(str(source))
-        trend = hourly_trend_stream(new_files(spark, str(source), EVENT))
-        query = trend.writeStream.format("parquet").option("path", str(folder / "out"))
-        query = query.option("checkpointLocation", str(folder / "checkpoint")).trigger(availableNow=True)
-        query.start().awaitTermination()
-    return spark.read.parquet(str(folder / "out"))
-
-
-def event(number, hour, device, score=1, minute=0):
-    return (f"e{number}", dt.datetime(2024, 1, 1, hour, minute), "WORM", "IOS", None, device, score)
-
-
-def test_hours_close_behind_the_watermark(spark, tmp_path):
-    """Hour 0 gets events in two batches, one of them a re-delivery; hour 9 stays open."""
-    first = [event(1, 0, "a", 4), event(2, 0, "a", 1), event(3, 1, "b", 3, 30)]
-    second = [event(1, 0, "a", 4), event(4, 0, "b", 1, 59), event(5, 9, "c")]
-    found = run_trend(spark, tmp_path, [first, second])
-    rows = sorted(tuple(row) for row in found.drop("threat_category", "os_type", "country_code", "event_date").collect())
-    assert rows == [(0, 3, 2, 2.0, 1), (1, 1, 1, 3.0, 1)]
-
-
-def test_stream_trend_equals_batch(spark, bronze, tmp_path):
-    silver_events(bronze, NOW).write.parquet(str(tmp_path / "silver"))
-    silver = spark.read.parquet(str(tmp_path / "silver"))
-    trend = hourly_trend_stream(new_files(spark, str(tmp_path / "silver"), silver.schema))
-    query = trend.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-    query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    streamed = spark.read.parquet(str(tmp_path / "out"))
-    closed = silver.agg(F.max("event_timestamp") - F.expr("INTERVAL 2 HOURS")).first()[0]
-    hour_end = F.to_timestamp("event_date") + F.make_dt_interval(hours=F.col("event_hour") + 1)
-    batch = hourly_detection_trend(silver).where(hour_end <= F.lit(closed))
-    assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
-    assert streamed.count() == batch.count() > 700
-
-
 def test_run_available_hands_over_batches(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(str(tmp_path / "in"))
     seen = []

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import uuid
+
 import pytest
 from conftest import NOW
 from pyspark.sql import functions as F
 
+from palisade import session
 from palisade.plans import jobs
 from palisade.plans.silver import quarantined_events, silver_events
-from palisade.session import settle, shared_folder
-from palisade.sinks.tables import laid_out, register_table, write_quarantine, write_table
+from palisade.session import scratch, settle, shared_folder
+from palisade.sinks.tables import laid_out, merge_table, register_table, write_quarantine, write_table
 from palisade.sources.tables import read_table
 
 
@@ -15,7 +18,7 @@ from palisade.sources.tables import read_table
 def run(spark, bronze, tmp_path_factory):
     root = tmp_path_factory.mktemp("run")
     paths = {name: str(root / name) for name in ("silver", "quarantine", "gold")}
-    counts = [jobs.bronze_to_silver(bronze, paths["silver"], paths["quarantine"], "dev", "one", NOW) for _ in range(2)]
+    counts = [jobs.bronze_to_silver(bronze, paths["silver"], paths["quarantine"], "dev", "one", NOW, mode=mode) for mode in (jobs.REPLACE, jobs.MERGE)]
     counts.append(jobs.silver_to_gold(read_table(spark, paths["silver"]), paths["gold"], "dev", NOW))
     return paths, counts
 
@@ -24,7 +27,8 @@ def test_counts_come_with_the_writes(run):
     assert run[1] == [
         {"bronze": 1050, "accepted": 850, "rejected": 200, "silver": 815},
         {"bronze": 1050, "accepted": 850, "rejected": 200, "silver": 815},
-        {"daily_threat_summary": 701, "global_threat_leaderboard": 651, "hourly_detection_trend": 815, "customer_risk_scores": 517},
+        {"daily_threat_summary": 701, "global_threat_leaderboard": 651, "hourly_detection_trend": 815, "customer_risk_scores": 517,
+         "product_performance_kpis": 680},
     ]
 
 
@@ -130,3 +134,99 @@ def test_read_by_name_or_path(spark, tmp_path):
     assert read_table(spark, str(tmp_path / "old"), merge_schema=True).columns == ["id", "more"]
     spark.range(4).createOrReplaceTempView("four")
     assert read_table(spark, "four").count() == 4
+
+
+def shifted(bronze, days):
+    """The copies with another date and a later ingestion."""
+    again = bronze.where("kafka_offset >= 10000000")
+    return again.withColumns({"event_timestamp": F.expr(f"event_timestamp + INTERVAL {days} DAYS"), "ingestion_timestamp": F.expr("ingestion_timestamp + INTERVAL 1 DAY")})
+
+
+def test_a_delivery_that_moves_its_date_leaves_the_old_one(spark, bronze, tmp_path):
+    paths = str(tmp_path / "s"), str(tmp_path / "q")
+    jobs.bronze_to_silver(bronze, *paths, "dev", "one", NOW, mode=jobs.REPLACE)
+    counts = jobs.bronze_to_silver(shifted(bronze, 1000), *paths, "dev", "two", NOW, mode=jobs.MERGE)
+    found = read_table(spark, paths[0])
+    wanted = silver_events(bronze.unionByName(shifted(bronze, 1000)), NOW)
+    assert found.count() == found.select("event_id").distinct().count() == wanted.count() == 815
+    assert found.select(*wanted.columns).exceptAll(wanted).count() == 0
+    assert counts["bronze"] == 50 and 0 < counts["silver"] < 815
+
+
+def test_a_date_whose_only_event_moves_goes(spark, tmp_path):
+    row = lambda i, day, at: spark.createDataFrame([(i, day, at)], "event_id string, day string, at int")
+    path = str(tmp_path / "t")
+    for new in (row("a", "1", 1), row("b", "2", 1), row("a", "2", 2), row("a", "1", 1)):
+        merge_table(new, path, ["day"], order=["at"])
+    assert sorted(tuple(r) for r in read_table(spark, path).select("event_id", "at", "day").collect()) == [("a", 2, 2), ("b", 1, 2)]
+    assert not (tmp_path / "t/day=1").exists()
+
+
+def test_unknown_mode_is_refused(bronze, tmp_path):
+    with pytest.raises(ValueError):
+        jobs.bronze_to_silver(bronze, str(tmp_path / "s"), str(tmp_path / "q"), "dev", "one", NOW, mode="append")
+
+
+def test_rebuild_removes_what_has_left(spark, run, tmp_path):
+    silver, gold = read_table(spark, run[0]["silver"]), str(tmp_path)
+    jobs.silver_to_gold(silver, gold, "dev", NOW)
+    less = silver.where("event_date NOT IN (DATE '2024-01-10', DATE '2024-03-21')")
+    jobs.silver_to_gold(less, gold, "dev", NOW, since="2024-03-20")
+    dates = {str(r.event_date) for r in read_table(spark, f"{gold}/hourly_detection_trend").select("event_date").distinct().collect()}
+    assert "2024-01-10" in dates and "2024-03-21" not in dates
+    jobs.silver_to_gold(less, gold, "dev", NOW)
+    assert read_table(spark, f"{gold}/hourly_detection_trend").where("event_date = DATE '2024-01-10'").count() == 0
+
+
+def test_since_reads_only_the_needed_folders(spark, run, plan):
+    built = jobs.gold_tables(read_table(spark, run[0]["silver"]), since="2024-03-20")["hourly_detection_trend"]()
+    filters = [line for line in plan(built).splitlines() if "PartitionFilters" in line]
+    assert "2024-03-20" in filters[0] and "event_date" in filters[0]
+
+
+def test_rows_are_counted_above_the_exchange(spark, bronze, tmp_path, monkeypatch, plan):
+    from palisade.sinks import tables
+
+    seen = []
+    monkeypatch.setattr(tables, "observed", lambda df, *a, real=tables.observed, **m: (seen.append(real(df, *a, **m)), seen[-1])[1])
+    assert write_table(silver_events(bronze, NOW), str(tmp_path / "t"), ["event_date"]) == 815
+    lines = [line.strip(" +-*:") for line in plan(seen[0][0]).splitlines()]
+    nodes = [line for line in lines if line.startswith(("CollectMetrics", "Exchange"))]
+    assert nodes[0].startswith("CollectMetrics")
+
+
+def test_another_folder_is_refused_and_quotes_are_no_sql(spark, tmp_path):
+    for name in ("a", "it's"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    assert register_table(spark, "check_one", str(tmp_path / "it's")).count() == 3
+    with pytest.raises(ValueError):
+        register_table(spark, "check_one", str(tmp_path / "a"))
+    spark.sql("DROP TABLE check_one")
+
+
+def test_scratch_is_empty_after_the_jobs_and_after_a_failure(spark, run, tmp_path, monkeypatch):
+    folder = lambda _, purpose: str(tmp_path / "shared" / f"{purpose}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(session, "shared_folder", folder)
+    silver = read_table(spark, run[0]["silver"])
+    jobs.silver_to_gold(silver, str(tmp_path / "gold"), "dev", NOW)
+    with pytest.raises(RuntimeError), scratch(spark):
+        assert settle(spark.range(3), "kept").count() == 3
+        raise RuntimeError
+    assert (tmp_path / "shared").exists() and not list((tmp_path / "shared").rglob("*.parquet"))
+
+
+def test_gold_plans_run_nothing_before_they_are_asked_for(spark, run):
+    tracker = spark.sparkContext.statusTracker()
+    silver = read_table(spark, run[0]["silver"])
+    before = len(tracker.getJobIdsForGroup())
+    assert set(jobs.gold_tables(silver)) == set(run[1][2])
+    assert len(tracker.getJobIdsForGroup()) == before
+
+
+def test_whole_gold_job(spark, run, tmp_path):
+    gold = run[0]["gold"]
+    counts = jobs.gold_to_reports(gold, str(tmp_path / "r"), spark, "2024-06-01", "2024-04-20")
+    assert counts == {"executive_summary": 4, "top_threats_weekly": 10}
+    loaded = jobs.gold_to_warehouse(gold, str(tmp_path / "w"), spark, NOW)
+    assert loaded["global_threat_leaderboard"] + loaded["rejected global_threat_leaderboard"] == 651
+    assert "missing:threat_name" in str(read_table(spark, str(tmp_path / "w/rejected/global_threat_leaderboard")).first())
