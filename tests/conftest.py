@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from palisade.session import local_session  # noqa: E402
-from palisade.sources.derived import bronze_from_events  # noqa: E402
+from verification.derived import bronze_from_events  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 NOW = "2026-12-01 00:00:00"

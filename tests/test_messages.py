@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from palisade import schemas as S
 from palisade.session import settle
 from palisade.sinks.messages import dead_letters, to_messages
-from palisade.sources.derived import topic_from_bronze
+from verification.derived import topic_from_bronze
 from palisade.sources.messages import batch_stats, parse_messages, readable, unreadable
 
 

@@ -7,7 +7,7 @@ from check_oracle import compare, connect
 from conftest import SMALL
 
 import __spark_entry__ as entry
-from palisade import oracle, registry
+from verification import oracle, registry
 
 
 @pytest.fixture(scope="module")

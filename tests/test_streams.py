@@ -8,7 +8,7 @@ from palisade import schemas as S
 from palisade.operators.screening import split, standardise_enums
 from palisade.plans.gold import hourly_detection_trend
 from palisade.plans.silver import silver_events
-from palisade.sources.derived import topic_from_bronze
+from verification.derived import topic_from_bronze
 from palisade.sources.aligned_csv import new_lines
 from palisade.sources.tables import new_files
 from palisade.streaming.events import keep_silver

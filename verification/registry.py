@@ -27,7 +27,7 @@ from palisade.session import in_utc, settle, shared_folder
 from palisade.sinks.messages import dead_letters, to_messages
 from palisade.sinks.tables import layout_report, register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
-from palisade.sources.derived import broken_from_bronze, bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
+from verification.derived import broken_from_bronze, bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
 from palisade.sources.messages import batch_stats, parse_messages, unreadable
 from palisade.sources.tables import new_files, read_table
 from palisade.streaming import events as stream_events
