@@ -25,8 +25,13 @@ TOXIC_ROWS = 4_000
 CLEAN_ROWS = 8_000
 VOTERS = 300
 PREFIXES = range(3, 9)
-# Twice the log-likelihood ratio of a pattern against none (chance of 0.001 for one pattern).
+# Least of twice the log-likelihood ratio of a pattern against none (chance of 0.001 for one pattern); with more patterns
+# the bound rises so that about ``CHANCE`` of them pass without meaning anything.
 EVIDENCE = 10.8
+CHANCE = 5
+
+# A task hands on what it has counted when it holds so many patterns.
+HELD_PATTERNS = 300_000
 
 WORD = re.compile(r"\w+")
 
@@ -130,20 +135,28 @@ def _pattern_counts(sample: DataFrame) -> tuple[int, int, list]:
                     seen.add(word[:64])
                     seen.update(f"{word[:length]}*" for length in PREFIXES if length < len(word))
                 found[int(toxic == 1)].update(seen)
-        # What a task has seen in one clean row only can't stand out, but counts against what others have seen.
+                if len(found[0]) + len(found[1]) > HELD_PATTERNS:
+                    yield from counts(found)
+                    found = (Counter(), Counter())
+        yield from counts(found)
+
+    def counts(found: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
         patterns = list(found[1].keys() | found[0].keys())
         for at in range(0, len(patterns), 50_000):
             part = patterns[at : at + 50_000]
             yield pa.record_batch([pa.array(part), *[pa.array([found[kind][p] for p in part], pa.int64()) for kind in (1, 0)]], names=["pattern", "toxic", "clean"])
 
     counted = sample.mapInArrow(count, "pattern string, toxic bigint, clean bigint").groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = settle(counted.filter("toxic >= 2 OR pattern = ''"), "patterns")
+    tested = counted.count()
     whole = counted.filter("pattern = ''").first()
     toxic, clean = (whole["toxic"], whole["clean"]) if whole else (0, 0)
     if not toxic or not clean:
         return toxic, clean, []
     p, n, all_rows = F.col("toxic"), F.col("clean"), float(toxic + clean)
     evidence = 2 * (p * F.log(p * all_rows / ((p + n) * toxic)) + F.when(n > 0, n * F.log(n * all_rows / ((p + n) * clean))).otherwise(0.0))
-    standing = counted.filter((p >= 2) & (p * clean > n * toxic * 4)).withColumn("evidence", evidence).filter(F.col("evidence") >= EVIDENCE)
+    least = max(EVIDENCE, 2 * math.log(max(1, tested / CHANCE)))
+    standing = counted.filter((p >= 2) & (p * clean > n * toxic * 4)).withColumn("evidence", evidence).filter(F.col("evidence") >= least)
     return toxic, clean, standing.orderBy(F.desc("evidence"), "pattern").limit(20 * VOTERS).collect()
 
 
