@@ -7,6 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def required_columns(table: DataFrame, declared: T.StructType | str) -> DataFrame:
+    """The table, if it has every declared column in the declared type; no data is read. NULLs are the checks' matter."""
+    declared = T.StructType.fromDDL(declared) if isinstance(declared, str) else declared
+    actual = {field.name: field.dataType.simpleString() for field in table.schema.fields}
+    wrong = [
+        f"{field.name}: {actual.get(field.name, 'missing')} instead of {field.dataType.simpleString()}"
+        for field in declared.fields
+        if actual.get(field.name) != field.dataType.simpleString()
+    ]
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return table
+
+
 def contract_report(table: DataFrame, declared: T.StructType | str) -> DataFrame:
     """One row per declared or present column: expected type, actual type, NULLs where none are allowed.
 

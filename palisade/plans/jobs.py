@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from palisade import schemas as S
 from palisade.functions.dates import day
 from palisade.operators.conform import conform
+from palisade.operators.contract import required_columns
 from palisade.operators.metrics import observed
 from palisade.operators.screening import quarantine, standardise_enums, with_flags
 from palisade.plans import gold, reports
@@ -38,10 +39,11 @@ def bronze_to_silver(
     With the mode ``replace``, ``bronze`` is everything there is, and silver is built anew. With ``merge`` it is one more
     delivery: its events are added, later deliveries of known events win, and only the dates concerned are rewritten.
     Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also counts what was
-    read, accepted and rejected. ``silver`` counts the rows of the dates written. ``table`` is silver's catalog name.
+    read, accepted and rejected. A bronze table that lacks a column of the contract is refused. ``silver`` counts the rows of the dates written. ``table`` is silver's catalog name.
     """
     if mode not in (REPLACE, MERGE):
         raise ValueError(f"mode {mode}")
+    required_columns(bronze, S.BRONZE)
     seen, intake = observed(
         with_flags(standardise_enums(bronze), now),
         "intake",

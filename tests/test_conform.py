@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from palisade import schemas as S
 from palisade.operators.conform import conform
-from palisade.operators.contract import contract_report
+from palisade.operators.contract import contract_report, required_columns
 from palisade.plans import gold
 from palisade.plans.silver import silver_events
 from conftest import NOW
@@ -69,3 +69,10 @@ def test_contract_report(spark):
     assert (report["b"].forbidden_nulls, report["b"].agrees) == (1, False)
     assert (report["c"].actual, report["c"].agrees) == (None, False)
     assert (report["extra"].expected, report["extra"].rows, report["extra"].agrees) == (None, 2, False)
+
+
+def test_required_columns(spark):
+    rows = spark.createDataFrame([(1, "x")], "a BIGINT, b STRING")
+    assert required_columns(rows, "a BIGINT NOT NULL") is rows
+    with pytest.raises(ValueError, match="b: string instead of int; c: missing instead of date"):
+        required_columns(rows, "a BIGINT, b INT, c DATE")
