@@ -1,7 +1,8 @@
 """Byte-level BPE by a pair occurrence index, and its inverse.
 
 A batch's distinct pieces are merged together: an index maps each pair of neighbouring symbols to all its positions in the
-batch, ranks are taken in ascending order, and each merge updates the lists of the pairs it makes.
+batch, ranks are taken in ascending order, and each merge updates the lists of the pairs it makes. All places of a pair are
+merged at once.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # A space next to other white space or at an end of the text; every other space begins a token.
 TIGHT = r"^ | $|\s | \s"
 
-KEPT_PIECES = 200_000
-TEXT_BYTES = 1 << 20
+KEPT_PIECES = 400_000
+TEXT_BYTES = 4 << 20
 
 
 class Vocabulary(NamedTuple):
-    merges: dict[tuple[int, int], tuple[int, int]]  # pair: rank, symbol
+    pairs: np.ndarray  # left * size + right of every merge, ascending
+    ranks: np.ndarray  # of these pairs
+    merges: np.ndarray  # left, right and result, by rank
     bytes_of: list[bytes]  # by id
-    byte_ids: list[int]  # symbol of each byte
+    byte_ids: np.ndarray  # symbol of each byte
     special: dict[str, int]
 
 
@@ -62,63 +65,104 @@ def read_vocabulary(path: str) -> Vocabulary:
         bytes_of[i] = bytes(byte_of[c] for c in token)
     for token, i in special.items():
         bytes_of[i] = token.encode()
-    merges = {}
-    for rank, pair in enumerate(content["model"]["merges"]):
-        left, right = pair if isinstance(pair, list) else pair.split(" ")
-        merges[ids[left], ids[right]] = rank, ids[left + right]
-        if rank < merges.get((ids[left], ids[right]), (rank,))[0] or bytes_of[ids[left + right]] == b"":
-            raise ValueError(f"{path}: merges out of order")
-    return Vocabulary(merges, bytes_of, [ids[c] for c in characters], special)
+    steps = [tuple(pair) if isinstance(pair, list) else tuple(pair.split(" ")) for pair in content["model"]["merges"]]
+    merges = np.array([(ids[left], ids[right], ids[left + right]) for left, right in steps], np.int64).reshape(-1, 3)
+    _check_order(path, merges)
+    codes = merges[:, 0] * len(bytes_of) + merges[:, 1]
+    order = np.argsort(codes)
+    return Vocabulary(codes[order], order, merges, bytes_of, np.array([ids[c] for c in characters]), special)
 
 
-def merge_all(tokens: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """Symbols of each token after all merges, by one index over all tokens.
+def _check_order(path: str, merges: np.ndarray) -> None:
+    """Every symbol comes from one merge at most, which ranks before all merges that use it."""
+    made = {symbol: rank for rank, symbol in enumerate(merges[:, 2].tolist())}
+    if len(made) < len(merges) or any(made.get(part, -1) >= rank for rank, pair in enumerate(merges[:, :2].tolist()) for part in pair):
+        raise ValueError(f"{path}: ranks out of order")
+
+
+def ranks_of(left: np.ndarray, right: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Rank of each pair of symbols, -1 for none; negative symbols are in no pair."""
+    codes = left * len(vocabulary.bytes_of) + right
+    place = np.minimum(np.searchsorted(vocabulary.pairs, codes), len(vocabulary.pairs) - 1)
+    return np.where((vocabulary.pairs[place] == codes) & (left >= 0) & (right >= 0), vocabulary.ranks[place], -1)
+
+
+def merge_all(tokens: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all tokens in a row after all merges, and where each token's begin, by one index over all tokens.
 
     A symbol comes from one merge and pairs with it rank after that merge, so no pair of a rank already taken appears
     again, and taking ranks in ascending order equals merging token by token.
     """
-    merges = vocabulary.merges
-    symbols: list[int] = []
-    for token in tokens:
-        symbols.extend(map(vocabulary.byte_ids.__getitem__, token))
-        symbols.append(-1)  # ends a token
-    after = list(range(1, len(symbols) + 1))
-    before = list(range(-1, len(symbols) - 1))
-    index: dict[tuple[int, int], list[int]] = {}
-    for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)):
-        if pair in merges:
-            index.setdefault(pair, []).append(i)
-    active = [(merges[pair][0], pair) for pair in index]
-    heapq.heapify(active)
+    data = np.frombuffer(b"".join(tokens), np.uint8)
+    ends = np.cumsum([len(t) for t in tokens], dtype=np.int64)
+    symbols = np.insert(vocabulary.byte_ids[data], ends, -1) if len(tokens) else np.zeros(0, np.int64)  # -1 ends a token
+    after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+    index: dict[int, list[np.ndarray]] = {}
+    active: list[int] = []
+
+    def note(ranks: np.ndarray, places: np.ndarray) -> None:
+        """Add the places to the lists of their ranks."""
+        known = ranks >= 0
+        ranks, places = ranks[known], places[known]
+        order = np.argsort(ranks, kind="stable")
+        ranks, places = ranks[order], places[order]
+        cuts = np.flatnonzero(np.diff(ranks)) + 1
+        for rank, part in zip(ranks[np.concatenate([[0], cuts])].tolist() if len(ranks) else [], np.split(places, cuts), strict=False):
+            if rank not in index:
+                index[rank] = []
+                heapq.heappush(active, rank)
+            index[rank].append(part)
+
+    if len(symbols):
+        note(ranks_of(symbols[:-1], symbols[1:], vocabulary), np.arange(len(symbols) - 1))
     while active:
-        _, pair = heapq.heappop(active)
-        left, right = pair
-        merged = merges[pair][1]
-        for i in sorted(index.pop(pair)):
-            if symbols[i] != left or symbols[j := after[i]] != right:
-                continue  # an earlier merge took one of the two
-            symbols[i], symbols[j] = merged, -2
-            after[i] = k = after[j]
-            before[k] = i
-            for at, made in ((before[i], (symbols[before[i]], merged)), (i, (merged, symbols[k]))):
-                if at >= 0 and made in merges:
-                    if made not in index:
-                        index[made] = []
-                        heapq.heappush(active, (merges[made][0], made))
-                    index[made].append(at)
-    out, at = [], 0
-    for _ in tokens:
-        one = []
-        while symbols[at] != -1:
-            one.append(symbols[at])
-            at = after[at]
-        out.append(one)
-        at += 1
-    return out
+        rank = heapq.heappop(active)
+        left, right, merged = vocabulary.merges[rank].tolist()
+        at = np.unique(np.concatenate(index.pop(rank)))
+        at = at[(symbols[at] == left) & (symbols[after[at]] == right)]  # others lost a part to an earlier merge
+        if left == right and len(at) > 1:
+            # In a run of equal symbols every other pair is merged, from the left.
+            follows = np.concatenate([[False], after[at[:-1]] == at[1:]])
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(follows, 0, place))) % 2 == 0]
+        if not len(at):
+            continue
+        gone = after[at]
+        rest = after[gone]
+        symbols[at], symbols[gone] = merged, -2
+        after[at], before[rest] = rest, at
+        ahead = before[at]
+        ahead = ahead[ahead >= 0]
+        places = np.concatenate([ahead, at])
+        note(ranks_of(symbols[places], symbols[after[places]], vocabulary), places)
+    kept = symbols != -2
+    symbols = symbols[kept]
+    bounds = np.flatnonzero(symbols == -1)
+    starts = np.concatenate([[0], bounds - np.arange(len(bounds))])
+    return symbols[symbols >= 0], starts
+
+
+class Flat:
+    """Lists of numbers by name, in one array; names are numbered in the order in which they came."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.values, self.starts = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def add(self, names: list[str], values: np.ndarray, starts: np.ndarray) -> None:
+        self.number.update(zip(names, range(len(self.number), len(self.number) + len(names)), strict=True))
+        self.values = np.concatenate([self.values, values])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+
+    def numbers(self, names: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+
+    def unknown(self, names: list[str]) -> list[str]:
+        return [n for n in set(names) if n not in self.number]
 
 
 class Encoder:
-    """Pieces seen so far by number, with their ids and bytes in flat arrays; bounded by ``KEPT_PIECES`` and one batch."""
+    """Encodes and decodes; remembers ``KEPT_PIECES`` pieces and those of one batch at most."""
 
     def __init__(self, path: str):
         self.vocabulary = read_vocabulary(path)
@@ -131,10 +175,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.tokens: dict[str, list[int]] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
+        self.tokens, self.known = Flat(), Flat()
 
     def pieces(self, text: str) -> list[str]:
         """Parts of a text that are encoded apart from each other; special tokens stand alone."""
@@ -146,27 +187,31 @@ class Encoder:
             return self.pattern.findall(text)
         return [*text.replace(" ", "\0 ").split("\0")] if "\0" not in text else self.pattern.findall(text)
 
+    def split(self, piece: str) -> list[str]:
+        if piece in self.vocabulary.special or (piece[1:] if piece[0] == " " else piece).isalpha():
+            return [piece]
+        return self.pattern.findall(piece)
+
     def learn(self, new: list[str]) -> None:
+        """Ids of pieces that aren't known yet."""
         special = self.vocabulary.special
-        split = [[] if p in special else self.pattern.findall(p) for p in new]
-        unknown = [t for t in dict.fromkeys(t for tokens in split for t in tokens) if t not in self.tokens]
-        self.tokens.update(zip(unknown, merge_all([t.encode() for t in unknown], self.vocabulary), strict=True))
-        found = [[special[p]] if p in special else [i for t in tokens for i in self.tokens[t]] for p, tokens in zip(new, split, strict=True)]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-        self.ids = np.concatenate([self.ids, np.array([i for one in found for i in one], np.int32)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(one) for one in found], dtype=np.int64)])
+        split = list(map(self.split, new))
+        tokens = self.tokens.unknown([t for one in split for t in one])
+        named = [t for t in tokens if t in special]
+        self.tokens.add(named, np.array([special[t] for t in named], np.int64), np.arange(len(named) + 1))
+        tokens = [t for t in tokens if t not in special]
+        self.tokens.add(tokens, *merge_all([t.encode() for t in tokens], self.vocabulary))
+        ids, bounds = gathered(self.tokens.values, self.tokens.starts, self.tokens.numbers([t for one in split for t in one]))
+        self.known.add(new, ids, bounds[np.concatenate([[0], np.cumsum([len(one) for one in split], dtype=np.int64)])])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin."""
-        if len(self.number) > KEPT_PIECES:
+        if len(self.known.number) > KEPT_PIECES:
             self._forget()
         pieces = [self.pieces(text) for text in texts]
         flat = [p for one in pieces for p in one]
-        new = [p for p in dict.fromkeys(flat) if p not in self.number]
-        if new:
-            self.learn(new)
-        numbers = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
-        ids, bounds = gathered(self.ids, self.starts, numbers)
+        self.learn(self.known.unknown(flat))
+        ids, bounds = gathered(self.known.values, self.known.starts, self.known.numbers(flat))
         return ids, bounds[np.concatenate([[0], np.cumsum([len(one) for one in pieces], dtype=np.int64)])]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -188,7 +233,7 @@ def gathered(values: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> tupl
 
 
 def portions(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about a megabyte, or of one longer text."""
+    """Ranges of rows of some megabytes, or of one longer text."""
     at = total = 0
     for i, size in enumerate(sizes):
         if total and total + size > TEXT_BYTES:
