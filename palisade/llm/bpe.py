@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -23,10 +24,10 @@ from pyspark.sql import types as T
 # Fixed value of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# A space next to other white space or at an end of the text; every other space begins a token.
-TIGHT = r"^ | $|\s | \s"
+# A space next to other white space; every other space within a text begins a token.
+TIGHT = re.compile(r" \s"), re.compile(r"[^\S ] ")
 
-KEPT_PIECES = 400_000
+KEPT_PIECES = 500_000
 TEXT_BYTES = 4 << 20
 
 
@@ -118,9 +119,10 @@ def merge_all(tokens: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray,
     while active:
         rank = heapq.heappop(active)
         left, right, merged = vocabulary.merges[rank].tolist()
-        at = np.unique(np.concatenate(index.pop(rank)))
+        at = np.concatenate(index.pop(rank))  # a place that is there twice does no harm
         at = at[(symbols[at] == left) & (symbols[after[at]] == right)]  # others lost a part to an earlier merge
         if left == right and len(at) > 1:
+            at = np.unique(at)
             # In a run of equal symbols every other pair is merged, from the left.
             follows = np.concatenate([[False], after[at[:-1]] == at[1:]])
             place = np.arange(len(at))
@@ -166,7 +168,7 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = read_vocabulary(path)
-        self.pattern, self.tight = regex.compile(PATTERN), regex.compile(TIGHT)
+        self.pattern = regex.compile(PATTERN)
         special = self.vocabulary.special
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         lengths = np.array([len(b) for b in self.vocabulary.bytes_of], np.int64)
@@ -183,9 +185,9 @@ class Encoder:
             return [p for n, part in enumerate(parts) for p in ([part] if n % 2 else self.pieces(part))]
         if not text:
             return []
-        if self.tight.search(text):
+        if text[0] == " " or text[-1] == " " or "\0" in text or any(pair.search(text) for pair in TIGHT):
             return self.pattern.findall(text)
-        return [*text.replace(" ", "\0 ").split("\0")] if "\0" not in text else self.pattern.findall(text)
+        return text.replace(" ", "\0 ").split("\0")
 
     def split(self, piece: str) -> list[str]:
         if piece in self.vocabulary.special or (piece[1:] if piece[0] == " " else piece).isalpha():
