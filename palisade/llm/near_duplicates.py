@@ -147,7 +147,8 @@ def _rare_shingles(texts: DataFrame, nodes: DataFrame, shingle: int, percent: in
                 yield pa.record_batch([pa.array(owners, pa.int64()), pa.array(values.view(np.int64))], names=["node", "bucket"])
 
     wanted = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
-    rows = wanted.mapInArrow(listed, "node bigint, bucket bigint").repartition("bucket")
+    # Listed twice, to be counted with partial sums and to be joined: a shingle that very many nodes share is split by AQE.
+    rows = wanted.mapInArrow(listed, "node bigint, bucket bigint")
     frequent = rows.join(rows.groupBy("bucket").agg(F.count("*").alias("held")), "bucket")
     order = Window.partitionBy("node").orderBy("held", "bucket")
     ranked = frequent.withColumn("place", F.row_number().over(order) - 1).join(nodes, "node")
