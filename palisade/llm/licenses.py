@@ -58,7 +58,10 @@ NAMES = {
     },
 }
 
-# A text without any of these words in lower case holds no known sentence and no open statement.
+# Parts of words in lower case. Every known sentence, as normalised, has a word that holds one of them, and so has every open
+# statement; blanks, marks and line ends between words don't matter. No step of the normalisation brings one in.
+WORD_HINTS = ["licen", "permi", "warrant", "redistribut", "under", "unencumbered", "reserved", "liable"]
+# What the SQL looks for instead. It misses statements without the word license, and phrases broken over lines.
 HINTS = ["licen", "permi", "warrant", "copyright", "public domain", "redistribut", "all rights reserved"]
 
 # Ordered: the first rule that finds its identifiers one after the other takes them.
@@ -143,7 +146,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     lower = F.lower(F.coalesce(F.col(text), F.lit("")))
     hinted = F.lit(False)
-    for hint in HINTS:
+    for hint in WORD_HINTS:
         hinted = hinted | lower.contains(hint)
 
     def read(body: Column, end: str) -> Column:

@@ -47,3 +47,36 @@ def test_every_known_sentence_has_a_hint_and_a_rule():
 def test_no_python_and_no_shuffle(spark, plan):
     shown = plan(licenses.scan(odd_docs(spark)))
     assert not any(node in shown for node in ("InArrow", "EvalPython", "InPandas", "Exchange"))
+
+
+def test_every_lead_with_every_name(spark):
+    leads = ["This dataset is {} under ", "{} under the terms of the ", "{} under "]
+    verbs = ["licensed", "released", "distributed", "published", "available", "made available", "provided"]
+    rows = [
+        (name, (lead.format(verb) + form + ".").capitalize() if upper else lead.format(verb) + form + ".")
+        for name, forms in licenses.NAMES.items() for form in forms for lead in leads for verb in verbs for upper in (True, False)
+    ]
+    found = licenses.scan(odd_docs(spark, [(i, text) for i, (_, text) in enumerate(rows)])).collect()
+    assert len(found) == len(rows)
+    assert [rows[r.doc_id] for r in found if (r.licenses, r.verdict) != ([rows[r.doc_id][0]], "known")] == []
+
+
+def test_phrases_broken_over_lines_and_marks(spark):
+    texts = [
+        ("This is free and unencumbered software released into the public\ndomain.", ["unlicense-free"]),
+        ("// All rights\n// reserved.", ["rights-reserved"]),
+        ("All  rights\treserved.", ["rights-reserved"]),
+        ("Released under\nCC BY 4.0.", ["under-cc-by-4.0"]),
+        ("Released under (MIT).", ["under-mit"]),
+        (dict(licenses.SENTENCES)["mit-liability"].replace("COPYRIGHT", "(C)"), ["mit-liability"]),
+    ]
+    found = licenses.scan(odd_docs(spark, [(i, text) for i, (text, _) in enumerate(texts)])).collect()
+    assert {r.doc_id: r.sentence_ids for r in found} == {i: ids for i, (_, ids) in enumerate(texts)}
+
+
+def test_every_known_sentence_has_a_word_hint_in_one_word(spark):
+    listed = spark.createDataFrame([(text,) for _, text in licenses.known_sentences()], "text string")
+    for row in listed.select("text", licenses.normalised("text").alias("words")).collect():
+        # These words are made by the normalisation, so a text needn't hold them as they are.
+        words = [w for w in row.words.split() if w not in ("copyright", "url")]
+        assert any(hint in w for hint in licenses.WORD_HINTS for w in words), row.text
