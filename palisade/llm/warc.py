@@ -42,6 +42,8 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 CHARSET = re.compile(rb"charset\s*=\s*[\"']?\s*([a-zA-Z0-9_:.-]+)", re.I)
 RAW = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in ("script", "style", "noscript", "template", "iframe", "textarea", "title")}
+# What may stand in a head. Any other start tag, and any text, begins the body where </head> and <body> are left out.
+HEAD_NAMES = frozenset("html|head|title|meta|link|base|basefont|bgsound|script|style|noscript|noframes|template".split("|"))
 UNSEEN_NAMES, BREAKING_NAMES = frozenset(UNSEEN.split("|")), frozenset(BREAKING.split("|"))
 
 
@@ -243,15 +245,19 @@ def decoded(body: bytes, headers: list[tuple[str, str]]) -> str:
 def read_page(source: str) -> dict:
     """Visible text, title, language and links of an HTML page.
 
-    Elements that aren't shown are skipped; block elements end a line; blanks run together. What isn't markup is text, so
+    Elements that aren't shown are skipped; a head without end tag ends at the first text or start tag that can't stand in
+    it; block elements end a line; blanks run together. What isn't markup is text, so
     plain text comes out as it went in but for its blanks.
     """
     parts, links, title, language = [], [], "", ""
     at, hidden = 0, []
     while at < len(source):
         found = MARKUP.search(source, at)
+        text = source[at : found.start() if found else len(source)]
+        if hidden and hidden[-1] == "head" and (text.strip() or (found and found[2] and not found[1] and found[2].lower() not in HEAD_NAMES)):
+            hidden = [name for name in hidden if name != "head"]
         if not hidden:
-            parts.append(source[at : found.start() if found else len(source)])
+            parts.append(text)
         if not found:
             break
         at = found.end()
@@ -278,7 +284,7 @@ def read_page(source: str) -> dict:
             if name == "title" and not title:
                 title = _line(html.unescape(source[at:stop]))
             at = stop
-        elif name in UNSEEN_NAMES and not found[3].rstrip().endswith("/"):
+        elif (name in UNSEEN_NAMES or (name == "noframes" and hidden)) and not found[3].rstrip().endswith("/"):
             hidden.append(name)
     # A break is marked so that line ends of the source count as blanks.
     lines = [" ".join(html.unescape(line).split()) for line in "".join(p if p == "\n<" else p.replace("\n", " ") for p in parts).split("\n<")]

@@ -117,3 +117,22 @@ def test_missing_fields_repeats_and_given_digest(spark):
     rows = derived(spark, [(None, None, None, "sha1:GIVEN", b"x", 1, "r", None)] * 2)
     assert len(rows) == 4 and {r.payload_digest for r in rows} == {"sha1:GIVEN"} and {r.refers_to for r in rows} == {None}
     assert derived(spark, []) == []
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<!DOCTYPE html><html><head><title>T</title><p>Hello <b>you</b>", "Hello you"),
+        ("<html><head><title>T</title><meta charset=utf-8><LINK href=x><style>p{}</style><script>1</script><noscript>n</noscript>\n<h1>A</h1>B", "A\nB"),
+        ("<head><title>T</title><base href=/><template><p>no</p></template>Just text<br>more", "Just text\nmore"),
+        ("<head><title>T</title><!-- <p>no</p> --><svg><text>no</text></svg><em>yes</em>", "yes"),
+        ("<head><noframes>no</noframes><title>T</title><a href='/l'>link</a>", "link"),
+        ("<head><title>T</title>\n<head>\n<p>twice", "twice"),
+        ("<head><title>T</title></head>after", "after"),
+        ("<head><title>T</title><body>x<p>y", "x\ny"),
+        ("<title>T</title><p>no head", "no head"),
+    ],
+)
+def test_pages_that_leave_out_the_end_of_the_head(source, text):
+    page = warc.read_page(source)
+    assert (page["text"], page["title"]) == (text, "T")
