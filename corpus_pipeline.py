@@ -43,9 +43,9 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold at least 0.8 of the five-word shingles of a benchmark item."""
+    """Drops documents that hold at least 0.8 of the five-word shingles of a benchmark item, or a shorter item whole."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return decontamination.drop_contaminated(docs, items)
+    return decontamination.drop_contaminated(docs, items, short_runs=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ import re
 
 from helpers import odd_docs, odd_rows, prose, shingles
 
+import corpus_pipeline
 from palisade.llm.decontamination import contaminated, drop_contaminated
+from palisade.llm.queries import QUERIES
 
 
 def normal(text):
@@ -56,3 +58,31 @@ def test_no_python(spark, plan):
     _, table = items_of(spark)
     shown = plan(contaminated(odd_docs(spark), table))
     assert not any(node in shown for node in ("InArrow", "EvalPython", "InPandas"))
+
+
+def test_short_items_are_found_inside_longer_documents(spark, tmp_path):
+    docs = [
+        (1, prose(1, 50) + " alpha Beta\ngamma, DELTA! " + prose(2, 50)), (2, "alpha beta"), (3, "x Alpha"), (4, prose(3, 50)), (5, None), (6, "x alpha beta gamma"),
+        (7, "alpha beta gamma delta epsilon"), (8, "beta alpha beta alpha beta"), (9, "alphabeta gamma"),
+    ]
+    items = [(1, "Alpha beta gamma delta"), (2, "beta, gamma"), (3, "alpha"), (4, "beta alpha"), (5, prose(2, 20)), (6, ""), (7, "gamma beta alpha")]
+    odd_docs(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = set()
+    for i, text in docs:
+        for item, asked in items[:4] + items[6:]:
+            held, sought = normal(text), normal(asked)
+            if any(held[at : at + len(sought)] == sought for at in range(len(held))):
+                want.add((i, item, 1, 1))
+    want.add((1, 5, 16, 16))
+    found = QUERIES["op2_decontamination"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_item_shingles, r.n_shared) for r in found) == sorted(want)
+    kept = corpus_pipeline.without_benchmark(spark, odd_docs(spark, docs), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == [4, 5, 9]
+
+
+def test_each_text_of_an_item_counts_by_itself(spark):
+    short, long = prose(11, 10), prose(12, 60)
+    items = spark.createDataFrame([(1, short), (1, long), (1, short), (2, long), (2, "")], "item_id bigint, text string")
+    found = contaminated(odd_docs(spark, [(1, short + " " + prose(13, 30)), (2, long), (3, prose(13, 30))]), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_item_shingles, r.n_shared, r.containment) for r in found) == [(1, 1, 6, 6, 1.0), (2, 1, 56, 56, 1.0), (2, 2, 56, 56, 1.0)]
