@@ -5,6 +5,7 @@ Each hash function gives two values of a set, its smallest and its largest hash:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +18,11 @@ from palisade.llm.components import components
 from palisade.session import settle
 
 FUNCTIONS = 64
-ROWS = 4
-BANDS = 2 * FUNCTIONS // ROWS
-# Each signature value gives one bit. Sets with a similarity of 0.8 agree in 115 of 128 bits on average, with a standard
-# deviation of 3.4; this many differences lie five deviations out.
-SKETCH_DIFFERENCES = 30
+VALUES = 2 * FUNCTIONS
+# Chances that a link at the threshold shares no band, and that its sketches differ in too many bits; for both, signature
+# values count as independent.
+BANDS_MISS = 1e-7
+SKETCH_MISS = 1e-8
 
 SIGNED = "id bigint, n_shingles bigint, print binary, bands array<bigint>, low bigint, high bigint"
 
@@ -34,16 +35,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     words has its whole sequence as only shingle; one without words is linked with nothing.
 
     1. Documents with equal sets form a class; only its smallest key goes on.
-    2. Classes meet in bands of min-max signatures: at 0.8 a link escapes all 32 bands with a probability of 5e-8.
-       In each bucket every class is compared with the smallest key only, and components are formed.
+    2. Classes meet in bands of min-max signatures, as wide as ``BANDS_MISS`` allows: at 0.8 a link escapes all 32 bands with
+       a probability of 5e-8. In each bucket every class is compared with the smallest key only, and components are formed.
     3. Classes of buckets that still hold several components are compared across components wherever they share one of
        their rarest shingles, as all linked sets do, so that no link between components is lost. Of the classes that share
        such a shingle, the largest component is never paired with itself.
 
+    Pairs whose sketches differ in more bits than a link's do, but for a chance of ``SKETCH_MISS``, are left out before. At
+    0.8 a link is missed with a chance of 6e-8 in all. Bands and sketch follow ``percent``; below 12 single values are too few
+    for ``BANDS_MISS``.
+
     Every link is confirmed on the texts' whole sets. NULL keys take part in no link: component_id is NULL, kept is true.
     Rows with equal key and text share a class, so both are kept or both are not. An empty table gives an empty result.
     """
-    signed = settle(_signed(docs, shingle, key, text), "signatures")
+    signed = settle(_signed(docs, shingle, percent, key, text), "signatures")
     classes = (
         signed.filter("n_shingles > 0 and id is not null")
         .groupBy("print", "n_shingles")
@@ -107,11 +112,29 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, k
     return docs.join(gone, key, "left_anti")
 
 
+def _band_rows(percent: int) -> int:
+    """The most signature values in a band, of four, two and one, that keep the chance of a missed link at ``BANDS_MISS``."""
+    fitting = [rows for rows in (4, 2) if (1 - (percent / 100) ** rows) ** (VALUES // rows) <= BANDS_MISS]
+    return max(fitting, default=1)
+
+
+def _sketch_differences(percent: int) -> int:
+    """The fewest bits of which a link's sketches differ in more with a chance of ``SKETCH_MISS`` at most.
+
+    Each signature value gives one bit, which differs with half the chance that the value does.
+    """
+    differs = max(0.0, (1 - percent / 100) / 2)
+    beyond, most = 0.0, VALUES
+    while most and (beyond := beyond + math.comb(VALUES, most) * differs**most * (1 - differs) ** (VALUES - most)) <= SKETCH_MISS:
+        most -= 1
+    return most
+
+
 def _may_link(percent: int):
-    """What two sets that are linked fulfil by their sizes, and by their sketches but for a chance of 3e-7."""
+    """What two sets that are linked fulfil by their sizes, and by their sketches but for a chance of ``SKETCH_MISS``."""
     sizes = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
     bits = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in ("low", "high"))
-    return sizes & (bits <= SKETCH_DIFFERENCES)
+    return sizes & (bits <= _sketch_differences(percent))
 
 
 def _split(placed: DataFrame) -> DataFrame:
@@ -156,10 +179,11 @@ def _rare_shingles(texts: DataFrame, nodes: DataFrame, shingle: int, percent: in
     return ranked.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held")
 
 
-def _signed(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+def _signed(docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
     rng = np.random.Generator(np.random.PCG64(20240229))
     factors = rng.integers(0, 1 << 64, FUNCTIONS, np.uint64, endpoint=False) | np.uint64(1)
     offsets = rng.integers(0, 1 << 64, FUNCTIONS, np.uint64, endpoint=False)
+    rows = _band_rows(percent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +194,7 @@ def _signed(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
         values, places = shingle_sets(read_words(batch.column(1), lower=True), shingle)
         counts = np.diff(places)
         some = np.flatnonzero(counts)
-        prints, bands, sketch = _signatures(values, places[:-1][some], factors, offsets)
+        prints, bands, sketch = _signatures(values, places[:-1][some], factors, offsets, rows)
         row = np.full(len(counts), -1)
         row[some] = np.arange(len(some))
         take = pa.array(np.where(row < 0, None, row), pa.int64())
@@ -189,20 +213,21 @@ def _signed(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text)).mapInArrow(sign, SIGNED)
 
 
-def _signatures(values: np.ndarray, starts: np.ndarray, factors: np.ndarray, offsets: np.ndarray):
+def _signatures(values: np.ndarray, starts: np.ndarray, factors: np.ndarray, offsets: np.ndarray, rows: int):
     """Of each set: a fingerprint of 128 bits, a key for each band, and the bits of the sketch in two words."""
+    count = VALUES // rows
     if not len(starts):
-        return np.zeros((0, 2), np.uint64), np.zeros((0, BANDS), np.int64), np.zeros((0, 2), np.int64)
+        return np.zeros((0, 2), np.uint64), np.zeros((0, count), np.int64), np.zeros((0, 2), np.int64)
     seal = np.uint64(0xA0761D6478BD642F)
     prints = np.stack([np.add.reduceat(mix(values), starts), np.add.reduceat(mix(values ^ seal), starts)], axis=1)
-    signature = np.empty((len(starts), 2 * FUNCTIONS), np.uint64)
+    signature = np.empty((len(starts), VALUES), np.uint64)
     for i in range(FUNCTIONS):
         hashed = (values ^ offsets[i]) * factors[i]
         signature[:, 2 * i] = np.minimum.reduceat(hashed, starts)
         signature[:, 2 * i + 1] = np.maximum.reduceat(hashed, starts)
-    bands = np.zeros((len(starts), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
-    for row in range(ROWS):
-        bands = mix(bands ^ signature[:, row::ROWS])
+    bands = np.zeros((len(starts), count), np.uint64) + np.arange(count, dtype=np.uint64)
+    for row in range(rows):
+        bands = mix(bands ^ signature[:, row::rows])
     bits = (mix(signature) >> np.uint64(63)).astype(np.uint8)
     sketch = np.packbits(bits, axis=1).view(np.int64)
     return prints, bands.view(np.int64), sketch

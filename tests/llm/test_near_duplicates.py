@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 
+import pytest
 from helpers import components, lower, odd_docs, odd_rows, prose, shingles, words
 
+from palisade.llm import near_duplicates as near
 from palisade.llm.components import components as connected
 from palisade.llm.near_duplicates import drop_near_duplicates, near_duplicates
 
@@ -52,3 +55,23 @@ def test_components_of_a_long_path(spark):
     links = spark.range(1, 200).selectExpr("id AS a", "id - 1 AS b").unionAll(spark.createDataFrame([(500, 400), (400, 500), (7, 7), (None, 3)], "a bigint, b bigint"))
     found = {r.node: r.component for r in connected(links).collect()}
     assert found == {**{n: 0 for n in range(200)}, 400: 400, 500: 400}
+
+
+@pytest.mark.parametrize("percent", [20, 50, 80, 95])
+def test_sketch_and_bands_keep_their_stated_chances(percent):
+    differs = (1 - percent / 100) / 2
+    most = near._sketch_differences(percent)
+    tail = sum(math.comb(128, i) * differs**i * (1 - differs) ** (128 - i) for i in range(most + 1, 129))
+    assert tail <= 1e-8
+    rows = near._band_rows(percent)
+    assert (1 - (percent / 100) ** rows) ** (128 // rows) <= 1e-7
+
+
+def test_low_thresholds_lose_no_links(spark):
+    # Two sets of 60 and 60 words that share 42: a similarity of 42 in 78.
+    rows = []
+    for n in range(60):
+        own = [f"w{n}x{i}" for i in range(78)]
+        rows += [(2 * n, " ".join(own[:60])), (2 * n + 1, " ".join(own[18:]))]
+    found = near.near_duplicates(odd_docs(spark, rows), shingle=1, percent=50).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i, _ in rows}
