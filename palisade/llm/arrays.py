@@ -6,6 +6,7 @@ and windows of words are represented by 64-bit polynomial hashes, computed for a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -82,6 +83,16 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return held[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def pieces(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch cut into runs of rows whose texts take about ``size`` bytes; a longer text is a piece of its own."""
+    _, offsets = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def read_words(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Batch:
     data, offsets = text_bytes(column)
     if lower:

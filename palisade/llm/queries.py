@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import bpe, decontamination, licenses, sharding, substrings, suffixes, toxicity, vectors, warc
+from palisade.llm import bpe, decontamination, languages, licenses, sharding, substrings, suffixes, toxicity, variants, vectors, warc, whitening
 from palisade.llm import near_duplicates as near
 from palisade.llm.workers import on_path
 
@@ -104,3 +104,27 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     rows = vectors.quantised(table(spark, folder, "embeddings").select("vec_id", "embedding"))
     return vectors.top_k(rows, rows.filter("vec_id % 100 = 0"), k=10)
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whole_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding")).select("vec_id", "x")
+    done = whitening.whiten(rows, weights="one", components=16)
+    exact = F.col("deviation")
+    return done.select("vec_id", "component", "n", exact.try_cast("bigint").alias("deviation"), "whitened", "explained", "identity_error", exact.alias("deviation_exact"))
+
+
+@query
+def op12_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    profiles = languages.fit(docs.filter(~held_out))
+    found = languages.predict(docs.select("doc_id", "text"), profiles)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = variants.word_counts(docs, least_length=6, noise=199)
+    return variants.variants(counted.filter("n >= 5"), ratio=5)

@@ -203,3 +203,47 @@ SELECT doc_id, coalesce(array_to_string(ids, ' '), '') AS sentence_ids, coalesce
             WHEN open > 0 THEN 'unknown' ELSE 'none' END AS verdict
 FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN final USING (doc_id) LEFT JOIN firsts USING (doc_id)
 """
+
+
+# The CRC by a table of 256 entries made by its rule, as above.
+SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                ORDER BY i) AS steps
+    FROM (SELECT unnest(range(256)) AS i)
+), run AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents
+    ) WHERE len(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(
+        regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+        lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+    FROM run, crc
+), word AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 199 = 0 THEN run[: h % len(run)] || run[h % len(run) + 2 :] ELSE run END AS word, n FROM hashed)
+    WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), open AS (
+    SELECT word, n, len(word) AS size, i, word[: i - 1] || '*' || word[i + 1 :] AS swapped, word[: i - 1] || word[i + 1 :] AS shorter
+    FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM word)
+), near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM open a JOIN open b ON a.swapped = b.swapped AND a.word <> b.word
+    UNION
+    SELECT a.word, a.n, b.word, b.n FROM open a JOIN word b ON a.shorter = b.word
+    UNION
+    SELECT b.word, b.n, a.word, a.n FROM open a JOIN word b ON a.shorter = b.word
+), formed AS (
+    SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), full_row AS (
+    SELECT word.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+    FROM word LEFT JOIN formed ON word.word = formed.word
+), chain AS (
+    SELECT word, word AS root, form AS next FROM full_row
+    UNION ALL
+    SELECT chain.word, chain.next, step.form FROM chain JOIN full_row step ON step.word = chain.next
+)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM full_row JOIN (SELECT word, root FROM chain WHERE next IS NULL) USING (word)
+"""

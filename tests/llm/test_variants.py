@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from conftest import SMALL
+from helpers import lower, odd_docs, odd_rows
+
+from palisade.llm import variants
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute_force(counts: dict[str, int], ratio: int = 5) -> list[tuple]:
+    form, rows = {}, {}
+    for word, n in counts.items():
+        found = sorted((-counts[other], other) for other in counts if near(word, other))
+        form[word] = found[0][1] if found and -found[0][0] >= ratio * n else None
+        rows[word] = len(found)
+    out = []
+    for word, n in counts.items():
+        root = word
+        while form[root] is not None:
+            root = form[root]
+        out.append((word, form[word], root, n, rows[word], counts[form[word]] if form[word] else None))
+    return sorted(out)
+
+
+def found(spark, counts: dict[str, int], ratio: int = 5) -> list[tuple]:
+    words = spark.createDataFrame([(w, n, "x", 1) for w, n in counts.items()], "word string, n bigint, form string, side int")
+    return sorted(tuple(row) for row in variants.variants(words, ratio).collect())
+
+
+def counted(rows, least: int, noise: int | None) -> Counter:
+    out: Counter = Counter()
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if noise and h % noise == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= least:
+                out[run] += 1
+    return out
+
+
+@pytest.mark.parametrize(("seed", "alphabet", "longest"), [(1, "ab", 8), (2, "abcé", 7), (3, "aabxÿ", 12), (4, "abcdefgh\U0001f600", 5)])
+def test_equals_brute_force(spark, seed, alphabet, longest):
+    pick = random.Random(seed)
+    words = {"".join(pick.choice(alphabet) for _ in range(pick.randint(0, longest))) for _ in range(250)}
+    counts = {word: pick.choice([1, 2, 5, 10, 25, 26, 130, 700]) for word in words if word or seed == 1}
+    counts.pop("", None)
+    assert found(spark, counts) == brute_force(counts)
+
+
+def test_split_indexes_give_the_same(spark, monkeypatch):
+    """Halves that hold more than an index are split over several, and their queries visit all."""
+    pick = random.Random(7)
+    words = {"prefix" + "".join(pick.choice("abc") for _ in range(pick.randint(1, 6))) for _ in range(150)}
+    words |= {"".join(pick.choice("abc") for _ in range(pick.randint(1, 6))) + "suffix" for _ in range(150)}
+    counts = {word: pick.choice([1, 3, 9, 50, 300]) for word in words}
+    monkeypatch.setattr(variants, "INDEX_SYMBOLS", 120)
+    monkeypatch.setattr(variants, "BRANCHES", 16)
+    assert found(spark, counts) == brute_force(counts)
+
+
+def test_chains_ties_and_long_words(spark):
+    counts = {"kettles": 1, "kettle": 5, "kettl": 25, "ketl": 125, "ketlx": 125, "a" * 3000: 2, "a" * 2999: 10, "b": 3, "c": 15, "lonely": 4}
+    rows = {row[0]: row for row in found(spark, counts)}
+    assert sorted(rows.values()) == brute_force(counts)
+    assert rows["kettles"][1:3] == ("kettle", "ketl")
+    assert rows["a" * 3000][1] == "a" * 2999
+    assert rows["lonely"] == ("lonely", None, "lonely", 4, 0, None)
+
+
+def test_null_words_and_empty_tables(spark):
+    empty = spark.createDataFrame([], "word string, n bigint")
+    assert variants.variants(empty).collect() == []
+    some = spark.createDataFrame([(None, 5), ("kettle", 5)], "word string, n bigint")
+    assert [tuple(row) for row in variants.variants(some).collect()] == [("kettle", None, "kettle", 5, 0, None)]
+    assert variants.word_counts(odd_docs(spark, []), noise=3).collect() == []
+
+
+@pytest.mark.parametrize(("least", "noise"), [(6, 199), (6, 2), (1, 3), (1, 1), (4, None)])
+def test_words_of_odd_texts(spark, least, noise):
+    rows = odd_rows() + [(1, "Éclair ÉCLAIR éclair×naïveĀabcdef KKlvin"), (77, "x" * 500 + " " + "Y" * 60), (78, "word\nword-word_word")] * 3
+    got = {row.word: row.n for row in variants.word_counts(odd_docs(spark, rows), least, noise).collect()}
+    assert got == counted(rows, least, noise)
+
+
+def test_query_on_the_whole_table(spark):
+    from palisade.llm.queries import QUERIES
+
+    texts = [(row.doc_id, row.text) for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    counts = {word: n for word, n in counted(texts, 6, 199).items() if n >= 5}
+    rows = sorted(tuple(row) for row in QUERIES["op13_spelling_variants"](spark, SMALL).collect())
+    assert rows == brute_force(counts)
+    assert any(row[1] for row in rows)
+
+
+def test_an_interval_is_the_same_in_both_directions():
+    words = ["banana", "bandana", "ananas", "nab", "b"]
+    index = variants.Index(words)
+    text = [f"\0{word}\0" for word in words]
+    code = {chr(c): i for i, c in enumerate(index.letters)}
+    import numpy as np
+
+    for pattern in ["an", "ana", "nd", "\0ban", "na\0", "x"]:
+        if any(c not in code for c in pattern):
+            continue
+        whole = variants.Intervals((np.zeros(1, int), np.zeros(1, int)), np.array([len(index.symbols)]))
+        forward, backward = whole, whole
+        for c in reversed(pattern):
+            forward = index.extended(forward, np.array([code[c]]), 0)
+        for c in pattern:
+            backward = index.extended(backward, np.array([code[c]]), 1)
+        wanted = sum(t.startswith(pattern, i) for t in text for i in range(len(t)))
+        assert forward.size[0] == backward.size[0] == wanted
+        assert [int(s[0]) for s in forward.start] == [int(s[0]) for s in backward.start]
