@@ -16,6 +16,8 @@ from palisade.operators.screening import quarantine, standardise_enums, with_fla
 from palisade.plans import gold, reports
 from palisade.plans.silver import silver_events, with_silver_audit
 from palisade.session import scratch
+from palisade.sinks import folders
+from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.tables import merge_table, write_quarantine, write_table
 from palisade.sources.tables import read_table
 
@@ -33,6 +35,7 @@ def bronze_to_silver(
     *,
     mode: str,
     table: str | None = None,
+    index: str | None = None,
 ) -> dict[str, int]:
     """Write silver and quarantine; the row counts come from the two writes themselves.
 
@@ -40,6 +43,8 @@ def bronze_to_silver(
     delivery: its events are added, later deliveries of known events win, and only the dates concerned are rewritten.
     Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also counts what was
     read, accepted and rejected. A bronze table that lacks a column of the contract is refused. ``silver`` counts the rows of the dates written. ``table`` is silver's catalog name.
+    ``index`` is the folder of a key index for merges, so that their cost follows the delivery and not the history; a
+    replacement drops it, as the next merge builds it anew.
     """
     if mode not in (REPLACE, MERGE):
         raise ValueError(f"mode {mode}")
@@ -54,10 +59,15 @@ def bronze_to_silver(
     write_quarantine(quarantine(seen.where(~F.col("is_valid_record")), now), quarantine_path, batch)
     silver = with_silver_audit(silver_events(bronze, now), environment, now)
     if mode == MERGE:
-        dates = merge_table(silver, silver_path, SILVER_PARTITIONS, table=table)
+        if index:
+            dates = merge_by_index(silver, silver_path, index, SILVER_PARTITIONS, table=table).partitions
+        else:
+            dates = merge_table(silver, silver_path, SILVER_PARTITIONS, table=table)
         written = read_table(bronze.sparkSession, silver_path) if dates else None
         rows = written.where(F.col("event_date").isin([date["event_date"] for date in dates])).count() if dates else 0
     else:
+        if index:
+            folders.delete(bronze.sparkSession, index)
         rows = write_table(silver, silver_path, SILVER_PARTITIONS, whole=True, table=table)
     return {**intake.get, "silver": rows}
 

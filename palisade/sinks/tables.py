@@ -91,6 +91,38 @@ def merge_table(
     return [{name: str(row[name]) for name in partition_by} for row in touched]
 
 
+def replace_partitions(
+    arrived: DataFrame, path: str, touched: list, partition_by, keys, order, cluster_by=(), sort_by=(), table: str | None = None
+) -> tuple[list[dict[str, str]], int]:
+    """Unite ``arrived`` with what the touched partitions hold, keep the latest of each key, and replace these partitions.
+
+    Only their folders are listed and read. One that becomes empty goes. Returns the partitions, and how many files were
+    read. Inside ``scratch``.
+    """
+    spark = arrived.sparkSession
+    named = [{name: None if row[name] is None else str(row[name]) for name in partition_by} for row in touched]
+    before = [part for part in folders.some_partitions(spark, path, named) if part.files]
+    rows = arrived
+    if before:
+        held = spark.read.option("basePath", path).parquet(*[part.path for part in before])
+        types = {field.name: field.dataType for field in arrived.schema.fields}
+        held = held.withColumns({name: F.col(name).cast(types[name]) for name in partition_by})
+        rows = held.unionByName(arrived, allowMissingColumns=True)
+    merged = settle(latest_per_key(rows, keys, order), "merged")
+    spread = [*partition_by, *[name for name in cluster_by if name not in partition_by]]
+    laid = laid_out(merged, spread, [*partition_by, *[name for name in sort_by if name not in partition_by]])
+    writer = laid.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+    after = {part.path: part.files for part in folders.some_partitions(spark, path, named)}
+    for part in before:
+        # A replaced partition has none of its files left.
+        if part.files & after.get(part.path, frozenset()):
+            folders.delete(spark, part.path)
+    if table:
+        register_table(spark, table, path)
+    return named, sum(len(part.files) for part in before)
+
+
 def _values(rows: DataFrame, partition_by) -> list:
     """The distinct partition values: as many as the table has dates."""
     return rows.select(*partition_by).distinct().collect()

@@ -16,6 +16,7 @@ from palisade.operators.screening import accepted, standardise_enums
 from palisade.plans.gold import hourly_detection_trend
 from palisade.plans.jobs import SILVER_PARTITIONS
 from palisade.plans.silver import enrich, quarantined_events, silver_events
+from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.tables import merge_table, write_table
 from palisade.streaming.ingest import run_available, write_batch
 
@@ -25,14 +26,20 @@ def silver_stream(bronze: DataFrame, now=None) -> DataFrame:
     return enrich(accepted(standardise_enums(bronze), now))
 
 
-def keep_silver(bronze: DataFrame, silver: str, checkpoint: str, quarantine: str | None = None, hourly: str | None = None, now=None) -> StreamingQuery:
+def keep_silver(
+    bronze: DataFrame, silver: str, checkpoint: str, quarantine: str | None = None, hourly: str | None = None, now=None, index: str | None = None
+) -> StreamingQuery:
     """Merge every micro-batch into silver: one row per event, the latest delivery over all batches.
 
+    With ``index``, the folder of a key index, a batch opens only the dates that its events have or had, however long the
+    history is.
+
     ``quarantine`` keeps the rejected rows by batch, so that no row is lost. ``hourly`` is the hourly trend by date.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        dates = merge_table(silver_events(batch, now), silver, SILVER_PARTITIONS)
+        events = silver_events(batch, now)
+        dates = merge_by_index(events, silver, index, SILVER_PARTITIONS).partitions if index else merge_table(events, silver, SILVER_PARTITIONS)
         if quarantine:
             write_batch(quarantined_events(batch, now, now), quarantine, number)
         if hourly and dates:

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import shutil
+
+import pytest
+
+from palisade.sinks import compaction, folders
+from palisade.sinks.compaction import compact, packed
+
+
+def small_files(spark, path, folders_of=("1", "2"), files=12):
+    for day in folders_of:
+        made = spark.range(files * 3).selectExpr("int(id) AS a", "concat('v', id % 3) AS b")
+        made.repartitionByRange(files, "a").write.parquet(f"{path}/day={day}")
+
+
+def rows(spark, path):
+    return sorted(tuple(r) for r in spark.read.parquet(str(path)).select("a", "b", "day").collect())
+
+
+def count_files(path):
+    return len([f for f in path.rglob("*.parquet") if not any(p.startswith(("_", ".")) for p in f.parts)])
+
+
+def test_packing():
+    files = [("x", f"f{i}", size) for i, size in enumerate([10, 40, 30, 60, 5, 5, 20, 49, 100])]
+    groups = packed(files, 100)
+    sizes = {name: size for _, name, size in files}
+    assert all(sum(sizes[name] for name in group.files) <= 100 and len(group.files) > 1 for group in groups)
+    named = [name for group in groups for name in group.files]
+    assert len(named) == len(set(named)) and "f3" not in named and "f8" not in named
+    assert packed([("x", "a", 1), ("y", "b", 1)], 100) == [] and packed([], 100) == []
+    many = packed([("x", str(i), 1) for i in range(1000)], 100)
+    assert len(many) == 10 and {len(g.files) for g in many} == {100}
+
+
+def test_few_files_and_equal_rows(spark, tmp_path):
+    small_files(spark, tmp_path / "t")
+    before = rows(spark, tmp_path / "t")
+    assert compact(spark, str(tmp_path / "t"), ["day"], sort_by=["a"]) == 24
+    assert count_files(tmp_path / "t") == 2 and rows(spark, tmp_path / "t") == before
+    assert compact(spark, str(tmp_path / "t"), ["day"]) == 0
+    assert not list((tmp_path / "t").glob("_compaction*"))
+
+
+def test_several_groups_and_files_that_stay(spark, tmp_path):
+    small_files(spark, tmp_path / "t", ("1",), 12)
+    size = max(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
+    before = rows(spark, tmp_path / "t")
+    compact(spark, str(tmp_path / "t"), ["day"], target=int(size * 4.5))
+    assert 2 <= count_files(tmp_path / "t") <= 4 and rows(spark, tmp_path / "t") == before
+    assert compact(spark, str(tmp_path / "t"), ["day"], target=size) == 0
+
+
+def test_only_closed_partitions_and_those_named(spark, tmp_path):
+    small_files(spark, tmp_path / "t", ("1", "2", "3"), 4)
+    compact(spark, str(tmp_path / "t"), ["day"], closed=lambda values: values["day"] != "3")
+    assert [len(list((tmp_path / f"t/day={d}").glob("*.parquet"))) for d in "123"] == [1, 1, 4]
+    compact(spark, str(tmp_path / "t"), only=[{"day": "3"}, {"day": "7"}])
+    assert count_files(tmp_path / "t") == 3
+
+
+def test_batches_become_one_folder_and_stay_done(spark, tmp_path):
+    from palisade.streaming.ingest import write_batch
+
+    path = str(tmp_path / "t")
+    for number in range(10):
+        write_batch(spark.range(number, number + 1).coalesce(1).withColumnRenamed("id", "a"), path, number)
+    compact(spark, path, ["batch_id"], across="batch_id", closed=lambda values: int(values["batch_id"]) < 8)
+    write_batch(spark.range(3, 4).withColumnRenamed("id", "a"), path, 3)  # tried again
+    assert sorted(r.a for r in spark.read.parquet(path).collect()) == list(range(10))
+    assert count_files(tmp_path / "t") == 3
+
+
+def test_odd_names_new_columns_and_a_flat_table(spark, tmp_path):
+    path = tmp_path / "a b+c%20é"
+    spark.range(3).coalesce(1).write.mode("append").parquet(str(path))
+    spark.range(3, 5).selectExpr("id", "id AS more").coalesce(1).write.mode("append").parquet(str(path))
+    assert compact(spark, str(path)) == 2
+    assert sorted(tuple(r) for r in spark.read.parquet(str(path)).collect()) == [(0, None), (1, None), (2, None), (3, 3), (4, 4)]
+    assert compact(spark, str(tmp_path / "none"), ["day"]) == 0
+
+
+@pytest.mark.parametrize("at", [0, 1, 2, 3, 5, 6, 8, 10])
+def test_a_run_that_ends_anywhere_is_mended(spark, tmp_path, monkeypatch, at):
+    """The file system fails at its n-th change; after the next run rows and files are as they should be."""
+    path = tmp_path / "t"
+    small_files(spark, path, ("1", "2"), 3)
+    before = rows(spark, path)
+    changes = []
+
+    def failing(real):
+        def call(*arguments, **options):
+            changes.append(1)
+            if len(changes) == at + 1:
+                raise OSError("gone")
+            return real(*arguments, **options)
+
+        return call
+
+    with monkeypatch.context() as patched:
+        for name in ("move", "delete", "write_text", "make"):
+            patched.setattr(folders, name, failing(getattr(folders, name)))
+        failed = False
+        try:
+            compact(spark, str(path), ["day"])
+        except OSError:
+            failed = True
+    assert failed
+    compact(spark, str(path), ["day"])
+    assert rows(spark, path) == before and count_files(path) == 2
+    assert not list(path.glob("_compaction*"))
+
+
+def test_a_folder_replaced_meanwhile_is_left_alone(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t"
+    small_files(spark, path, ("1", "2"), 3)
+    with monkeypatch.context() as patched:
+        patched.setattr(compaction, "_exchange", lambda *_: (_ for _ in ()).throw(OSError()))
+        with pytest.raises(OSError):
+            compact(spark, str(path), ["day"])
+    shutil.rmtree(path / "day=1")
+    spark.createDataFrame([(7, "new")], "a int, b string").coalesce(1).write.parquet(str(path / "day=1"))
+    compact(spark, str(path), ["day"])
+    assert [r for r in rows(spark, path) if r[2] == 1] == [(7, "new", 1)]
+    assert len(rows(spark, path)) == 10

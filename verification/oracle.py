@@ -374,10 +374,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_silver": _sql(silver, READABLE),
         "stream_silver_in_batches": _sql(silver, READABLE),
+        "stream_silver_by_index": _sql(silver, READABLE),
         "stream_hourly": _sql(f"SELECT {DATED} FROM hourly", READABLE),
         "stream_hourly_in_batches": _sql(f"SELECT {DATED} FROM hourly", READABLE),
         "dead_letter_kinds": _sql(LETTER_KINDS),
         "silver_two_deliveries": _sql(silver),
+        "merge_by_index": _sql(silver),
+        "compacted_bronze": _sql(silver),
         "silver_audited": f"SELECT *, '2026-12-01 00:00:00.000000' AS silver_processed_at, '2.0.0' AS pipeline_version, 'dev' AS environment FROM ({_sql(silver)})",
         "layout_report": _sql("SELECT count(*) AS \"rows\", CAST(1 AS BIGINT) AS files_per_key, 'true' AS in_order FROM daily"),
         "registered_after_write": _sql(f"SELECT {DATED} FROM hourly WHERE {OTHER_DATES}"),

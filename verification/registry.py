@@ -24,6 +24,7 @@ from palisade.operators.screening import accepted, standardise_enums, with_flags
 from palisade.plans import gold, jobs, reports
 from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
 from palisade.session import in_utc, settle, shared_folder
+from palisade.sinks.compaction import compact
 from palisade.sinks.messages import dead_letters, to_messages
 from palisade.sinks.tables import layout_report, register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
@@ -32,7 +33,7 @@ from palisade.sources.messages import batch_stats, parse_messages, unreadable
 from palisade.sources.tables import new_files, read_table
 from palisade.streaming import events as stream_events
 from palisade.streaming.files import lake_new_files
-from palisade.streaming.ingest import ingest
+from palisade.streaming.ingest import ingest, run_available, write_batch
 
 NOW = "2026-12-01 00:00:00"
 MONTHLY_AS_OF = "2024-06-01"
@@ -218,6 +219,19 @@ def silver_two_deliveries(spark, folder):
     return read_table(spark, path).drop("silver_processed_at", "pipeline_version", "environment")
 
 
+@query
+def merge_by_index_(spark, folder):
+    """Four deliveries merged by a key index, one of them twice; the events' order has nothing to do with their dates."""
+    path = shared_folder(spark, "silver")
+    bronze = _bronze(spark, folder)
+    turn = F.pmod(F.xxhash64("kafka_offset"), F.lit(4))
+    for part in (0, 1, 2, 2, 3):
+        jobs.bronze_to_silver(
+            bronze.where(turn == part), path, f"{path}-quarantine", ENVIRONMENT, str(part), NOW, mode=jobs.MERGE, index=f"{path}-index"
+        )
+    return read_table(spark, path).drop("silver_processed_at", "pipeline_version", "environment")
+
+
 @query
 def silver_audited(spark, folder):
     path = shared_folder(spark, "silver")
@@ -445,13 +459,15 @@ def _ingested(spark, folder) -> str:
 NULLABLE_BRONZE = S.BRONZE.replace(" NOT NULL", "")
 
 
-def _kept(spark, folder, batches: int = 1) -> str:
+def _kept(spark, folder, batches: int = 1, index: bool = False) -> str:
     """The ingested bronze rows merged by the silver stream in so many micro-batches; the folder with what it wrote."""
     root = _ingested(spark, folder)
     rows = spark.read.parquet(f"{root}/bronze").drop("batch_id")
     rows.repartition(batches, F.xxhash64("kafka_offset")).write.parquet(f"{root}/arriving")
     arrived = new_files(spark, f"{root}/arriving", NULLABLE_BRONZE, files_per_batch=1)
-    stream_events.keep_silver(arrived, f"{root}/silver", f"{root}/checkpoint-silver", f"{root}/quarantine", f"{root}/hourly", NOW)
+    stream_events.keep_silver(
+        arrived, f"{root}/silver", f"{root}/checkpoint-silver", f"{root}/quarantine", f"{root}/hourly", NOW, f"{root}/index" if index else None
+    )
     return root
 
 
@@ -465,6 +481,23 @@ def stream_silver_in_batches(spark, folder):
     return spark.read.parquet(f"{_kept(spark, folder, 4)}/silver")
 
 
+@query
+def stream_silver_by_index(spark, folder):
+    return spark.read.parquet(f"{_kept(spark, folder, 4, index=True)}/silver")
+
+
+@query
+def compacted_bronze(spark, folder):
+    """Silver from bronze that came in 50 micro-batches, after their small files were compacted, the second time in vain."""
+    root = shared_folder(spark, "bronze")
+    _bronze(spark, folder).repartition(50, F.xxhash64("kafka_offset")).write.parquet(f"{root}/arriving")
+    arrived = new_files(spark, f"{root}/arriving", NULLABLE_BRONZE, files_per_batch=1)
+    run_available(arrived, lambda batch, number: write_batch(batch, f"{root}/bronze", number), f"{root}/checkpoint")
+    for _ in range(2):
+        compact(spark, f"{root}/bronze", ["batch_id"], across="batch_id")
+    return silver_events(spark.read.parquet(f"{root}/bronze").drop("batch_id"), NOW)
+
+
 @query
 def stream_quarantine(spark, folder):
     return spark.read.parquet(f"{_kept(spark, folder)}/quarantine").drop("quarantine_ts", "batch_id")
