@@ -166,6 +166,41 @@ def customer_risk_scores(silver: DataFrame, days: int = S.RISK_WINDOW_DAYS) -> D
     return rolling_customer_risk(daily_customer_rollup(silver), days)
 
 
+def rolling_distinct_threats(silver: DataFrame, days: int = S.RISK_WINDOW_DAYS) -> DataFrame:
+    """Per customer and date with events: how many different threats (by hash) the date and the ``days`` before it hold.
+
+    A date on which a customer has a threat counts on it and the ``days`` after, so it opens an interval. Intervals of a
+    customer and threat that touch are merged; each merged one is a step up at its start and a step down after its end; the
+    steps of all threats are summed by date, and a running sum over them gives the number. So the work is linear in
+    distinct (customer, threat, date), a window holds the dates of one customer and threat or the steps of one customer by
+    date, and nothing is counted anew for each window. Events without threat hash count as none.
+    """
+    held = silver.groupBy("customer_id", "threat_hash", "event_date").agg(F.count("*").alias("events"))
+    line = Window.partitionBy("customer_id", "threat_hash").orderBy("event_date")
+    apart = lambda later, earlier: F.coalesce(F.datediff(later, earlier) > days + 1, F.lit(True))
+    known = held.where("threat_hash IS NOT NULL").withColumns(
+        {"opens": apart(F.col("event_date"), F.lag("event_date").over(line)), "closes": apart(F.lead("event_date").over(line), F.col("event_date"))}
+    )
+    step = lambda at, by: F.struct(at.alias("event_date"), F.lit(by).cast("bigint").alias("step"))
+    steps = known.select(
+        "customer_id",
+        F.inline(
+            F.filter(
+                F.array(
+                    F.when(F.col("opens"), step(F.col("event_date"), 1)),
+                    F.when(F.col("closes"), step(F.date_add("event_date", days + 1), -1)),
+                ),
+                lambda s: s.isNotNull(),
+            )
+        ),
+    )
+    rows = held.select("customer_id", "event_date", F.lit(0).cast("bigint").alias("step"), F.lit(1).alias("own"))
+    by_date = steps.withColumn("own", F.lit(0)).unionAll(rows).groupBy("customer_id", "event_date").agg(F.sum("step").alias("step"), F.max("own").alias("own"))
+    so_far = Window.partitionBy("customer_id").orderBy("event_date").rowsBetween(Window.unboundedPreceding, 0)
+    summed = by_date.withColumn("rolling_30d_distinct_threats", F.sum("step").over(so_far))
+    return summed.where("own = 1").select("customer_id", "event_date", "rolling_30d_distinct_threats")
+
+
 def product_performance_kpis(silver: DataFrame, scans: DataFrame | None = None) -> DataFrame:
     """Per date, version, OS and country: devices and blocked threats.
 

@@ -13,7 +13,7 @@ from palisade.operators.conform import conform
 from palisade.operators.contract import required_columns
 from palisade.operators.metrics import observed
 from palisade.operators.screening import quarantine, standardise_enums, with_flags
-from palisade.plans import gold, reports
+from palisade.plans import gold, leaderboard, reports
 from palisade.plans.silver import silver_events, with_silver_audit
 from palisade.session import scratch
 from palisade.sinks import folders
@@ -97,17 +97,33 @@ def gold_tables(silver: DataFrame, since=None, scans: DataFrame | None = None) -
 
 
 def silver_to_gold(
-    silver: DataFrame, gold_path: str, environment: str, now=None, since=None, scans: DataFrame | None = None, catalog: str | None = None, only=None
+    silver: DataFrame,
+    gold_path: str,
+    environment: str,
+    now=None,
+    since=None,
+    scans: DataFrame | None = None,
+    catalog: str | None = None,
+    only=None,
+    board_state: str | None = None,
+    changed: list[str] | None = None,
 ) -> dict[str, int]:
     """Write the gold tables, each clustered and sorted as its warehouse table asks.
 
     Without ``since`` every table is built anew. With it, that date and all later ones are: dates that have left silver
     leave gold too, and older ones stay. ``catalog`` is a prefix of catalog names to keep up to date. ``only`` names the
-    tables wanted.
+    tables wanted. With ``board_state``, a folder, the leaderboard is kept by the dates that ``changed`` names since the last
+    run, such as a merge returns; no other date of silver is read for it. Without ``changed`` all dates count as changed.
     """
     written = {}
     with scratch(silver.sparkSession):
-        for name, build in gold_tables(silver, since, scans).items():
+        tables = gold_tables(silver, since, scans)
+        if board_state and (only is None or S.LEADERBOARD_TABLE.name in only):
+            if changed is None:
+                changed = [row.event_date for row in silver.select("event_date").distinct().collect()]
+            leaderboard.refresh(silver, board_state, changed)
+            tables[S.LEADERBOARD_TABLE.name] = lambda: gold.with_days_active(leaderboard.leaderboard(silver.sparkSession, board_state))
+        for name, build in tables.items():
             if only is not None and name not in only:
                 continue
             table = build()

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.functions.dates import within_days, within_months
+from palisade.sinks.tables import write_bucketed
 
+RISK_JOIN_KEYS = ["customer_id", "event_date"]
 REPORT_MONTHS = 6
 TOP_DAYS = 7
 TOP_ROWS = 10
@@ -15,7 +17,13 @@ TOP_ROWS = 10
 def summary_with_risk(daily_summary: DataFrame, customer_risk: DataFrame) -> DataFrame:
     """Each summary row with the customer's risk on that date, if there is one."""
     risk = customer_risk.select("customer_id", "event_date", "risk_score", "risk_tier")
-    return daily_summary.join(risk, ["customer_id", "event_date"], "left")
+    return daily_summary.join(risk, RISK_JOIN_KEYS, "left")
+
+
+def write_bucketed_pair(daily_summary: DataFrame, customer_risk: DataFrame, summary: str, risk: str, buckets: int) -> None:
+    """Both sides of ``summary_with_risk`` as catalog tables bucketed by its keys, so that joining them needs no exchange."""
+    write_bucketed(daily_summary, summary, RISK_JOIN_KEYS, buckets)
+    write_bucketed(customer_risk, risk, RISK_JOIN_KEYS, buckets)
 
 
 def executive_summary(daily_summary: DataFrame, customer_risk: DataFrame, as_of=None) -> DataFrame:

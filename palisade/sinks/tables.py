@@ -157,6 +157,16 @@ def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     return spark.table(name)
 
 
+def write_bucketed(df: DataFrame, name: str, keys, buckets: int) -> None:
+    """A catalog table whose rows lie in ``buckets`` files by hash of ``keys``, sorted by them.
+
+    Tables with equal keys and number of buckets are joined and grouped by these keys without an exchange. A table of that
+    name is replaced.
+    """
+    laid = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    laid.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(name)
+
+
 def layout_report(table: DataFrame, partition_by, cluster_by, sort_by) -> DataFrame:
     """For each file of a table: rows, its partition, how many files hold each of its cluster keys at most, and whether its
     rows are in order."""

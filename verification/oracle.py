@@ -346,6 +346,24 @@ def oracle_sql() -> dict[str, str]:
         "daily_threat_summary": _sql(f"SELECT {DAILY_COLUMNS} FROM daily"),
         "external_daily_summary": _sql(f"SELECT {DAILY_COLUMNS} FROM daily"),
         "threat_leaderboard": _sql(f"SELECT {BOARD_COLUMNS} FROM (SELECT * EXCLUDE (days_active) FROM board)"),
+        "maintained_leaderboard": _sql(
+            f"SELECT {BOARD_COLUMNS} FROM (SELECT * EXCLUDE (days_active) FROM board)", "CAST(event_timestamp AS DATE) <> DATE '2024-02-15'"
+        ),
+        "device_sketches": _sql(
+            " UNION ALL ".join(
+                f"SELECT '{level}' AS level, CAST({period} AS VARCHAR) AS period, count(*) AS events, count(DISTINCT device_id) AS devices_exact, "
+                "'true' AS within_3_percent FROM silver GROUP BY ALL"
+                for level, period in (("day", "event_date"), ("month", "CAST(date_trunc('month', event_date) AS DATE)"))
+            )
+        ),
+        "rolling_distinct_threats": _sql(
+            "SELECT r.customer_id, CAST(r.event_date AS VARCHAR) AS event_date, count(DISTINCT s.threat_hash) AS rolling_30d_distinct_threats "
+            "FROM rollup_days r JOIN silver s ON r.customer_id = s.customer_id AND s.event_date BETWEEN r.event_date - 30 AND r.event_date GROUP BY ALL"
+        ),
+        "risk_join_bucketed": _sql(
+            "SELECT d.customer_id, CAST(d.event_date AS VARCHAR) AS event_date, country_code, os_type, total_events, risk_score, "
+            "risk_tier FROM daily d LEFT JOIN risk r ON d.customer_id = r.customer_id AND d.event_date = r.event_date"
+        ),
         "days_active": _sql(f"SELECT threat_name, threat_hash, threat_category, detection_type, days_active FROM board"),
         "hourly_trend": _sql(f"SELECT {DATED} FROM hourly"),
         "daily_rollup": _sql(f"SELECT {DATED} FROM rollup_days"),

@@ -21,10 +21,11 @@ from palisade.operators.contract import contract_report
 from palisade.operators.latest import latest_per_key
 from palisade.operators.metrics import stage_counts
 from palisade.operators.screening import accepted, standardise_enums, with_flags
-from palisade.plans import gold, jobs, reports
+from palisade.plans import gold, jobs, leaderboard, reports, sketches
 from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
 from palisade.session import in_utc, settle, shared_folder
 from palisade.sinks.compaction import compact
+from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.messages import dead_letters, to_messages
 from palisade.sinks.tables import layout_report, register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
@@ -268,6 +269,54 @@ def written_daily_threat_summary(spark, folder):
     return read_table(spark, f"{_written(spark, folder, name)}/{name}")
 
 
+@query
+def maintained_leaderboard(spark, folder):
+    """Kept by the dates that two deliveries touched, and a date that silver lost."""
+    root = shared_folder(spark, "board")
+    bronze = _bronze(spark, folder)
+    first = F.col("kafka_offset") % 7 < 5
+    for part in (bronze.where(first), bronze.where(~first)):
+        dates = merge_by_index(silver_events(part, NOW), f"{root}/silver", f"{root}/index", jobs.SILVER_PARTITIONS).partitions
+        leaderboard.refresh(read_table(spark, f"{root}/silver"), f"{root}/state", [date["event_date"] for date in dates])
+    leaderboard.refresh(read_table(spark, f"{root}/silver").where(OTHER_DATES), f"{root}/state", ["2024-02-15"])
+    return leaderboard.leaderboard(spark, f"{root}/state")
+
+
+@query
+def device_sketches(spark, folder):
+    """Devices by day and by month, exact and whether the folded sketches of the hours come within 3 %."""
+    silver = settle(_silver(spark, folder), "silver")
+    path = shared_folder(spark, "sketches")
+    sketches.write_sketches(silver, path)
+    hours = read_table(spark, path)
+    shown = []
+    for name, found, day in (("day", sketches.by_day(hours), F.col("event_date")), ("month", sketches.by_month(hours), F.trunc("event_date", "MM"))):
+        exact = silver.groupBy(day.alias("period")).agg(F.count_distinct("device_id").alias("devices"))
+        found = found.withColumnRenamed(found.columns[0], "period")
+        close = F.abs(F.col("devices_estimate") - F.col("devices_exact")) <= 0.03 * F.col("devices_exact")
+        joined = found.drop("devices").join(exact.withColumnRenamed("devices", "devices_exact"), "period")
+        shown.append(joined.select(F.lit(name).alias("level"), "period", "events", "devices_exact", close.alias("within_3_percent")))
+    return shown[0].unionAll(shown[1])
+
+
+@query
+def rolling_distinct_threats(spark, folder):
+    return gold.rolling_distinct_threats(_silver(spark, folder))
+
+
+@query
+def risk_join_bucketed(spark, folder):
+    """The summary with the customer's risk from two bucketed catalog tables, joined without an exchange."""
+    events = settle(_silver(spark, folder), "silver")
+    name = shared_folder(spark, "pair").rsplit("-", 1)[1]
+    pair = f"palisade_summary_{name}", f"palisade_risk_{name}"
+    reports.write_bucketed_pair(gold.daily_threat_summary(events), gold.customer_risk_scores(events), *pair, buckets=16)
+    joined = settle(reports.summary_with_risk(*map(spark.table, pair)), "joined")
+    for table in pair:
+        spark.sql(f"DROP TABLE {table}")
+    return joined.select(*gold.SUMMARY_KEYS, "total_events", "risk_score", "risk_tier")
+
+
 @query
 def written_threat_leaderboard(spark, folder):
     name = S.LEADERBOARD_TABLE.name
