@@ -76,7 +76,7 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     sources = warc.responses_of_pages(table(spark, folder, "pages"), date=CAPTURED)
-    return warc.derive(sources, date=DERIVED).drop("record")
+    return warc.derive(sources, date=DERIVED, with_record=False).drop("record")
 
 
 @query

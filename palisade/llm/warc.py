@@ -38,9 +38,12 @@ BREAKING = (
     "main|nav|ol|option|p|pre|section|summary|table|tbody|td|tfoot|th|thead|tr|ul|body"
 )
 # One markup construct: a comment, a declaration, or a tag with its name and attributes, quoted values taken whole.
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# A quote opens a value only right after "="; "<!-->" and "<!--->" are whole comments.
+MARKUP = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 CHARSET = re.compile(rb"charset\s*=\s*[\"']?\s*([a-zA-Z0-9_:.-]+)", re.I)
+META_CHARSET = re.compile(rb"<meta\b[^>]*?" + CHARSET.pattern, re.I)
+HEAD_END = re.compile(rb"\r?\n\r?\n")
 RAW = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in ("script", "style", "noscript", "template", "iframe", "textarea", "title")}
 # What may stand in a head. Any other start tag, and any text, begins the body where </head> and <body> are left out.
 HEAD_NAMES = frozenset("html|head|title|meta|link|base|basefont|bgsound|script|style|noscript|noframes|template".split("|"))
@@ -74,12 +77,13 @@ def responses_of_pages(pages: DataFrame, date: str, key: str = "page_id", url: s
     )
 
 
-def derive(responses: DataFrame, date: str) -> DataFrame:
+def derive(responses: DataFrame, date: str, with_record: bool = True) -> DataFrame:
     """A metadata and a conversion record for every response (columns as in ``RESPONSE``; others are carried along).
 
     Both name the response in WARC-Refers-To, with its address, date and payload digest, which is computed where the
     response brings none; the metadata holds the response's status line and headers, title, language, character set and
-    links. ``record`` is the whole record as a gzip member; members one after the other make a WARC file.
+    links. ``record`` is the whole record as a gzip member, NULL if it isn't wanted; members one after the other make a WARC
+    file.
 
     A NULL or empty block gives an empty text. Blocks that aren't HTTP messages count as a body without headers.
     Unknown character sets and invalid bytes are read as UTF-8 with replacement characters. A response without identifier
@@ -94,7 +98,7 @@ def derive(responses: DataFrame, date: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                rows = [record for row in part.select(own).to_pylist() for record in _derived(row, date)]
+                rows = [record for row in part.select(own).to_pylist() for record in _derived(row, date, with_record)]
                 twice = pa.array([i // 2 for i in range(2 * part.num_rows)])
                 columns = [part.column(f.name).take(twice) for f in carried]
                 columns += [pa.array([r[f.name] for r in rows], _arrow(f.dataType)) for f in DERIVED.fields]
@@ -107,7 +111,7 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     return pa.string() if isinstance(kind, T.StringType) else pa.int64() if isinstance(kind, T.LongType) else pa.binary()
 
 
-def _derived(row: dict, date: str) -> list[dict]:
+def _derived(row: dict, date: str, with_record: bool = True) -> list[dict]:
     status, headers, body = http_message(row["block"] or b"")
     source_digest = row["payload_digest"] or digest(body)
     page = read_page(decoded(content(headers, body), headers))
@@ -137,7 +141,7 @@ def _derived(row: dict, date: str) -> list[dict]:
                 "block_digest": digest(data),
                 "content_length": len(data),
                 "block": data.decode(),
-                "record": serialised(head, data),
+                "record": serialised(head, data) if with_record else None,
             }
         )
     return out
@@ -193,9 +197,8 @@ def http_message(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """Status line, headers and body of a response; anything else is all body."""
     if not block.startswith(b"HTTP/"):
         return "", [], block
-    head, found, body = block.partition(END)
-    if not found:
-        head, _, body = block.partition(b"\n\n")
+    end = HEAD_END.search(block)
+    head, body = (block[: end.start()], block[end.end() :]) if end else (block, b"")
     status, *lines = head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
     pairs = [(name.strip(), value.strip()) for name, mark, value in (line.partition(":") for line in lines) if mark]
     return status.strip(), pairs, body
@@ -206,10 +209,14 @@ def content(headers: list[tuple[str, str]], body: bytes) -> bytes:
     named = {name.lower(): value.lower() for name, value in headers}
     if "chunked" in named.get("transfer-encoding", ""):
         body = _unchunked(body)
-    if named.get("content-encoding", "") in ("gzip", "x-gzip", "deflate"):
-        try:
-            body = zlib.decompressobj(47).decompress(body)
-        except zlib.error:
+    # Applied in this order, so undone from the last on.
+    for coding in reversed([c.strip() for c in named.get("content-encoding", "").split(",") if c.strip()]):
+        if coding in ("gzip", "x-gzip", "deflate"):
+            try:
+                body = zlib.decompressobj(47).decompress(body)
+            except zlib.error:
+                return body
+        elif coding != "identity":
             return body
     return body
 
@@ -231,7 +238,7 @@ def charset(headers: list[tuple[str, str]], body: bytes) -> str:
     for name, value in headers:
         if name.lower() == "content-type" and (found := CHARSET.search(value.encode())):
             return found[1].decode().lower()
-    found = CHARSET.search(body[:2048])
+    found = META_CHARSET.search(body)
     return found[1].decode().lower() if found else "utf-8"
 
 

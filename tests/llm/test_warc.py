@@ -136,3 +136,46 @@ def test_missing_fields_repeats_and_given_digest(spark):
 def test_pages_that_leave_out_the_end_of_the_head(source, text):
     page = warc.read_page(source)
     assert (page["text"], page["title"]) == (text, "T")
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<p title=don't>Hello world</p><p>more</p>", "Hello world\nmore"),
+        ("<a href=it's>link</a> <b title='x>y'>bold</b> <i alt = \"a>b\" '>z</i>", "link bold z"),
+        ("one<!-->two<!--->three<!-- gone -->four<!-- gone --!>five", "onetwothreefourfive"),
+        ("<p data==\"x>y\">odd</p>", "odd"),
+        ("<p a='>open", ""),
+    ],
+)
+def test_quotes_and_comments_as_browsers_read_them(source, text):
+    assert warc.read_page(source)["text"] == text
+
+
+@pytest.mark.parametrize(
+    ("block", "body"),
+    [
+        (b"HTTP/1.1 200 OK\nA: b\n\n<p>one</p>\r\n\r\n<p>two</p>", b"<p>one</p>\r\n\r\n<p>two</p>"),
+        (b"HTTP/1.1 200 OK\r\nA: b\r\n\r\none\n\ntwo", b"one\n\ntwo"),
+        (b"HTTP/1.1 204 No\r\nA: b", b""),
+    ],
+)
+def test_the_head_ends_at_the_first_empty_line(block, body):
+    assert warc.http_message(block)[2] == body
+
+
+def test_charset_behind_a_long_head_and_several_codings():
+    import gzip
+
+    page = b"<html><!--" + b"x" * 5000 + b"--><meta charset=latin-1><p>caf\xe9"
+    assert warc.decoded(page, []).endswith("caf\xe9")
+    assert warc.charset([], b"<p>charset=latin-1") == "utf-8"
+    assert warc.content([("Content-Encoding", "gzip, gzip")], gzip.compress(gzip.compress(b"in"))) == b"in"
+    assert warc.content([("Content-Encoding", "gzip, br")], b"as it is") == b"as it is"
+
+
+def test_records_that_are_not_wanted_are_not_made():
+    row = {"record_id": "a", "target_uri": "u", "date": "d", "payload_digest": None, "block": b"<p>x"}
+    made, none = warc._derived(row, "d"), warc._derived(row, "d", False)
+    assert all(r["record"] for r in made) and not any(r["record"] for r in none)
+    assert [{**r, "record": None} for r in made] == none
