@@ -103,7 +103,8 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     rows = vectors.quantised(table(spark, folder, "embeddings").select("vec_id", "embedding"))
-    return vectors.top_k(rows, rows.filter("vec_id % 100 = 0"), k=10)
+    found = vectors.top_k(rows, rows.filter("vec_id % 100 = 0"), k=10)
+    return found.withColumn("score", F.col("score").try_cast("bigint"))
 
 
 @query

@@ -117,14 +117,15 @@ FROM numbered JOIN walk USING (global_row) WHERE p < n
 
 SQL["op10_top_k"] = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vector FROM embeddings
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(least(greatest(1024 * CAST(x AS DOUBLE), -72057594037927936), 72057594037927936)) AS HUGEINT))
+           AS vector FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.vector, c.vector) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.vector, c.vector), lambda p: p[1] * p[2])), 0) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)
 )
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, TRY_CAST(score AS BIGINT) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
 """
 

@@ -7,6 +7,7 @@ at the squared distance |q|^2 + M^2 - 2qx from (q, 0), so nearest is highest.
 from __future__ import annotations
 
 import heapq
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -20,33 +21,42 @@ PAGE = 128
 FANOUT = 16
 TREE_ROWS = 100_000
 QUERY_ROWS = 4_096
-EXACT = 2.0**52
-SLACK = 1e-7
+# Entries beyond this count as it, so that inner products of thousands of entries fit 38 digits.
+LARGEST = 2**56
+# Inner products below the first are exact in floating point, below the second in 64 bits; by the product of the squared norms.
+FLOAT_EXACT, WHOLE_EXACT = 2.0**104, 2.0**124
+# Share of the distance by which bounds may err from rounding.
+SLACK = 1e-6
 
 PAGES = (
     "tree bigint, width int, sphere double, page int, parent int, leaf boolean, router array<double>, radius double, parent_distance double, "
     "ids array<bigint>, vectors array<bigint>, distances array<double>"
 )
-FOUND = "query_id bigint, vec_id bigint, score bigint"
+FOUND = "query_id bigint, vec_id bigint, score decimal(38,0)"
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 1024) -> DataFrame:
-    """``vec_id``, ``vector`` (floor of ``scale`` times each component) and ``norm`` (squared length).
+    """``vec_id``, ``vector`` (floor of ``scale`` times each component) and ``norm`` (squared length, about).
 
-    Rows whose key or vector is NULL, or that hold a NULL, infinite or undefined component, are left out.
+    Rows whose key or vector is NULL, or that hold a NULL, infinite or undefined component, are left out. Results beyond
+    ``LARGEST`` become that.
     """
     whole = F.col(vector).isNotNull() & F.col(key).isNotNull()
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    parts = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
+    bound = F.lit(float(LARGEST))
+    parts = F.transform(vector, lambda x: F.floor(F.greatest(-bound, F.least(bound, x.cast("double") * scale))).cast("bigint"))
     rows = vectors.filter(whole & F.coalesce(finite, F.lit(False))).select(F.col(key).cast("bigint").alias("vec_id"), parts.alias("vector"))
-    return rows.withColumn("norm", F.aggregate("vector", F.lit(0).cast("bigint"), lambda s, x: s + x * x))
+    return rows.withColumn("norm", F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """For each query the ``k`` vectors of highest inner product: query_id, rank (from 1), vec_id, score.
+    """For each query the ``k`` vectors of highest inner product: query_id, rank (from 1), vec_id, score (decimal(38, 0)).
 
     Both inputs come from ``quantised``. Ties go to the smaller vec_id; a query never finds rows of its own id; vectors of
-    another length don't meet it. Scores are exact integers as long as squared norms stay below 2**52, which is checked.
+    another length don't meet it. Scores are exact whole numbers however long the vectors are: trees are searched by bounds
+    in floating point with a margin, and where a product could be inexact there, it is computed in 64 bits or in whole
+    numbers of any size. Vectors of very different length lie in different trees, so that a few long ones don't loosen the
+    bounds of the others.
     With fewer rows than ``k`` all are returned; empty inputs give an empty result. A repeated query counts once, a
     repeated vector is found as often as it is there.
 
@@ -61,25 +71,27 @@ def tree_pages(vectors: DataFrame) -> DataFrame:
     """The nodes of M-trees over all vectors, one row each: routing object, covering radius, distance from the parent's
     routing object, and for leaves the entries with their distances from the routing object."""
     spark = vectors.sparkSession
-    rows, largest = vectors.agg(F.count("*"), F.max("norm")).first()
-    if (largest or 0) >= EXACT:
-        raise ValueError(f"squared norm {largest} is too large for exact scores")
+    rows = vectors.count()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trees = max(1, -(-rows // TREE_ROWS), min(least, 24, rows // 2_000))
-    dealt = vectors.withColumn("tree", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(trees))).withColumn("width", F.size("vector"))
+    # One band up to a norm of 2**26, then one for each factor of 16.
+    band = F.floor(F.greatest(F.lit(0.0), F.log2(F.greatest(F.lit(1.0), F.col("norm"))) - 44) / 8)
+    number = band * trees + F.pmod(F.xxhash64("vec_id", "vector"), F.lit(trees))
+    dealt = vectors.withColumn("tree", number.cast("bigint")).withColumn("width", F.size("vector"))
 
     def grow(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _grown(key[0].as_py(), key[1].as_py(), table, float(largest or 0))
+        return _grown(key[0].as_py(), key[1].as_py(), table)
 
     return dealt.groupBy("tree", "width").applyInArrow(grow, PAGES)
 
 
-def _grown(tree: int, width: int, table: pa.Table, largest: float) -> pa.Table:
+def _grown(tree: int, width: int, table: pa.Table) -> pa.Table:
     ids = table.column("vec_id").to_numpy()
     whole = pc.list_flatten(table.column("vector")).to_numpy().reshape(len(ids), width)
     order = np.argsort(ids, kind="stable")
     ids, whole = ids[order], whole[order]
-    norms = (whole * whole).sum(1).astype(np.float64)
+    norms = (whole.astype(np.float64) ** 2).sum(1)
+    largest = float(norms.max())
     points = np.column_stack([whole.astype(np.float64), np.sqrt(np.maximum(0, largest - norms))])
     pages: list[dict] = []
 
@@ -137,7 +149,7 @@ def _routers(sample: np.ndarray, count: int) -> np.ndarray:
 
 def best_first(pages: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """Search the trees for each query; see ``top_k``."""
-    queries = queries.select(F.col("vec_id").alias("query_id"), "vector", "norm").distinct()
+    queries = queries.select(F.col("vec_id").alias("query_id"), "vector").distinct()
     blocks = -(-max(1, queries.count()) // QUERY_ROWS)
     block = F.pmod(F.xxhash64("query_id", "vector"), F.lit(blocks))
     trees = pages.filter("parent = -1").groupBy("width").agg(F.collect_list("tree").alias("trees"))
@@ -158,9 +170,10 @@ def _searched(nodes: pa.Table, wanted: pa.Table, k: int) -> pa.Table:
     if nodes.num_rows and wanted.num_rows:
         tree = _Tree(nodes)
         for query, vector in zip(wanted.column("query_id").to_pylist(), wanted.column("vector").to_pylist(), strict=True):
-            out += [(query, i, s) for s, i in tree.nearest(query, np.array(vector, np.float64), k)]
+            out += [(query, i, Decimal(s)) for s, i in tree.nearest(query, np.array(vector, np.int64), k)]
     columns = list(zip(*out, strict=True)) or [[], [], []]
-    return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+    types = (pa.int64(), pa.int64(), pa.decimal128(38))
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query_id", "vec_id", "score"])
 
 
 class _Tree:
@@ -176,26 +189,31 @@ class _Tree:
             if not own:
                 below = np.flatnonzero(parent == page)
                 self.children[page] = below, routers[below], radius[below], above[below]
-        self.entries = {}
+        self.entries, self.whole = {}, {}
         for page, own in enumerate(leaf):
             if own:
                 ids, flat, far = (nodes.column(c)[page].values.to_numpy() for c in ("ids", "vectors", "distances"))
-                self.entries[page] = ids, flat.astype(np.float64).reshape(len(ids), -1 if len(flat) else 0), far
+                self.whole[page] = flat.reshape(len(ids), -1 if len(flat) else 0)
+                self.entries[page] = ids, self.whole[page].astype(np.float64), far
 
-    def nearest(self, query: int, vector: np.ndarray, k: int) -> list[tuple[int, int]]:
+    def nearest(self, query: int, whole: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The best ``k`` entries as score and id, best first.
 
         Pages wait by the least distance that their balls allow. Stored distances give bounds by the triangle inequality
         before a distance is computed: |d(q, parent) - d(parent, x)| - radius. A page or an entry is left out only if it
         lies farther than the k-th best so far, with a margin for rounding, so that ties are all seen.
         """
+        vector = whole.astype(np.float64)
         length = float(vector @ vector)
+        size = length * self.sphere
+        kind = np.float64 if size < FLOAT_EXACT else np.int64 if size < WHOLE_EXACT else object
+        exactly = whole.astype(kind)
         margin = SLACK * np.sqrt(length + self.sphere) + 1e-9
 
         def distance(routers: np.ndarray) -> np.ndarray:
             return np.sqrt(np.maximum(0.0, length + (routers**2).sum(-1) - 2 * (routers[..., :-1] @ vector)))
 
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
+        ids, scores = np.zeros(0, np.int64), np.zeros(0, kind)
         reach = np.inf
         waiting = [(0.0, 0, float(distance(self.root)))]
         while waiting:
@@ -212,12 +230,17 @@ class _Tree:
                 continue
             own, entries, away = self.entries[page]
             near = (np.abs(far - away) <= reach) & (own != query)
-            found = entries[near] @ vector
+            found = (entries[near] if kind is np.float64 else self.whole[page][near].astype(kind)) @ exactly
             ids, scores = np.concatenate([ids, own[near]]), np.concatenate([scores, found])
             if len(ids) > k:
-                best = np.lexsort((ids, -scores))[:k]
+                best = _best(ids, scores)[:k]
                 ids, scores = ids[best], scores[best]
             if len(ids) == k:
-                reach = np.sqrt(max(0.0, length + self.sphere - 2 * scores.min())) + margin
-        order = np.lexsort((ids, -scores))
-        return [(int(scores[i]), int(ids[i])) for i in order]
+                reach = np.sqrt(max(0.0, length + self.sphere - 2 * float(scores.min()))) + margin
+        return [(int(scores[i]), int(ids[i])) for i in _best(ids, scores)]
+
+
+def _best(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Places by falling score, then by id."""
+    by_id = np.argsort(ids, kind="stable")
+    return by_id[np.argsort(-scores[by_id], kind="stable")]
