@@ -81,7 +81,8 @@ class Votes:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on the labelled rows given, of which at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` are used, in the order of a hash.
 
-    Rows without key or label are left out; a key that is labelled more than once counts as toxic if one label says so.
+    Rows without key or label are left out; a key that is labelled more than once counts as toxic if one label says so. Of a
+    key that several documents have, one text counts, the first by hash, so the bounds hold for the rows of the sample too.
     NULL texts count as empty. Without toxic or without clean rows the model knows no pattern and scores all texts alike.
     """
     marked = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("toxic"))
@@ -89,7 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = [marked.filter(F.col("toxic") == value).orderBy(order).limit(rows) for value, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))]
     chosen = F.broadcast(chosen[0].unionAll(chosen[1]))  # bounded by the two limits
     texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    sample = settle(texts.join(chosen, "id").select("id", "text", "toxic"), "sample")
+    one = texts.join(chosen, "id").groupBy("id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    sample = settle(one.select("id", "text", "toxic"), "sample")
 
     toxic, clean, counts = _pattern_counts(sample)
     if not toxic or not clean:
@@ -132,7 +134,7 @@ def _pattern_counts(sample: DataFrame) -> tuple[int, int, list]:
             for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 seen = {""}
                 for word in set(WORD.findall(text.lower())):
-                    seen.add(word[:64])
+                    seen.add(word)
                     seen.update(f"{word[:length]}*" for length in PREFIXES if length < len(word))
                 found[int(toxic == 1)].update(seen)
                 if len(found[0]) + len(found[1]) > HELD_PATTERNS:
@@ -223,7 +225,7 @@ def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 8) -> tuple[
 
 
 def _dependencies(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
-    """The voter each voter depends on, or -1."""
+    """The voter each voter depends on, or -1. Without voters there is none."""
     rows, voters = votes.shape
     information = np.zeros((voters, voters))
     for weight in (1 - posterior, posterior):
@@ -241,7 +243,7 @@ def _dependencies(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
     parents, best = np.full(voters, -1), np.full(voters, -np.inf)
     waiting = np.ones(voters, bool)
     at = 0
-    while waiting[at]:
+    while waiting.any():
         waiting[at] = False
         closer = waiting & (information[at] > best)
         best[closer], parents[closer] = information[at][closer], at
