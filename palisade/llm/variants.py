@@ -151,7 +151,8 @@ def variants(words: DataFrame, ratio: int = 5) -> DataFrame:
         "asks",
     )
     asked = sent.withColumn("held", F.col("part") == F.col("own")).drop("own")
-    found = asked.groupBy("shard", "hot", "part").applyInArrow(_searched, NEAREST)
+    # Rows are few bytes but much work, so tasks are dealt by indexes rather than by size.
+    found = asked.repartition(spread, "shard", "hot", "part").groupBy("shard", "hot", "part").applyInArrow(_searched, NEAREST)
     nearest = F.min(F.when(F.col("near").isNotNull(), F.struct((-F.col("near_n")).alias("less"), "near")))
     best = found.groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"), nearest.alias("best"))
     enough = -F.col("best.less") >= F.col("n") * ratio
