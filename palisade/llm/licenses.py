@@ -64,6 +64,9 @@ WORD_HINTS = ["licen", "permi", "warrant", "redistribut", "under", "unencumbered
 # What the SQL looks for instead. It misses statements without the word license, and phrases broken over lines.
 HINTS = ["licen", "permi", "warrant", "copyright", "public domain", "redistribut", "all rights reserved"]
 
+# Stands beside licenses of any kind and by itself grants nothing, so no rule needs to take it.
+NEUTRAL = "rights-reserved"
+
 # Ordered: the first rule that finds its identifiers one after the other takes them.
 RULES = [
     ("MIT", "mit-grant mit-notice mit-warranty mit-liability"),
@@ -129,7 +132,7 @@ def known_sentences() -> list[tuple[str, str]]:
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """All documents with ``sentence_ids`` (known sentences in order), ``licenses`` (in the order of the rules) and
-    ``verdict``: "none", "known", "partial" (known sentences are left that no rule takes) or "unknown" (a sentence speaks
+    ``verdict``: "none", "known", "partial" (known sentences other than ``NEUTRAL`` are left that no rule takes) or "unknown" (a sentence speaks
     of a license but isn't known).
 
     Each text is read twice, line by line and with lines joined to paragraphs, and the reading with more known sentences
@@ -164,10 +167,12 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c not in ("sentence_ids", "licenses", "verdict")]
     scanned = docs.select(*kept, F.when(hinted, found).otherwise(none).alias("found sentences"))
 
-    # The identifiers as one text with a blank on both sides of each, so that a rule is a search for a part of it.
+    # The identifiers as one text, each with blanks of its own on both sides: a rule is a search for a part of it, and a license
+    # that stands twice in a row is found twice.
     ids = F.transform(F.filter("found sentences", lambda s: s["id"].isNotNull()), lambda s: s["id"])
-    sequence = F.concat(F.lit(" "), F.array_join(F.transform(ids, lambda i: F.concat(i, F.lit(" "))), ""))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f" {part} ").alias("part")) for name, part in RULES])
+    told = F.filter(ids, lambda i: i != NEUTRAL)
+    sequence = F.array_join(F.transform(told, lambda i: F.concat(F.lit(" "), i, F.lit(" "))), "")
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(f" {part.replace(' ', '  ')} ").alias("part")) for name, part in RULES])
     start = F.struct(sequence.alias("rest"), F.array().cast("array<string>").alias("names"))
 
     def apply(state: Column, rule: Column) -> Column:

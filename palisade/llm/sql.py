@@ -186,9 +186,10 @@ WITH RECURSIVE known AS (
     FROM sentence LEFT JOIN known USING (s) WHERE s <> '' GROUP BY ALL
 ), best AS (
     SELECT * FROM reading QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, reading) = 1
-), rule AS (SELECT n, name, ' ' || part || ' ' AS part FROM {_listed(licenses.RULES, "n, name, part")}),
+), rule AS (SELECT n, name, ' ' || replace(part, ' ', '  ') || ' ' AS part FROM {_listed(licenses.RULES, "n, name, part")}),
 applied AS (
-    SELECT doc_id, 0 AS step, ' ' || list_aggregate(list_transform(ids, lambda i: i || ' '), 'string_agg', '') AS rest, []::VARCHAR[] AS names
+    SELECT doc_id, 0 AS step, array_to_string(list_transform(list_filter(ids, lambda i: i <> {_text(licenses.NEUTRAL)}), lambda i: ' ' || i || ' '), '') AS rest,
+           []::VARCHAR[] AS names
     FROM best WHERE len(ids) > 0
     UNION ALL
     SELECT doc_id, step + 1, replace(rest, part, ' | '), CASE WHEN contains(rest, part) THEN list_append(names, name) ELSE names END

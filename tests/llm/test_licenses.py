@@ -80,3 +80,16 @@ def test_every_known_sentence_has_a_word_hint_in_one_word(spark):
         # These words are made by the normalisation, so a text needn't hold them as they are.
         words = [w for w in row.words.split() if w not in ("copyright", "url")]
         assert any(hint in w for hint in licenses.WORD_HINTS for w in words), row.text
+
+
+def test_a_license_that_stands_twice_and_a_notice_beside_it(spark):
+    full = "\n\n".join(text for name, text in licenses.SENTENCES if name.startswith("mit-"))
+    bsd = "Copyright (c) 2020, A. All rights reserved.\n\n" + "\n\n".join(text for name, text in licenses.SENTENCES if name.startswith("bsd-"))
+    rows = [
+        (1, "Released under the MIT License. Released under the MIT License."), (2, f"{full}\n\n{full}"), (3, bsd),
+        (4, "All rights reserved."), (5, f"{full}\n\nAll rights reserved.\n\n{full}\n\n{full}"), (6, "See the GNU General Public License for more details."),
+    ]
+    found = {r.doc_id: (list(r.licenses), r.verdict) for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == {
+        1: (["MIT"], "known"), 2: (["MIT"], "known"), 3: (["BSD-3-Clause"], "known"), 4: ([], "none"), 5: (["MIT"], "known"), 6: ([], "partial"),
+    }
