@@ -24,7 +24,7 @@ VALUES = 2 * FUNCTIONS
 BANDS_MISS = 1e-7
 SKETCH_MISS = 1e-8
 
-SIGNED = "id bigint, n_shingles bigint, print binary, bands array<bigint>, low bigint, high bigint"
+SIGNED = "id bigint, n_shingles bigint, print binary, copy bigint, bands array<bigint>, low bigint, high bigint"
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -38,24 +38,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     2. Classes meet in bands of min-max signatures, as wide as ``BANDS_MISS`` allows: at 0.8 a link escapes all 32 bands with
        a probability of 5e-8. In each bucket every class is compared with the smallest key only, and components are formed.
     3. Classes of buckets that still hold several components are compared across components wherever they share one of
-       their rarest shingles, as all linked sets do, so that no link between components is lost. Of the classes that share
-       such a shingle, the largest component is never paired with itself.
+       their rarest shingles, as all linked sets do, so that no link between components is lost. The smaller set of a pair
+       needs about half as many of them as the larger. Of the classes that share such a shingle, the largest component is
+       never paired with itself. Texts made from one template, each with words of its own, have their own shingles first;
+       they meet only if these are few enough for a link.
 
     Pairs whose sketches differ in more bits than a link's do, but for a chance of ``SKETCH_MISS``, are left out before. At
     0.8 a link is missed with a chance of 6e-8 in all. Bands and sketch follow ``percent``; below 12 single values are too few
     for ``BANDS_MISS``.
 
     Every link is confirmed on the texts' whole sets. NULL keys take part in no link: component_id is NULL, kept is true.
-    Rows with equal key and text share a class, so both are kept or both are not. An empty table gives an empty result.
+    Rows with equal key and text share a class, so both are kept or both are not. Rows with equal key and different texts are
+    linked text by text, each with its own size; classes whose smallest key is the same are one node. An empty table gives
+    an empty result.
     """
     signed = settle(_signed(docs, shingle, percent, key, text), "signatures")
     classes = (
         signed.filter("n_shingles > 0 and id is not null")
         .groupBy("print", "n_shingles")
-        .agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("bands", "low", "high")])
+        .agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("copy", "bands", "low", "high")])
     )
     classes = settle(classes, "classes")
-    members = classes.select("node", F.col("n_shingles").alias("n"), "low", "high", F.explode("bands").alias("bucket"))
+    members = classes.select("node", "copy", F.col("n_shingles").alias("n"), "low", "high", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     members = settle(members.join(buckets.select("bucket", "leader"), "bucket"), "buckets")
 
@@ -70,16 +74,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     parts = settle(components(links), "components")
 
     placed = members.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    nodes = _split(placed).dropDuplicates(["node"]).select("node", "n", "low", "high", "part")
+    nodes = _split(placed).dropDuplicates(["node", "copy"]).select("node", "copy", "n", "low", "high", "part")
     nodes = settle(nodes, "nodes")
     rare = settle(_split(_rare_shingles(texts, nodes, shingle, percent)), "rare")
-    others = rare.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "low", "high", "part", "place")])
-    across = rare.filter("part <> largest").join(others, "bucket").filter(
-        (F.col("part") != F.col("part_b"))
-        & ((F.col("part_b") == F.col("largest")) | (F.col("node") < F.col("node_b")))
-        & _may_link(percent)
-        & _enough_left(percent)
-    )
+    across = _across(rare, percent)
     second = across.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
     second = settle(second.join(first, ["a", "b"], "left_anti"), "pairs")
     late = _confirmed(second, texts, shingle, percent)
@@ -153,12 +151,26 @@ def _enough_left(percent: int):
     return F.least(F.col("n") - F.col("place"), F.col("n_b") - F.col("place_b")) >= least
 
 
+def _across(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of different components that share a rare shingle and may be linked; the smaller set comes first."""
+    larger = rare.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "low", "high", "part", "place", "largest")])
+    smaller = rare.filter("short")
+    met = (
+        smaller.filter("part <> largest").join(larger, "bucket")
+        .unionAll(smaller.filter("part = largest").join(larger.filter("part_b <> largest_b"), "bucket"))
+    )
+    ordered = (F.col("n") < F.col("n_b")) | ((F.col("n") == F.col("n_b")) & (F.col("node") < F.col("node_b")))
+    return met.filter((F.col("part") != F.col("part_b")) & ordered & _may_link(percent) & _enough_left(percent))
+
+
 def _rare_shingles(texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The rarest shingles of each node as ``bucket``, with their place in the order from rare to frequent.
 
     Two sets that are linked share at least ``percent`` of either one. So if all shingles are put in one order, linked sets
     share one of the first shingles of both, as many as may be missing and one more. From rare to frequent these are mostly
-    what edits have brought in, which few copies have in common.
+    what edits have brought in, which few copies have in common. The smaller of two linked sets shares more of its own: of a
+    set of n at least 2 * percent / (100 + percent) * n with any that is not smaller. ``short`` marks the shingles that are
+    left for it then.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,17 +178,26 @@ def _rare_shingles(texts: DataFrame, nodes: DataFrame, shingle: int, percent: in
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 values, places = shingle_sets(read_words(part.column(1), lower=True), shingle)
-                owners = np.repeat(part.column(0).to_numpy(zero_copy_only=False), np.diff(places))
-                yield pa.record_batch([pa.array(owners, pa.int64()), pa.array(values.view(np.int64))], names=["node", "bucket"])
-
-    wanted = texts.join(nodes.select("node"), "node", "left_semi").select("node", "text")
+                counts = np.diff(places)
+                copies = np.zeros(len(counts), np.uint64)
+                copies[counts > 0] = np.add.reduceat(mix(values), places[:-1][counts > 0]) if len(values) else 0
+                owners = np.repeat(part.column(0).to_numpy(zero_copy_only=False), counts)
+                yield pa.record_batch(
+                    [pa.array(owners, pa.int64()), pa.array(np.repeat(copies, counts).view(np.int64)), pa.array(values.view(np.int64))],
+                    names=["node", "copy", "bucket"],
+                )
+
+    wanted = texts.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "text")
     # Listed twice, to be counted with partial sums and to be joined: a shingle that very many nodes share is split by AQE.
-    rows = wanted.mapInArrow(listed, "node bigint, bucket bigint")
+    rows = wanted.mapInArrow(listed, "node bigint, copy bigint, bucket bigint")
     frequent = rows.join(rows.groupBy("bucket").agg(F.count("*").alias("held")), "bucket")
-    order = Window.partitionBy("node").orderBy("held", "bucket")
-    ranked = frequent.withColumn("place", F.row_number().over(order) - 1).join(nodes, "node")
+    # A node may have several texts, also some with equal sets; those have equal places.
+    order = Window.partitionBy("node", "copy").orderBy("held", "bucket")
+    ranked = frequent.withColumn("place", F.dense_rank().over(order) - 1).join(nodes, ["node", "copy"])
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return ranked.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held")
+    short = F.col("n") - F.ceil(F.col("n") * (2 * percent) / (100 + percent)) + 1
+    marked = ranked.withColumn("short", F.col("place") < short)
+    return marked.filter((F.col("place") < first) & (F.col("held") > 1)).drop("held", "copy")
 
 
 def _signed(docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
@@ -203,11 +224,12 @@ def _signed(docs: DataFrame, shingle: int, percent: int, key: str, text: str) ->
                 batch.column(0),
                 pa.array(counts, pa.int64()),
                 pa.array([p.tobytes() for p in prints], pa.binary()).take(take),
+                pa.array(np.ascontiguousarray(prints[:, 0]).view(np.int64), pa.int64()).take(take),
                 pa.array(list(bands), pa.list_(pa.int64())).take(take),
                 pa.array(sketch[:, 0], pa.int64()).take(take),
                 pa.array(sketch[:, 1], pa.int64()).take(take),
             ],
-            names=["id", "n_shingles", "print", "bands", "low", "high"],
+            names=["id", "n_shingles", "print", "copy", "bands", "low", "high"],
         )
 
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text)).mapInArrow(sign, SIGNED)

@@ -75,3 +75,49 @@ def test_low_thresholds_lose_no_links(spark):
         rows += [(2 * n, " ".join(own[:60])), (2 * n + 1, " ".join(own[18:]))]
     found = near.near_duplicates(odd_docs(spark, rows), shingle=1, percent=50).collect()
     assert {r.doc_id: r.component_id for r in found} == {i: i - i % 2 for i, _ in rows}
+
+
+def test_texts_of_one_template_are_no_candidates_unless_linked(spark, monkeypatch):
+    """Sixty words that all share and some of their own: 10 are too many for a link, and 7 make one."""
+    counted = []
+    whole = near._across
+    monkeypatch.setattr(near, "_across", lambda *args: counted.append(whole(*args)) or counted[-1])
+    frame = " ".join(f"t{i}" for i in range(60))
+    for size in (400, 1600):
+        far = [(n, frame + "".join(f" own{n}x{i}" for i in range(10))) for n in range(size)]
+        found = near_duplicates(odd_docs(spark, far)).collect()
+        assert all(r.component_id == r.doc_id for r in found) and counted[-1].count() < size
+    close = [(n, frame + "".join(f" own{n}x{i}" for i in range(7))) for n in range(60)]
+    assert {r.component_id for r in near_duplicates(odd_docs(spark, close)).collect()} == {0}
+
+
+def test_keys_with_several_texts_lose_no_link(spark):
+    """A key with a long and a short text, and copies of either with some words changed; also texts with equal sets."""
+    pick = random.Random(11)
+    rows = []
+    for family in range(12):
+        for part, length in enumerate((40, 170)):
+            base = prose(50 * family + part, length).split()
+            rows.append((1000 * family, " ".join(base)))
+            rows.append((1000 * family, "  ".join(base)))
+            for copy in range(12):
+                text = list(base)
+                for _ in range(pick.randrange(0, 5)):
+                    text[pick.randrange(len(text))] = prose(pick.randrange(10**6), 1)
+                rows.append((1000 * family + 100 * (part + 1) + copy, " ".join(text)))
+    nodes = sorted({i for i, _ in rows})
+    sets = [(i, shingles(words(lower(t)), 4)) for i, t in rows]
+    root = {i: i for i in nodes}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, one in sets:
+        for j, other in sets:
+            if i != j and 100 * len(one & other) >= 80 * len(one | other):
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    found = near_duplicates(odd_docs(spark, rows), shingle=4).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(i, top(i)) for i in nodes}
