@@ -17,6 +17,7 @@ from palisade.plans import gold, leaderboard, reports
 from palisade.plans.silver import silver_events, with_silver_audit
 from palisade.session import scratch
 from palisade.sinks import folders
+from palisade.sinks.evolution import evolve
 from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.tables import merge_table, write_quarantine, write_table
 from palisade.sources.tables import read_table
@@ -36,6 +37,7 @@ def bronze_to_silver(
     mode: str,
     table: str | None = None,
     index: str | None = None,
+    schema_change: bool = False,
 ) -> dict[str, int]:
     """Write silver and quarantine; the row counts come from the two writes themselves.
 
@@ -44,7 +46,8 @@ def bronze_to_silver(
     Bronze is scanned once per write. The quarantine pass has no shuffle and sees every row, so it also counts what was
     read, accepted and rejected. A bronze table that lacks a column of the contract is refused. ``silver`` counts the rows of the dates written. ``table`` is silver's catalog name.
     ``index`` is the folder of a key index for merges, so that their cost follows the delivery and not the history; a
-    replacement drops it, as the next merge builds it anew.
+    replacement drops it, as the next merge builds it anew. With ``schema_change`` a merged delivery may bring new columns
+    and wider types, which silver and its catalog entry take up; a replacement has the schema of what it writes.
     """
     if mode not in (REPLACE, MERGE):
         raise ValueError(f"mode {mode}")
@@ -60,9 +63,11 @@ def bronze_to_silver(
     silver = with_silver_audit(silver_events(bronze, now), environment, now)
     if mode == MERGE:
         if index:
+            if schema_change:
+                silver = evolve(silver, silver_path, SILVER_PARTITIONS)
             dates = merge_by_index(silver, silver_path, index, SILVER_PARTITIONS, table=table).partitions
         else:
-            dates = merge_table(silver, silver_path, SILVER_PARTITIONS, table=table)
+            dates = merge_table(silver, silver_path, SILVER_PARTITIONS, table=table, schema_change=schema_change)
         written = read_table(bronze.sparkSession, silver_path) if dates else None
         rows = written.where(F.col("event_date").isin([date["event_date"] for date in dates])).count() if dates else 0
     else:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from palisade.operators.latest import ARRIVAL_ORDER, latest_per_key
 from palisade.session import scratch, settle
 from palisade.sinks import folders
+from palisade.sinks.evolution import read_known
 from palisade.sinks.compaction import compact
 from palisade.sinks.tables import replace_partitions
 
@@ -66,7 +67,7 @@ def _bloom(expected: int, buckets: int) -> dict[str, str]:
 def build_index(spark: SparkSession, path: str, index: str, partition_by, keys=("event_id",), buckets: int = BUCKETS) -> None:
     """Index a table that has none yet: one pass over its keys."""
     folders.delete(spark, index)
-    held = spark.read.parquet(path)
+    held = read_known(spark, path)
     add_entries(_hashed(held, keys, buckets), index, buckets, partition_by, held.count())
 
 

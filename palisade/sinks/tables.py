@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from palisade.operators.latest import ARRIVAL_ORDER, latest_per_key
 from palisade.operators.metrics import observed
 from palisade.session import scratch, settle
-from palisade.sinks import folders
+from palisade.sinks import evolution, folders
 
 
 def laid_out(df: DataFrame, cluster_by=(), sort_by=()) -> DataFrame:
@@ -56,28 +56,33 @@ def write_table(
             if part.files & now.get(part.path, frozenset()):
                 folders.delete(spark, part.path)
     if table:
-        register_table(spark, table, path)
+        register_table(spark, table, path, partition_by)
     return metrics.get["rows"]
 
 
 def merge_table(
-    new: DataFrame, path: str, partition_by, keys=("event_id",), order=ARRIVAL_ORDER, cluster_by=(), sort_by=(), table: str | None = None
-) -> list[dict[str, str]]:
+    new: DataFrame, path: str, partition_by, keys=("event_id",), order=ARRIVAL_ORDER, cluster_by=(), sort_by=(), table: str | None = None,
+    schema_change: bool = False,
+) -> list[dict[str, str]]:
     """Bring rows into a partitioned table that has one row per key, the greatest by ``order``.
 
     Reads the partitions that hold a key of ``new`` or get one, unites, keeps the latest and replaces these partitions. A
     delivery that moves its key to another partition takes it out of the old one, which goes if it was the last. The
     search for keys reads key and partition columns of the table only. Doing it again changes nothing. Returns the
-    partitions concerned.
+    partitions concerned. With ``schema_change`` new columns and wider types of ``new`` become the table's, in the catalog
+    too; types that can't be united are refused before anything is written.
     """
     spark = new.sparkSession
+    there = folders.exists(spark, path)
+    if schema_change:
+        new = evolution.evolve(new, path, partition_by)
     with scratch(spark):
         arrived = settle(latest_per_key(new, keys, order), "arrived")
-        if not folders.exists(spark, path):
+        if not there:
             touched = _values(arrived, partition_by)
             merged = arrived
         else:
-            held = spark.read.parquet(path)
+            held = evolution.read_known(spark, path)
             known = held.join(arrived.select(*keys), list(keys), "left_semi").select(*partition_by)
             touched = _values(arrived.select(*partition_by).unionAll(known.select(*partition_by)), partition_by)
             chosen = spark.createDataFrame(touched, held.select(*partition_by).schema) if touched else None
@@ -104,7 +109,7 @@ def replace_partitions(
     before = [part for part in folders.some_partitions(spark, path, named) if part.files]
     rows = arrived
     if before:
-        held = spark.read.option("basePath", path).parquet(*[part.path for part in before])
+        held = evolution.read_known(spark, path, *[part.path for part in before])
         types = {field.name: field.dataType for field in arrived.schema.fields}
         held = held.withColumns({name: F.col(name).cast(types[name]) for name in partition_by})
         rows = held.unionByName(arrived, allowMissingColumns=True)
@@ -119,7 +124,7 @@ def replace_partitions(
         if part.files & after.get(part.path, frozenset()):
             folders.delete(spark, part.path)
     if table:
-        register_table(spark, table, path)
+        register_table(spark, table, path, partition_by)
     return named, sum(len(part.files) for part in before)
 
 
@@ -140,15 +145,19 @@ def write_quarantine(rejected: DataFrame, path: str, batch: str) -> None:
     )
 
 
-def register_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+def register_table(spark: SparkSession, name: str, path: str, partition_by=()) -> DataFrame:
     """Make Parquet files queryable under a catalog name without copying them, with the partitions they have now.
 
-    A name that already stands for another folder is refused.
+    A name that already stands for another folder is refused. A table that keeps its schema has that in the catalog;
+    ``partition_by`` are its partition columns.
     """
     if spark.catalog.tableExists(name):
         described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
         if folders.qualified(spark, described["Location"]) != folders.qualified(spark, path):
             raise ValueError(f"{name} stands for {described['Location']}, not for {path}")
+        evolution.update_catalog(spark, name, path, partition_by)
+    elif (schema := evolution.known_schema(spark, path)) is not None:
+        evolution.create_table(spark, name, path, schema, partition_by)
     else:
         spark.catalog.createTable(name, path=path, source="parquet")
     if spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = '# Partition Information'").count():

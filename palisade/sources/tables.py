@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from palisade.sinks.evolution import read_known
+
 
 def read_table(spark: SparkSession, name_or_path: str, merge_schema: bool = False) -> DataFrame:
     """A catalog table by name, or Parquet files by path (anything with a slash).
 
-    ``merge_schema`` finds columns that only later files have; it opens the footer of every file.
+    A table that keeps its schema (``sinks/evolution.py``) is read by that. ``merge_schema`` finds columns that only later
+    files have; it opens the footer of every file.
     """
     if "/" in name_or_path:
+        if not merge_schema:
+            return read_known(spark, name_or_path)
         return spark.read.option("mergeSchema", merge_schema).parquet(name_or_path)
     return spark.table(name_or_path)
 

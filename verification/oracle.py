@@ -398,6 +398,10 @@ def oracle_sql() -> dict[str, str]:
         "dead_letter_kinds": _sql(LETTER_KINDS),
         "silver_two_deliveries": _sql(silver),
         "merge_by_index": _sql(silver),
+        "silver_new_column": _sql(
+            f"SELECT * REPLACE (CASE WHEN kafka_offset % 7 >= 5 THEN file_path END AS file_path, "
+            f"CASE WHEN kafka_offset % 7 >= 5 THEN product_version END AS product_version) FROM ({silver})"
+        ),
         "compacted_bronze": _sql(silver),
         "silver_audited": f"SELECT *, '2026-12-01 00:00:00.000000' AS silver_processed_at, '2.0.0' AS pipeline_version, 'dev' AS environment FROM ({_sql(silver)})",
         "layout_report": _sql("SELECT count(*) AS \"rows\", CAST(1 AS BIGINT) AS files_per_key, 'true' AS in_order FROM daily"),

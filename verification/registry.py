@@ -27,7 +27,7 @@ from palisade.session import in_utc, settle, shared_folder
 from palisade.sinks.compaction import compact
 from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.messages import dead_letters, to_messages
-from palisade.sinks.tables import layout_report, register_table, write_quarantine, write_table
+from palisade.sinks.tables import layout_report, merge_table, register_table, write_quarantine, write_table
 from palisade.sources import aligned_csv
 from verification.derived import broken_from_bronze, bronze_from_events, scans_from_bronze, topic_from_bronze, write_order_files
 from palisade.sources.messages import batch_stats, parse_messages, unreadable
@@ -233,6 +233,19 @@ def merge_by_index_(spark, folder):
     return read_table(spark, path).drop("silver_processed_at", "pipeline_version", "environment")
 
 
+@query
+def silver_new_column(spark, folder):
+    """A delivery with a narrower integer and without two columns, then one that has them; read through the catalog."""
+    path = shared_folder(spark, "silver")
+    name = "palisade_silver_" + path.rsplit("-", 1)[1]
+    bronze = _bronze(spark, folder)
+    late = F.col("kafka_offset") % 7 >= 5
+    first = silver_events(bronze.where(~late), NOW).drop("file_path", "product_version").withColumn("file_size_bytes", F.col("file_size_bytes").cast("int"))
+    for delivery in (first, silver_events(bronze.where(late), NOW)):
+        merge_table(delivery, path, jobs.SILVER_PARTITIONS, table=name, schema_change=True)
+    return _read_and_dropped(spark, name)
+
+
 @query
 def silver_audited(spark, folder):
     path = shared_folder(spark, "silver")
