@@ -28,7 +28,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 TIGHT = re.compile(r" \s"), re.compile(r"[^\S ] ")
 
 KEPT_PIECES = 500_000
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 2 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -246,8 +246,9 @@ def portions(batch: pa.RecordBatch, sizes: list[int]) -> Iterator[tuple[int, int
         yield at, batch.num_rows
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:
-    """All columns, with ``ids`` (array of int) and ``n_tokens``; with ``decoded`` also the text of the ids.
+def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False, keep_text: bool = True) -> DataFrame:
+    """All columns, with ``ids`` (array of int) and ``n_tokens``; with ``decoded`` also the text of the ids. Without
+    ``keep_text`` the column ``text`` is left out, so that the Python workers needn't send it back.
 
     Equals the tokenizers library with the file at ``path`` and add_special_tokens=False: special tokens that stand in a
     text become their own ids. The file must lie at this path on every executor. NULL and empty texts have no ids, and an
@@ -256,21 +257,24 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False
     """
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType())]
     added += [T.StructField("decoded", T.StringType())] if decoded else []
-    kept = [f for f in docs.schema.fields if f.name not in {a.name for a in added}]
+    kept = [f for f in docs.schema.fields if f.name not in {a.name for a in added} and (keep_text or f.name != text)]
     names = [f.name for f in kept]
+    # A text that is among the columns anyway is sent once.
+    sent = [*names] if text in names else [*names, F.col(text).alias("text to encode")]
+    place = names.index(text) if text in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(place)
             for a, b in portions(batch, [len(t.as_buffer()) if t.is_valid else 0 for t in texts]):
                 ids, bounds = encoder.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
                 columns = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32())), pa.array(np.diff(bounds), pa.int64())]
                 columns += [encoder.decode(ids, bounds)] if decoded else []
                 part = batch.slice(a, b - a)
-                yield pa.record_batch([*part.columns[:-1], *columns], names=[*names, *(f.name for f in added)])
+                yield pa.record_batch([*part.columns[: len(names)], *columns], names=[*names, *(f.name for f in added)])
 
-    return docs.select(*names, F.col(text).alias("text to encode")).mapInArrow(run, T.StructType([*kept, *added]))
+    return docs.select(*sent).mapInArrow(run, T.StructType([*kept, *added]))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:

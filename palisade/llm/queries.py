@@ -86,7 +86,7 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    done = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    done = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), decoded=True, keep_text=False)
     return done.select(
         "doc_id",
         "n_tokens",

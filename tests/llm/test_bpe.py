@@ -67,3 +67,15 @@ def test_invalid_bytes_decode_as_in_the_library(spark, library):
 
 def test_empty_table(spark):
     assert bpe.encode(odd_docs(spark, []), PATH).count() == 0
+
+
+def test_text_left_out_or_under_another_name(spark):
+    docs = odd_docs(spark)
+    whole = bpe.encode(docs, PATH, decoded=True)
+    short = bpe.encode(docs, PATH, decoded=True, keep_text=False)
+    assert short.columns == [c for c in whole.columns if c != "text"]
+    assert sorted(map(str, short.collect())) == sorted(map(str, whole.drop("text").collect()))
+    # Texts in a column that the result replaces.
+    named = bpe.encode(docs.select("doc_id", docs["text"].alias("decoded")), PATH, text="decoded", decoded=True)
+    assert named.columns == ["doc_id", "ids", "n_tokens", "decoded"]
+    assert sorted(map(str, named.select("doc_id", "ids").collect())) == sorted(map(str, whole.select("doc_id", "ids").collect()))
