@@ -51,7 +51,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
     kept = docs.select("doc_id", "lang", "source", "text")
-    return bpe.encode(kept, public_tokenizers.path("byte_bpe_50k.json"), decoded=True).drop("text")
+    return bpe.encode(kept, public_tokenizers.path("byte_bpe_50k.json"), decoded=True, keep_text=False)
 
 
 STAGES = [
