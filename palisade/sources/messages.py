@@ -48,7 +48,8 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     }
     names = T.StructType.fromDDL(S.BRONZE).names
     columns = [carried.get(name, F.col(f"event.{name}")).alias(name) for name in names]
-    return parsed.select(*columns, "text", "raw", error.alias("parse_error"))
+    # A filter on what a generator puts out stays above it. Pushed below, it would have the text made and parsed anew wherever it names them.
+    return parsed.select(F.inline(F.array(F.struct(*columns, "text", "raw", error.alias("parse_error")))))
 
 
 def readable(parsed: DataFrame) -> DataFrame:

@@ -87,3 +87,9 @@ def test_any_bytes_are_a_message_or_a_letter(spark, value, error):
     assert [letter["error"] for letter in letters] == [error] * (error is not None)
     if error == "INVALID_UTF8":
         assert base64.b64decode(letters[0]["original_base64"]) == value
+
+
+def test_a_filter_on_the_error_does_not_parse_the_messages_anew(bronze):
+    kept = unreadable(parse_messages(topic_from_bronze(bronze, "dev")))
+    shown = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("from_json(") == 1 and shown.count("StructsToJson") == 1
