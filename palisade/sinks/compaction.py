@@ -111,7 +111,7 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def _rewrite(spark: SparkSession, path: str, groups: list[Group], target: str, sort_by, options: dict[str, str]) -> None:
-    """Each row finds its group by its file, and each group becomes one file."""
+    """Each row finds its group by its file, and each group becomes one file, by a task of its own."""
     names = [(folders.uri(spark, f"{path}/{name}"), number) for number, group in enumerate(groups) for name in group.files]
     one_slash = lambda column: F.regexp_replace(column, "^file:/+", "file:/")
     plan = spark.createDataFrame(names, "`file name` string, `group` int").withColumn("file name", one_slash(F.col("file name")))
@@ -119,7 +119,7 @@ def _rewrite(spark: SparkSession, path: str, groups: list[Group], target: str, s
     tagged = rows.select("*", one_slash(F.col("_metadata.file_path")).alias("file name"))
     known = F.coalesce("group", F.raise_error(F.concat(F.lit("no group for "), "file name")).cast("int"))
     grouped = tagged.join(plan, "file name", "left").select(*rows.columns, known.alias("group"))
-    laid = grouped.repartition(len(groups), "group").sortWithinPartitions("group", *sort_by)
+    laid = grouped.repartitionById(len(groups), "group").sortWithinPartitions("group", *sort_by)
     laid.write.options(compression="snappy", **options).partitionBy("group").parquet(target)
 
 

@@ -124,3 +124,12 @@ def test_a_folder_replaced_meanwhile_is_left_alone(spark, tmp_path, monkeypatch)
     compact(spark, str(path), ["day"])
     assert [r for r in rows(spark, path) if r[2] == 1] == [(7, "new", 1)]
     assert len(rows(spark, path)) == 10
+
+
+def test_each_group_is_written_by_a_task_of_its_own(spark, tmp_path):
+    small_files(spark, tmp_path / "t", folders_of=[str(day) for day in range(8)], files=2)
+    before = rows(spark, tmp_path / "t")
+    compact(spark, str(tmp_path / "t"), ["day"])
+    tasks = [file.name.split("part-")[1][:5] for file in (tmp_path / "t").glob("day=*/*.parquet")]
+    assert len(tasks) == len(set(tasks)) == 8
+    assert rows(spark, tmp_path / "t") == before
