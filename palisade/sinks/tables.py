@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from palisade.operators.metrics import observed
 from palisade.session import scratch, settle
 from palisade.sinks import evolution, folders
 
+TURN = "_turn"
+
 
 def laid_out(df: DataFrame, cluster_by=(), sort_by=()) -> DataFrame:
     """Rows with equal ``cluster_by`` together, sorted inside each partition.
@@ -31,18 +35,42 @@ def write_table(
     whole: bool = False,
     stale: Callable[[dict[str, str]], bool] = lambda values: False,
     table: str | None = None,
+    most_rows: int | None = None,
 ) -> int:
     """Replace the partitions that ``df`` touches, and return the number of rows written. A re-run is harmless.
 
     With ``whole``, or without partitions, the table is replaced altogether. ``stale`` sees the values (as text) of every
     partition that is there already and not touched; those it names are removed. Rows are clustered by partition and
     ``cluster_by`` together. ``table`` is a catalog name to keep up to date. The count is taken above the exchange, in
-    the stage that writes, so that map tasks which run again after a lost executor don't count twice.
+    the stage that writes, so that map tasks which run again after a lost executor don't count twice. With ``most_rows`` a
+    partition of more rows is dealt over several tasks and files, however few or well compressed the blocks are that it
+    comes in; ``df`` is settled and counted for that.
     """
+    spark = df.sparkSession
+    if partition_by and most_rows:
+        with scratch(spark):
+            dealt = _dealt(settle(df, "dealt"), partition_by, most_rows)
+            return _write(dealt, path, partition_by, [*cluster_by, TURN], sort_by, whole, stale, table)
+    return _write(df, path, partition_by, cluster_by, sort_by, whole, stale, table)
+
+
+def _dealt(rows: DataFrame, partition_by, most_rows: int) -> DataFrame:
+    """Adds ``TURN``, which gives the rows of a large partition as many values as it needs tasks; 0 elsewhere. ``rows`` are
+    settled, so that the numbering comes out the same when a task runs again."""
+    turns = F.ceil(F.count("*") / F.lit(most_rows)).alias("_turns")
+    large = rows.groupBy(*partition_by).agg(turns).where("_turns > 1").withColumnsRenamed({name: f"_{name}" for name in partition_by})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in partition_by])
+    numbered = rows.withColumn(TURN, F.monotonically_increasing_id())
+    # At most one for every ``most_rows`` rows.
+    turn = F.coalesce(F.pmod(TURN, "_turns"), F.lit(0))
+    return numbered.join(F.broadcast(large), same, "left").select(*rows.columns, turn.alias(TURN))
+
+
+def _write(df: DataFrame, path: str, partition_by, cluster_by, sort_by, whole: bool, stale, table: str | None) -> int:
     spark = df.sparkSession
     order = [*partition_by, *[name for name in sort_by if name not in partition_by]]
     spread = [*partition_by, *[name for name in cluster_by if name not in partition_by]]
-    counted, metrics = observed(laid_out(df, spread, order), "written", rows=F.count(F.lit(1)))
+    counted, metrics = observed(laid_out(df, spread, order).drop(TURN), "written", rows=F.count(F.lit(1)))
     before = folders.partitions(spark, path, partition_by) if partition_by and not whole else []
     before = [part for part in before if stale(part.values)]
     writer = counted.write.mode("overwrite").option("compression", "snappy")

@@ -19,6 +19,8 @@ CSV_OPTIONS = {"mode": "PERMISSIVE", "escape": '"'}
 MAX_COLUMNS = 10_000
 # Up to so many torn files are opened by name; beyond, all files are scanned for them. The rows are the same.
 LISTED_FILES = 10_000
+# A day of the lake with more rows goes to several tasks. Rows repeat their file's path, so their bytes say little.
+DAY_ROWS = 1_000_000
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
@@ -215,4 +217,4 @@ def by_day(aligned: DataFrame, date_column: str | None = None) -> DataFrame:
 def write_lake(aligned: DataFrame, path: str, load: str, date_column: str | None = None) -> int:
     """Parquet by year, month, day and load. A load that is repeated replaces itself; others of the same day stay."""
     dated = by_day(aligned, date_column).withColumn("load", F.lit(load))
-    return write_table(dated, path, partition_by=["year", "month", "day", "load"], stale=lambda values: values["load"] == load)
+    return write_table(dated, path, ["year", "month", "day", "load"], stale=lambda values: values["load"] == load, most_rows=DAY_ROWS)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from palisade.sinks.tables import write_table
 from palisade.session import scratch
-from palisade.sources.aligned_csv import align, align_records, by_day, file_headers, header_report, read_records, widest_header
+from palisade.sources.aligned_csv import DAY_ROWS, align, align_records, by_day, file_headers, header_report, read_records, widest_header
 from palisade.streaming.ingest import run_available, write_batch
 
 
@@ -40,7 +40,7 @@ def lake_new_files(
                 records = read_records(batch.sparkSession, torn, widest_header(headers) + 1)
                 aligned = aligned.unionByName(align_records(records, headers.where("torn"), columns, types))
             dated = by_day(prepare(aligned), date_column).withColumn("batch", F.lit(number))
-            write_table(dated, lake, partition_by=["year", "month", "day", "batch"])
+            write_table(dated, lake, partition_by=["year", "month", "day", "batch"], most_rows=DAY_ROWS)
             if report:
                 write_batch(header_report(headers, columns), report, number)
 

@@ -10,6 +10,7 @@ from palisade import session
 from palisade.plans import jobs
 from palisade.plans.silver import quarantined_events, silver_events
 from palisade.session import scratch, settle, shared_folder
+from palisade.sinks import tables
 from palisade.sinks.tables import laid_out, merge_table, register_table, write_quarantine, write_table
 from palisade.sources.tables import read_table
 
@@ -230,3 +231,15 @@ def test_whole_gold_job(spark, run, tmp_path):
     loaded = jobs.gold_to_warehouse(gold, str(tmp_path / "w"), spark, NOW)
     assert loaded["global_threat_leaderboard"] + loaded["rejected global_threat_leaderboard"] == 651
     assert "missing:threat_name" in str(read_table(spark, str(tmp_path / "w/rejected/global_threat_leaderboard")).first())
+
+
+def test_a_large_partition_is_dealt_over_tasks(spark, tmp_path):
+    day = "CASE WHEN id < 700 THEN NULL WHEN id < 950 THEN 'b' ELSE 'c' END AS day"
+    made = spark.range(1000).coalesce(1).selectExpr("id % 10 AS id", day)
+    dealt = tables._dealt(made, ["day"], 100).groupBy("day", tables.TURN).count().collect()
+    sizes = {name: sorted(row["count"] for row in dealt if row.day == name) for name in (None, "b", "c")}
+    assert [len(sizes[name]) for name in (None, "b", "c")] == [7, 3, 1]
+    assert max(max(found) for found in sizes.values()) <= 101
+    assert tables.write_table(made, str(tmp_path / "t"), ["day"], most_rows=100) == 1000
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.columns == ["id", "day"] and sorted(map(str, back.collect())) == sorted(map(str, made.collect()))
