@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import pytest
-from conftest import NOW
+from conftest import NOW, SMALL
 from pyspark.sql import functions as F
 
 from palisade import schemas as S
 from palisade.operators.screening import split, standardise_enums
 from palisade.plans.gold import hourly_detection_trend
 from palisade.plans.silver import silver_events
+from verification import registry
 from verification.derived import topic_from_bronze
 from palisade.sources.aligned_csv import new_lines
 from palisade.sources.tables import new_files
@@ -152,3 +153,15 @@ def test_run_available_hands_over_batches(spark, tmp_path):
     seen = []
     run_available(new_files(spark, str(tmp_path / "in"), "id BIGINT"), lambda batch, number: seen.append((number, batch.count())), str(tmp_path / "c"))
     assert seen == [(0, 10)]
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_a_batch_arrives_in_files_of_bounded_size(spark, tmp_path, monkeypatch, batches):
+    monkeypatch.setattr(registry, "ARRIVING_BYTES", 8_000)
+    monkeypatch.setattr(registry, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    root = registry._kept(spark, SMALL, batches)
+    files = list((tmp_path / "topic" / "arriving").glob("*.parquet"))
+    assert len(files) > batches and max(file.stat().st_size for file in files) < 40_000
+    assert len(list((tmp_path / "topic" / "quarantine").glob("batch_id=*"))) == batches
+    bronze = spark.read.parquet(f"{root}/bronze")
+    assert spark.read.parquet(f"{root}/silver").count() == silver_events(bronze, NOW).count()

@@ -24,6 +24,7 @@ from palisade.operators.screening import accepted, standardise_enums, with_flags
 from palisade.plans import gold, jobs, leaderboard, reports, sketches
 from palisade.plans.silver import mask_addresses, quarantined_events, silver_events
 from palisade.session import in_utc, settle, shared_folder
+from palisade.sinks import folders
 from palisade.sinks.compaction import compact
 from palisade.sinks.key_index import merge_by_index
 from palisade.sinks.messages import dead_letters, to_messages
@@ -521,12 +522,21 @@ def _ingested(spark, folder) -> str:
 NULLABLE_BRONZE = S.BRONZE.replace(" NOT NULL", "")
 
 
+# One task writes a file, so a batch of more than this comes in several.
+ARRIVING_BYTES = 64 << 20
+
+
+def _files_per_batch(size: int, batches: int) -> int:
+    return max(1, -(-size // (batches * ARRIVING_BYTES)))
+
+
 def _kept(spark, folder, batches: int = 1, index: bool = False) -> str:
     """The ingested bronze rows merged by the silver stream in so many micro-batches; the folder with what it wrote."""
     root = _ingested(spark, folder)
     rows = spark.read.parquet(f"{root}/bronze").drop("batch_id")
-    rows.repartition(batches, F.xxhash64("kafka_offset")).write.parquet(f"{root}/arriving")
-    arrived = new_files(spark, f"{root}/arriving", NULLABLE_BRONZE, files_per_batch=1)
+    files = _files_per_batch(sum(sum(part.sizes.values()) for part in folders.partitions(spark, f"{root}/bronze", ["batch_id"], sizes=True)), batches)
+    rows.repartition(batches * files, F.xxhash64("kafka_offset")).write.parquet(f"{root}/arriving")
+    arrived = new_files(spark, f"{root}/arriving", NULLABLE_BRONZE, files_per_batch=files)
     stream_events.keep_silver(
         arrived, f"{root}/silver", f"{root}/checkpoint-silver", f"{root}/quarantine", f"{root}/hourly", NOW, f"{root}/index" if index else None
     )
