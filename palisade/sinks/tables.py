@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palisade.operators.latest import ARRIVAL_ORDER, latest_per_key
@@ -15,6 +15,8 @@ from palisade.session import scratch, settle
 from palisade.sinks import evolution, folders
 
 TURN = "_turn"
+# Where a row lies: in the table or the delivery, in which file, at which place.
+SIDE, FILE, ROW = "_side", "_file", "_row"
 
 
 def laid_out(df: DataFrame, cluster_by=(), sort_by=()) -> DataFrame:
@@ -96,8 +98,8 @@ def merge_table(
 
     Reads the partitions that hold a key of ``new`` or get one, unites, keeps the latest and replaces these partitions. A
     delivery that moves its key to another partition takes it out of the old one, which goes if it was the last. The
-    search for keys reads key and partition columns of the table only. Doing it again changes nothing. Returns the
-    partitions concerned. With ``schema_change`` new columns and wider types of ``new`` become the table's, in the catalog
+    search for keys reads key and partition columns of the table only, and the whole rows are shuffled once, to be written.
+    Files that are read go when all new ones are written. Doing it again changes nothing. Returns the partitions concerned. With ``schema_change`` new columns and wider types of ``new`` become the table's, in the catalog
     too; types that can't be united are refused before anything is written.
     """
     spark = new.sparkSession
@@ -115,8 +117,10 @@ def merge_table(
             touched = _values(arrived.select(*partition_by).unionAll(known.select(*partition_by)), partition_by)
             chosen = spark.createDataFrame(touched, held.select(*partition_by).schema) if touched else None
             # Some dates: the list reaches the scan as a filter on its folders.
-            kept = held.join(F.broadcast(chosen), list(partition_by), "left_semi") if touched else held.limit(0)
-            merged = settle(latest_per_key(kept.unionByName(arrived, allowMissingColumns=True), keys, order), "merged")
+            merged = held.limit(0).unionByName(arrived, allowMissingColumns=True)
+            if touched:
+                kept = _located(held, 0).join(F.broadcast(chosen), list(partition_by), "left_semi")
+                merged = _latest_of_both(kept, _located(arrived, 1), keys, order)
         names = {tuple(str(row[name]) for name in partition_by) for row in touched}
         write_table(
             merged, path, partition_by, cluster_by, sort_by, stale=lambda values: tuple(values[n] for n in partition_by) in names, table=table
@@ -124,10 +128,34 @@ def merge_table(
     return [{name: str(row[name]) for name in partition_by} for row in touched]
 
 
+def _located(rows: DataFrame, side: int) -> DataFrame:
+    """Rows of files with their places."""
+    return rows.withColumns({SIDE: F.lit(side), FILE: F.xxhash64("_metadata.file_path"), ROW: F.col("_metadata.row_index")})
+
+
+def _latest_of_both(held: DataFrame, arrived: DataFrame, keys, order) -> DataFrame:
+    """``latest_per_key`` over the located rows of both, but only keys, order and places are shuffled and sorted for it.
+
+    The rows that lose are found by that, and taken out of the whole rows where these lie: a few are broadcast, and a side
+    that loses none isn't joined. Of rows equal by ``order`` the one held stays, so a delivery that comes again loses as a
+    whole and what is held isn't moved. Inside ``scratch``.
+    """
+    spots = held.unionByName(arrived, allowMissingColumns=True).select(*keys, *[n for n in order if n not in keys], SIDE, FILE, ROW)
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(name).desc_nulls_last() for name in order], SIDE)
+    lost = settle(spots.withColumn("_place", F.row_number().over(newest_first)).where("_place > 1").select(SIDE, FILE, ROW), "lost")
+    losing = {row[SIDE] for row in lost.select(SIDE).distinct().collect()}
+    kept = [
+        rows.join(lost.where(F.col(SIDE) == side).select(FILE, ROW), [FILE, ROW], "left_anti") if side in losing else rows
+        for side, rows in enumerate((held, arrived))
+    ]
+    return kept[0].unionByName(kept[1], allowMissingColumns=True).drop(SIDE, FILE, ROW)
+
+
 def replace_partitions(
     arrived: DataFrame, path: str, touched: list, partition_by, keys, order, cluster_by=(), sort_by=(), table: str | None = None
 ) -> tuple[list[dict[str, str]], int]:
-    """Unite ``arrived`` with what the touched partitions hold, keep the latest of each key, and replace these partitions.
+    """Unite ``arrived``, settled and with one row per key, with what the touched partitions hold, keep the latest of each key,
+    and replace these partitions.
 
     Only their folders are listed and read. One that becomes empty goes. Returns the partitions, and how many files were
     read. Inside ``scratch``.
@@ -135,13 +163,12 @@ def replace_partitions(
     spark = arrived.sparkSession
     named = [{name: None if row[name] is None else str(row[name]) for name in partition_by} for row in touched]
     before = [part for part in folders.some_partitions(spark, path, named) if part.files]
-    rows = arrived
+    merged = arrived
     if before:
-        held = evolution.read_known(spark, path, *[part.path for part in before])
+        held = _located(evolution.read_known(spark, path, *[part.path for part in before]), 0)
         types = {field.name: field.dataType for field in arrived.schema.fields}
         held = held.withColumns({name: F.col(name).cast(types[name]) for name in partition_by})
-        rows = held.unionByName(arrived, allowMissingColumns=True)
-    merged = settle(latest_per_key(rows, keys, order), "merged")
+        merged = _latest_of_both(held, _located(arrived, 1), keys, order)
     spread = [*partition_by, *[name for name in cluster_by if name not in partition_by]]
     laid = laid_out(merged, spread, [*partition_by, *[name for name in sort_by if name not in partition_by]])
     writer = laid.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
