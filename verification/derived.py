@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.session import settle
 from palisade.sinks.messages import to_messages
 
 # Offset between the message numbers of an event and of its re-delivered copy.
 COPY_OFFSET = 10_000_000
 
+# Those that bronze is made of.
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
+
 BASE_COLUMNS = [
     """CASE WHEN event_id % 29 = 0 THEN concat('bad-', CAST(event_id AS STRING))
             ELSE lpad(CAST(event_id AS STRING), 32, '0') END AS event_id""",
@@ -44,9 +48,15 @@ BASE_COLUMNS = [
 ]
 
 
-def bronze_from_events(spark: SparkSession, folder: str) -> DataFrame:
-    """One bronze row per event, and a second, later delivery of every twentieth event."""
+def bronze_from_events(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """One bronze row per event, and a second, later delivery of every twentieth event.
+
+    A row group goes to one task, and a file of events may have few. With ``spread`` the events are first written once by all
+    tasks, for queries that read them many times or have much to do with each row.
+    """
     events = spark.read.parquet(f"{folder}/events.parquet")
+    if spread:
+        events = settle(events.select(*EVENT_COLUMNS).repartition(F.xxhash64("event_id", "ts", "user_id")), "events")
     deliveries = F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return events.withColumn("copy", F.explode(deliveries)).selectExpr(*BASE_COLUMNS)
 

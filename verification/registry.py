@@ -85,6 +85,10 @@ def _bronze(spark, folder):
     return bronze_from_events(spark, folder)
 
 
+def _spread_bronze(spark, folder):
+    return bronze_from_events(spark, folder, spread=True)
+
+
 def _standard(spark, folder):
     return standardise_enums(_bronze(spark, folder))
 
@@ -214,7 +218,7 @@ def registered_after_write(spark, folder):
 def silver_two_deliveries(spark, folder):
     """Two increments, the second of them twice: late dates come in, copies replace originals."""
     path = shared_folder(spark, "silver")
-    bronze = _bronze(spark, folder)
+    bronze = _spread_bronze(spark, folder)
     first = F.col("kafka_offset") % 7 < 5
     for part in (bronze.where(first), bronze.where(~first), bronze.where(~first)):
         jobs.bronze_to_silver(part, path, f"{path}-quarantine", ENVIRONMENT, "one", NOW, mode=jobs.MERGE)
@@ -225,7 +229,7 @@ def silver_two_deliveries(spark, folder):
 def merge_by_index_(spark, folder):
     """Four deliveries merged by a key index, one of them twice; the events' order has nothing to do with their dates."""
     path = shared_folder(spark, "silver")
-    bronze = _bronze(spark, folder)
+    bronze = _spread_bronze(spark, folder)
     turn = F.pmod(F.xxhash64("kafka_offset"), F.lit(4))
     for part in (0, 1, 2, 2, 3):
         jobs.bronze_to_silver(
@@ -239,7 +243,7 @@ def silver_new_column(spark, folder):
     """A delivery with a narrower integer and without two columns, then one that has them; read through the catalog."""
     path = shared_folder(spark, "silver")
     name = "palisade_silver_" + path.rsplit("-", 1)[1]
-    bronze = _bronze(spark, folder)
+    bronze = _spread_bronze(spark, folder)
     late = F.col("kafka_offset") % 7 >= 5
     first = silver_events(bronze.where(~late), NOW).drop("file_path", "product_version").withColumn("file_size_bytes", F.col("file_size_bytes").cast("int"))
     for delivery in (first, silver_events(bronze.where(late), NOW)):
@@ -287,7 +291,7 @@ def written_daily_threat_summary(spark, folder):
 def maintained_leaderboard(spark, folder):
     """Kept by the dates that two deliveries touched, and a date that silver lost."""
     root = shared_folder(spark, "board")
-    bronze = _bronze(spark, folder)
+    bronze = _spread_bronze(spark, folder)
     first = F.col("kafka_offset") % 7 < 5
     for part in (bronze.where(first), bronze.where(~first)):
         dates = merge_by_index(silver_events(part, NOW), f"{root}/silver", f"{root}/index", jobs.SILVER_PARTITIONS).partitions
@@ -513,7 +517,7 @@ def message_stats(spark, folder):
 def _ingested(spark, folder) -> str:
     """Run the topic through the ingest stream; the folder with what it wrote."""
     root = shared_folder(spark, "topic")
-    topic_from_bronze(_bronze(spark, folder), ENVIRONMENT).write.parquet(f"{root}/topic")
+    topic_from_bronze(_spread_bronze(spark, folder), ENVIRONMENT).write.parquet(f"{root}/topic")
     messages = new_files(spark, f"{root}/topic", S.MESSAGE)
     ingest(messages, TOPIC, f"{root}/bronze", f"{root}/letters", f"{root}/stats", f"{root}/checkpoint-ingest")
     return root
@@ -522,8 +526,9 @@ def _ingested(spark, folder) -> str:
 NULLABLE_BRONZE = S.BRONZE.replace(" NOT NULL", "")
 
 
-# One task writes a file, so a batch of more than this comes in several.
-ARRIVING_BYTES = 64 << 20
+# One task writes a file, and one reads it again, as it is one row group. So a batch of more than this comes in several: some
+# 100,000 compressed rows.
+ARRIVING_BYTES = 4 << 20
 
 
 def _files_per_batch(size: int, batches: int) -> int:
@@ -676,8 +681,9 @@ def row_counts(spark, folder):
 def run_metrics(spark, folder):
     """Both jobs from bronze to the written gold tables; the counts come from the writes."""
     root = shared_folder(spark, "run")
-    counts = jobs.bronze_to_silver(_bronze(spark, folder), f"{root}/silver", f"{root}/quarantine", ENVIRONMENT, "first", NOW, mode=jobs.REPLACE)
-    scans = scans_from_bronze(_standard(spark, folder))
+    bronze = _spread_bronze(spark, folder)
+    counts = jobs.bronze_to_silver(bronze, f"{root}/silver", f"{root}/quarantine", ENVIRONMENT, "first", NOW, mode=jobs.REPLACE)
+    scans = scans_from_bronze(standardise_enums(bronze))
     counts |= jobs.silver_to_gold(read_table(spark, f"{root}/silver"), f"{root}/gold", ENVIRONMENT, NOW, scans=scans)
     counts |= jobs.gold_to_reports(f"{root}/gold", f"{root}/reports", spark, MONTHLY_AS_OF, WEEKLY_AS_OF)
     return spark.createDataFrame(list(counts.items()), "stage STRING, rows BIGINT")
